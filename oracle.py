@@ -17,7 +17,7 @@ WEIGHTED = [
     "hour_dispersion",
 ]
 ALERT_COLUMNS = ["user_id", "date", "cnt_24h", "sum_24h", "avg_amount", "unique_merchants"]
-RANGE = "BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'"
+RANGE = "BETWEEN DATE '2024-01-04' AND DATE '2024-01-23'"
 
 
 def r(expression: str, name: str | None = None) -> str:
@@ -549,7 +549,7 @@ def build() -> dict[str, str]:
         "daily_coverage": f"""WITH {TXO}, d AS (SELECT unnest(generate_series(
               (SELECT min(CAST({TS} AS DATE)) FROM txo), (SELECT max(CAST({TS} AS DATE)) FROM txo), INTERVAL 1 DAY))::DATE AS date)
             SELECT d.date, count(t._id) AS transactions FROM d LEFT JOIN txo t ON CAST(t.{TS} AS DATE) = d.date GROUP BY d.date""",
-        "features_in_range": user_day(TXO, "txo", f"date {RANGE}"),
+        "features_in_range": user_day(TXE, "txe", f"date {RANGE}"),
         "active_users": f"WITH {DAYS_O} SELECT count(DISTINCT user_id) AS users FROM feats WHERE cnt_24h > 3",
         "forest_nodes": forest(f"SELECT tree, node, depth, feature, {r('threshold')}, size, is_leaf FROM nodes"),
         "forest_scores": forest(f"SELECT {ALERTS_OUT} FROM al"),
@@ -566,7 +566,7 @@ def build() -> dict[str, str]:
                count(*) FILTER (flag_suspicious_dynamic) AS dynamic_flags FROM al"""
         ),
         "forest_top10": forest(f"SELECT {ALERTS_OUT} FROM (SELECT * FROM al ORDER BY anomaly_score, user_id, date LIMIT 10)"),
-        "backfilled_alerts": forest(f"SELECT {ALERTS_OUT} FROM al", f"date {RANGE}"),
+        "backfilled_alerts": forest(f"SELECT {ALERTS_OUT} FROM al", f"date {RANGE}", day_features(TXE, "txe")),
         "stream_24h_counts": f"""WITH {TXE}, deb AS (SELECT * FROM txe WHERE transaction_type = 'DEBITO'), w AS (
               SELECT user_id, date_trunc('hour', {TS}) - i * INTERVAL 1 HOUR AS window_start, {AMOUNT} FROM deb CROSS JOIN range(0, 24) t(i))
             SELECT user_id, window_start, count({AMOUNT}) AS cnt_24h, {r(f"sum({AMOUNT})", "sum_24h")} FROM w

@@ -105,8 +105,14 @@ def _sample_hash(tree: Column, seed: int) -> Column:
     return F.substring(F.md5(key), 1, HASH_HEX_DIGITS)
 
 
-def draw_samples(rows: DataFrame, n_rows: int, psi: int, n_trees: int, seed: int) -> DataFrame:
-    """``psi`` rows per tree, drawn without replacement."""
+def draw_samples(
+    rows: DataFrame, n_rows: int, psi: int, n_trees: int, seed: int, whole: bool = False
+) -> DataFrame:
+    """``psi`` rows per tree, drawn without replacement.
+
+    Unless ``whole``, only rows below a hash bound are ranked. The bound leaves four times the rows
+    needed on average; a tree that still gets too few is seen by its root being too small.
+    """
     trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
     rank = F.row_number().over(W.partitionBy("tree").orderBy("_h", *ROW_KEY))
 
@@ -120,15 +126,11 @@ def draw_samples(rows: DataFrame, n_rows: int, psi: int, n_trees: int, seed: int
         )
 
     share = 4.0 * psi / max(n_rows, 1)
-    if share < 1.0:
-        # Rows are copied only for the trees that may take them.
-        bound = format(int(share * 16**HASH_HEX_DIGITS), f"0{HASH_HEX_DIGITS}x")
-        likely = F.filter(trees, lambda tree: _sample_hash(tree, seed) < bound)
-        drawn = smallest(likely)
-        sizes = drawn.groupBy("tree").count().agg(F.min("count"), F.count(F.lit(1))).first()
-        if sizes[1] == n_trees and sizes[0] == psi:
-            return drawn
-    return smallest(trees)
+    if whole or share >= 1.0:
+        return smallest(trees)
+    # Rows are copied only for the trees that may take them.
+    bound = format(int(share * 16**HASH_HEX_DIGITS), f"0{HASH_HEX_DIGITS}x")
+    return smallest(F.filter(trees, lambda tree: _sample_hash(tree, seed) < bound))
 
 
 def _grower(names: list[str], psi: int, seed: int):
@@ -206,7 +208,9 @@ def _isolation_score(nodes: pd.DataFrame, psi: int):
             depth = total / len(forest)
             yield pd.Series(-np.exp2(-depth / norm) if norm > 0 else np.full(len(values), -0.5))
 
-    return score
+    # The score depends on its row alone. The mark keeps the optimizer from copying the call into
+    # inferred filters, which would walk the forest twice.
+    return score.asNondeterministic()
 
 
 def sample_score(nodes: pd.DataFrame, psi: int, inputs: list[Column]) -> Column:
@@ -225,7 +229,7 @@ def fit(
 ) -> ForestModel:
     """Trains on the given user-days (already filtered by activity).
 
-    The rows are read several times; pass a stored table, or the result of ``checkpoint()``.
+    The rows are read several times; pass a stored table.
     """
     n_rows = features.count()
     if n_rows == 0:
@@ -234,7 +238,12 @@ def fit(
     rows = matrix(features, names, scaling)
     psi = min(sample_size, n_rows)
     # At most n_trees * (2 * psi - 1) nodes, whatever the size of the data.
-    nodes = grow_forest(draw_samples(rows, n_rows, psi, n_trees, seed), names, psi, seed).toPandas()
+    for whole in (False, True):
+        drawn = draw_samples(rows, n_rows, psi, n_trees, seed, whole)
+        nodes = grow_forest(drawn, names, psi, seed).toPandas()
+        roots = nodes.loc[nodes["node"] == 0, "size"]
+        if len(roots) == n_trees and roots.min() == psi:
+            break
     scored = rows.select(sample_score(nodes, psi, [F.col(c) for c in names]).alias("score"))
     offset = exact_quantiles(scored, "score", {"offset": contamination}).first()["offset"]
     return ForestModel(nodes, psi, n_trees, contamination, seed, list(names), offset, scaling)

@@ -17,7 +17,7 @@ from splitsight.operators import suspicion, windows
 from splitsight.operators.behaviour import user_day_features
 from splitsight.plans import backfill, detect, explore
 from splitsight.schema import MODEL_FEATURES
-from splitsight.session import scratch_path, shared_dir
+from splitsight.session import scratch_path, stored
 from splitsight.sources import sinks, transactions
 from splitsight.sources.adapters import event_transactions, events_as_transactions, order_transactions
 from splitsight.streaming import live
@@ -28,7 +28,7 @@ MIN_CNT = 3
 DIGITS = 6
 # Keeps exact decimal ties (cents divided by a power of two) on one side in every engine.
 OFF_TIES = 1e-8
-RANGE = ("1996-01-01", "1997-12-31")
+RANGE = ("2024-01-04", "2024-01-23")
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -110,8 +110,7 @@ def as_text(tx: DataFrame) -> DataFrame:
 
 def active_features(spark: SparkSession, folder: str) -> DataFrame:
     """Active user-days, written once: fitting reads them several times."""
-    shared_dir(spark)
-    return clean.active_only(user_day_features(txo(spark, folder)), MIN_CNT).checkpoint()
+    return stored(clean.active_only(user_day_features(txo(spark, folder)), MIN_CNT), "active")
 
 
 def profiles(spark: SparkSession, folder: str, first: int | None = None) -> DataFrame:
@@ -122,12 +121,6 @@ def scores(spark: SparkSession, folder: str) -> DataFrame:
     return detect.suspicion_report(txe(spark, folder))
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Written once below the shared folder, for results that are used more than once."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 # ---------------------------------------------------------------- queries
 
 
@@ -214,7 +207,7 @@ def daily_coverage(spark: SparkSession, folder: str) -> DataFrame:
 
 def features_in_range(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "features")
-    sinks.write_feature_days(user_day_features(txo(spark, folder)), path)
+    sinks.write_feature_days(user_day_features(txe(spark, folder)), path)
     kept = transactions.read_partitioned(spark, path, *RANGE)
     return rounded(kept.select("user_id", "date", *MODEL_FEATURES))
 
@@ -300,7 +293,7 @@ def backfilled_alerts(spark: SparkSession, folder: str) -> DataFrame:
     raw, cleaned, features, model, out = (
         scratch_path(spark, label) for label in ("raw", "clean", "features", "model", "alerts")
     )
-    sinks.write_snapshot(txr(spark, folder), raw)
+    sinks.write_snapshot(txe(spark, folder), raw)
     backfill.backfill(spark, raw, cleaned, features, model, *RANGE, min_cnt=MIN_CNT)
     scored = backfill.score_days(spark, features, model, *RANGE, min_cnt=MIN_CNT, alerts_path=out)
     return rounded(spark.read.schema(scored.schema).option("header", True).csv(out))
@@ -349,8 +342,7 @@ def stream_distinct_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_model_alerts(spark: SparkSession, folder: str) -> DataFrame:
     """Alert days kept current by a stream, with a forest fitted on the finished days."""
-    shared_dir(spark)
-    active = clean.active_only(user_day_features(txe(spark, folder)), MIN_CNT).checkpoint()
+    active = stored(clean.active_only(user_day_features(txe(spark, folder)), MIN_CNT), "active")
     model = iforest.fit(active)
     cleaned, out, state = (scratch_path(spark, label) for label in ("live", "live-alerts", "live-state"))
     live.score_into(event_stream(spark, folder), cleaned, out, state, model, MIN_CNT, finish=True).awaitTermination()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "splitsight", master: str | None = None, **conf: str) -> SparkSession:
@@ -42,3 +42,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder for a table that has to be written once."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str = "stored") -> DataFrame:
+    """The rows written once as a table below the shared folder and read back.
+
+    For results that are read several times: cuts the lineage, survives the loss of executors, and
+    later reads prune columns and know the size.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ from splitsight.operators import alerts
 from splitsight.operators.behaviour import user_day_features
 from splitsight.operators.clean import active_only, debits, drop_duplicate_ids
 from splitsight.operators.iforest import ForestModel
+from splitsight.session import stored
 from splitsight.sources import sinks
 
 TS = "transaction_date"
@@ -88,7 +89,8 @@ def score_into(
         stored = spark.read.parquet(clean_path)
         kept = stored.where(F.make_date("year", "month", "day").isin(touched))
         features = user_day_features(drop_duplicate_ids(kept.select(*batch.columns), within_day=True))
-        scored = alerts.alert_table(active_only(features, min_cnt), model)
+        active = stored(active_only(features, min_cnt), "live-active")
+        scored = alerts.alert_table(active, model)
         sinks.write_feature_days(scored, alerts_path)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from splitsight.operators.iforest import CONTAMINATION, ForestModel, decision_scores
 from splitsight.operators.quantiles import exact_quantiles
+from splitsight.session import stored
 
 OPTIONAL_COLUMNS = {
     "cnt_24h": "long",
@@ -42,12 +43,13 @@ def with_dynamic_flag(decisions: DataFrame, contamination: float | None) -> Data
 def alert_table(features: DataFrame, model: ForestModel) -> DataFrame:
     """All scored user-days in nine columns; feature columns that are missing come out NULL.
 
-    Rows are scored twice, for the threshold and for the flag. A score is a function of its row
-    alone, so both passes agree. Pass a stored feature table.
+    The scored rows are stored once, since the threshold of a day and the flag both need them.
     """
-    flagged = with_dynamic_flag(decision_scores(features, model), model.contamination)
-    missing = {c: F.lit(None).cast(kind) for c, kind in OPTIONAL_COLUMNS.items() if c not in flagged.columns}
-    return flagged.withColumns(missing).select(*ALERT_COLUMNS)
+    missing = {c: F.lit(None).cast(kind) for c, kind in OPTIONAL_COLUMNS.items() if c not in features.columns}
+    scored = decision_scores(features, model).withColumns(missing)
+    kept = scored.select("user_id", "date", *OPTIONAL_COLUMNS, "anomaly_score", "flag_suspicious")
+    flagged = with_dynamic_flag(stored(kept, "decisions"), model.contamination)
+    return flagged.select(*ALERT_COLUMNS)
 
 
 def lowest_scores(scored: DataFrame, n: int = 10) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from splitsight.functions import bands
-from splitsight.operators.quantiles import exact_quantiles
+from splitsight.operators.quantiles import exact_quantiles, value_counts
 
 AMOUNT = "transaction_amount"
 
@@ -27,14 +27,14 @@ def describe(df: DataFrame, column: str, probs: dict[str, float] | None = None)
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
-    distinct = df.where(value.isNotNull()).select(column).distinct().agg(F.count(F.lit(1)).alias("distinct_values"))
-    quantiles = exact_quantiles(df, column, probs)
-    return moments.select(
+    distinct = value_counts(df, column, []).agg(F.count(F.lit(1)))
+    quantiles = exact_quantiles(df, column, probs).select(F.struct("*"))
+    return moments.withColumn("_q", quantiles.scalar()).select(
         "count",
         "mean",
         "std",
         "min",
-        *[quantiles.select(name).scalar().alias(name) for name in probs],
+        "_q.*",
         "max",
         distinct.scalar().alias("distinct_values"),
     )

@@ -39,10 +39,17 @@ def hot_keys(df: DataFrame, keys: list[str], limit: HeatLimit = DEFAULT_HEAT) ->
 
 
 def split_by_heat(
-    df: DataFrame, keys: list[str], limit: HeatLimit = DEFAULT_HEAT
+    df: DataFrame,
+    keys: list[str],
+    limit: HeatLimit = DEFAULT_HEAT,
+    sizes_from: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """(cold rows, hot rows or None). Rows with a NULL key stay with the cold ones."""
-    hot = hot_keys(df, keys, limit)
+    """(cold rows, hot rows or None). Rows with a NULL key stay with the cold ones.
+
+    ``sizes_from`` may be any table that holds at least the rows of ``df`` and is cheaper to count,
+    such as the rows before deduplication or a join: its groups can only be bigger.
+    """
+    hot = hot_keys(df if sizes_from is None else sizes_from, keys, limit)
     if hot is None:
         return df, None
     return df.join(F.broadcast(hot), keys, "left_anti"), df.join(F.broadcast(hot), keys, "left_semi")

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from splitsight.operators.quantiles import exact_quantiles
 from splitsight.schema import MODEL_FEATURES
+from splitsight.session import stored
 
 # Sample size, forest size, expected share of anomalies, seed, Euler's constant.
 SAMPLE_SIZE = 256
@@ -244,7 +245,8 @@ def fit(
         roots = nodes.loc[nodes["node"] == 0, "size"]
         if len(roots) == n_trees and roots.min() == psi:
             break
-    scored = rows.select(sample_score(nodes, psi, [F.col(c) for c in names]).alias("score"))
+    # Stored, since finding a quantile reads the scores more than once.
+    scored = stored(rows.select(sample_score(nodes, psi, [F.col(c) for c in names]).alias("score")), "scores")
     offset = exact_quantiles(scored, "score", {"offset": contamination}).first()["offset"]
     return ForestModel(nodes, psi, n_trees, contamination, seed, list(names), offset, scaling)
 

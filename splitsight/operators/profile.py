@@ -50,11 +50,19 @@ PROFILE_COLUMNS = [
 
 
 def structuring_profile(
-    tx: DataFrame, users: DataFrame, limit: HeatLimit = DEFAULT_HEAT
+    tx: DataFrame,
+    users: DataFrame,
+    limit: HeatLimit = DEFAULT_HEAT,
+    before_dedup: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per user of ``users`` with at least five transactions."""
+    """One row per user of ``users`` with at least five transactions.
+
+    Hot users are looked for in the whole table, which saves that check the join with ``users``,
+    or in the rows ``before_dedup`` if ``tx`` is deduplicated on the fly.
+    """
+    sizes = (tx if before_dedup is None else before_dedup).select(*KEY).dropna()
     rows = tx.join(users.select("user_id"), "user_id", "left_semi").select(*KEY, TS, AMOUNT, *COUNTED)
-    cold, hot = split_by_heat(rows, KEY, limit)
+    cold, hot = split_by_heat(rows, KEY, limit, sizes)
     profile = _cold_profile(cold)
     if hot is not None:
         profile = profile.unionByName(_hot_profile(hot))

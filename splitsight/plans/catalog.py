@@ -108,13 +108,19 @@ def as_text(tx: DataFrame) -> DataFrame:
     )
 
 
+def day_features_o(spark: SparkSession, folder: str) -> DataFrame:
+    return user_day_features(txo(spark, folder), before_dedup=txr(spark, folder))
+
+
 def active_features(spark: SparkSession, folder: str) -> DataFrame:
     """Active user-days, written once: fitting reads them several times."""
-    return stored(clean.active_only(user_day_features(txo(spark, folder)), MIN_CNT), "active")
+    return stored(clean.active_only(day_features_o(spark, folder), MIN_CNT), "active")
 
 
 def profiles(spark: SparkSession, folder: str, first: int | None = None) -> DataFrame:
-    return explore.persistent_profile(txo(spark, folder), MIN_CNT, first=first)
+    return explore.persistent_profile(
+        txo(spark, folder), MIN_CNT, first=first, before_dedup=txr(spark, folder)
+    )
 
 
 def scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -284,7 +290,7 @@ def forest_top10(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def active_users(spark: SparkSession, folder: str) -> DataFrame:
-    active = clean.active_only(user_day_features(txo(spark, folder)), MIN_CNT)
+    active = clean.active_only(day_features_o(spark, folder), MIN_CNT)
     return active.select("user_id").distinct().agg(F.count(F.lit(1)).alias("users"))
 
 
@@ -363,7 +369,7 @@ def build() -> dict[str, Query]:
         return windows.anchor_features(txe(spark, folder))
 
     return {
-        "user_day_features": on(txo, user_day_features),
+        "user_day_features": on(day_features_o, lambda f: f),
         "user_day_features_events": on(txe, user_day_features),
         "user_day_features_holes": on(lambda s, d: with_holes(txe(s, d)), user_day_features),
         "source_union_counts": source_union_counts,

@@ -17,7 +17,8 @@ def persistent_profile(
     min_days: int = 3,
     first: int | None = FIRST_USERS,
     limit: HeatLimit = DEFAULT_HEAT,
+    before_dedup: DataFrame | None = None,
 ) -> DataFrame:
     """Profile of the ``first`` most persistent users, or of all of them with None."""
     users = activity.persistent_users(activity.user_day_counts(tx), min_cnt, min_days, first)
-    return structuring_profile(tx, users, limit)
+    return structuring_profile(tx, users, limit, before_dedup)

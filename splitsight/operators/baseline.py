@@ -10,9 +10,9 @@ from splitsight.schema import BASELINE_METRICS
 
 def _moments() -> list:
     return [
-        f(m).alias(f"{m}_{name}")
+        F.expr(f"{f}({m}) AS {m}_{name}")
         for m in BASELINE_METRICS
-        for name, f in (("mean", F.avg), ("std", F.stddev_samp))
+        for name, f in (("mean", "avg"), ("std", "stddev_samp"))
     ]
 
 

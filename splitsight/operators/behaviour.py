@@ -42,19 +42,17 @@ def behaviour_features(
     keys: list[str],
     columns: list[str],
     limit: HeatLimit = DEFAULT_HEAT,
-    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """``keys`` plus the feature ``columns`` for each group of ``tx``.
 
     Rows with a NULL key belong to no group. ``avg_amount`` stays NULL in a group without amounts.
-    ``sizes_from`` is described at ``split_by_heat``.
     """
     counted = [
         c for c in SHARES if SHARES[c] in columns or DISTINCTS.get(c) in columns
     ]
     used = list(dict.fromkeys([*keys, TS, AMOUNT, *counted]))
     rows = tx.select(*used).dropna(subset=keys)
-    cold, hot = split_by_heat(rows, keys, limit, sizes_from)
+    cold, hot = split_by_heat(rows, keys, limit)
     features = _cold_features(cold, keys, counted)
     if hot is not None:
         features = features.unionByName(_hot_features(hot, keys, counted))
@@ -93,20 +91,12 @@ def _hot_features(hot: DataFrame, keys: list[str], counted: list[str]) -> DataFr
     )
 
 
-def _debits_by_day(tx: DataFrame) -> DataFrame:
-    return debits(tx).withColumn("date", F.to_date(TS)).where(F.col("date").isNotNull())
-
-
-def user_day_features(
-    tx: DataFrame, limit: HeatLimit = DEFAULT_HEAT, before_dedup: DataFrame | None = None
-) -> DataFrame:
+def user_day_features(tx: DataFrame, limit: HeatLimit = DEFAULT_HEAT) -> DataFrame:
     """Features of each user's debits on each calendar day, with the date as ``date``.
 
-    If ``tx`` is not stored but deduplicated on the fly, giving the rows ``before_dedup`` saves the
-    hot-key check the deduplication.
+    ``tx`` is read twice, for the hot-key check and for the features: pass a stored table.
     """
-    sizes = None
-    if before_dedup is not None:
-        sizes = _debits_by_day(before_dedup).select("user_id", "date").dropna()
-    features = behaviour_features(_debits_by_day(tx), ["user_id", "date"], MODEL_FEATURES, limit, sizes)
-    return features.withColumn("avg_amount", F.coalesce("avg_amount", F.lit(0.0)))
+    days = debits(tx).withColumn("date", F.to_date(TS)).where(F.col("date").isNotNull())
+    return behaviour_features(days, ["user_id", "date"], MODEL_FEATURES, limit).withColumn(
+        "avg_amount", F.coalesce("avg_amount", F.lit(0.0))
+    )

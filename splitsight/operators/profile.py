@@ -53,14 +53,13 @@ def structuring_profile(
     tx: DataFrame,
     users: DataFrame,
     limit: HeatLimit = DEFAULT_HEAT,
-    before_dedup: DataFrame | None = None,
 ) -> DataFrame:
     """One row per user of ``users`` with at least five transactions.
 
-    Hot users are looked for in the whole table, which saves that check the join with ``users``,
-    or in the rows ``before_dedup`` if ``tx`` is deduplicated on the fly.
+    Hot users are looked for in the whole table, which saves that check the join with ``users``.
+    ``tx`` is read more than once: pass a stored table.
     """
-    sizes = (tx if before_dedup is None else before_dedup).select(*KEY).dropna()
+    sizes = tx.select(*KEY).dropna()
     rows = tx.join(users.select("user_id"), "user_id", "left_semi").select(*KEY, TS, AMOUNT, *COUNTED)
     cold, hot = split_by_heat(rows, KEY, limit, sizes)
     profile = _cold_profile(cold)
@@ -91,7 +90,7 @@ def _share_of(hit: Column) -> Column:
 
 def _base_aggregates() -> list[Column]:
     """The parts that combine on the map side whatever the group size."""
-    per_hour = [F.count(F.when(F.hour(TS) == h, 1)) for h in range(24)]
+    per_hour = [F.expr(f"count_if(hour({TS}) = {h})") for h in range(24)]
     amount = F.col(AMOUNT)
     return [
         F.count(F.lit(1)).alias("total_trans"),
@@ -130,7 +129,7 @@ def _cold_profile(cold: DataFrame) -> DataFrame:
             & (F.col("_prev").isNull() | (F.to_date("_prev") != F.to_date(TS))),
         }
     )
-    per_bin = [F.count(F.when(F.col("_bin") == b, 1)) for b in range(MAX_BINS)]
+    per_bin = [F.expr(f"count_if(_bin = {b})") for b in range(MAX_BINS)]
     rows_in_group = F.count(F.lit(1))
     gap_avg = F.avg("_gap")
     return (

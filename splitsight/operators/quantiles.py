@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+# Halving steps of the bucket search: they reach 2 * BUCKET_STEPS[0] buckets.
+BUCKET_STEPS = [32, 16, 8, 4, 2, 1]
+BUCKETS = 2 * BUCKET_STEPS[0]
+
 
 def value_counts(df: DataFrame, value: str, by: list[str], weight: str | None = None) -> DataFrame:
     rows = F.sum(weight) if weight else F.count(F.lit(1))
@@ -30,7 +34,6 @@ def exact_quantiles(
     probs: dict[str, float],
     by: list[str] | None = None,
     weight: str | None = None,
-    buckets: int = 64,
 ) -> DataFrame:
     """One row per group with one column per entry of ``probs``; NULL values are left out.
 
@@ -39,7 +42,7 @@ def exact_quantiles(
     """
     by = by or []
     counted = value_counts(df, value, by, weight)
-    cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    cuts = F.lit([i / BUCKETS for i in range(1, BUCKETS)])
     edges = counted.groupBy(*by).agg(
         F.struct(
             F.percentile_approx("_v", cuts, F.lit(1000)).alias("cuts"),
@@ -50,18 +53,17 @@ def exact_quantiles(
         spread = counted.join(F.broadcast(edges), by)
     else:
         spread = counted.withColumn("_e", edges.scalar())
-    spread = spread.select(
-        *by,
-        "_v",
-        "_n",
-        F.col("_e.total").alias("_total"),
-        F.size(F.filter("_e.cuts", lambda edge: edge < F.col("_v"))).alias("_bucket"),
-    )
+    # Number of edges below the value, by binary search in generated code.
+    spread = spread.withColumn("_bucket", F.lit(0))
+    for step in BUCKET_STEPS:
+        below = F.get("_e.cuts", F.col("_bucket") + (step - 1)) < F.col("_v")
+        spread = spread.withColumn("_bucket", F.col("_bucket") + F.when(below, step).otherwise(0))
+    spread = spread.select(*by, "_v", "_n", F.col("_e.total").alias("_total"), "_bucket")
 
     position = {name: F.lit(p) * (F.col("_total") - 1) for name, p in probs.items()}
     ranks = [f(position[name]).cast("long") for name in probs for f in (F.floor, F.ceil)]
 
-    # At most `buckets` rows per group from here.
+    # At most BUCKETS rows per group from here.
     before = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     sized = spread.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_in"), F.max("_total").alias("_total"))
     placed = sized.withColumn("_before", F.coalesce(F.sum("_in").over(before), F.lit(0)))

@@ -57,6 +57,11 @@ def txo(spark: SparkSession, folder: str) -> DataFrame:
     return clean.drop_duplicate_ids(txr(spark, folder))
 
 
+def clean_o(spark: SparkSession, folder: str) -> DataFrame:
+    """The deduplicated table as a batch job leaves it, for queries that read it more than once."""
+    return stored(txo(spark, folder), "clean")
+
+
 def counts_e(spark: SparkSession, folder: str) -> DataFrame:
     return activity.user_day_counts(txe(spark, folder))
 
@@ -109,7 +114,7 @@ def as_text(tx: DataFrame) -> DataFrame:
 
 
 def day_features_o(spark: SparkSession, folder: str) -> DataFrame:
-    return user_day_features(txo(spark, folder), before_dedup=txr(spark, folder))
+    return user_day_features(clean_o(spark, folder))
 
 
 def active_features(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,9 +123,7 @@ def active_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def profiles(spark: SparkSession, folder: str, first: int | None = None) -> DataFrame:
-    return explore.persistent_profile(
-        txo(spark, folder), MIN_CNT, first=first, before_dedup=txr(spark, folder)
-    )
+    return explore.persistent_profile(clean_o(spark, folder), MIN_CNT, first=first)
 
 
 def scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -167,7 +170,7 @@ def text_cardinality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def amount_describe(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(amounts.describe(txo(spark, folder), "transaction_amount"))
+    return rounded(amounts.describe(clean_o(spark, folder), "transaction_amount"))
 
 
 def count_histograms(spark: SparkSession, folder: str) -> DataFrame:
@@ -196,14 +199,14 @@ def profile_histograms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def normal_vs_active_cv(spark: SparkSession, folder: str) -> DataFrame:
-    tx = txo(spark, folder)
+    tx = clean_o(spark, folder)
     normal = activity.normal_users(tx, activity.user_day_counts(tx), MIN_CNT)
-    return rounded(activity.compare_cv(profiles(spark, folder), normal))
+    return rounded(activity.compare_cv(explore.persistent_profile(tx, MIN_CNT, first=None), normal))
 
 
 def daily_coverage(spark: SparkSession, folder: str) -> DataFrame:
     """Every day from the first to the last transaction, with its number of transactions."""
-    tx = txo(spark, folder)
+    tx = clean_o(spark, folder)
     day = F.to_date("transaction_date").alias("date")
     ends = tx.agg(F.min("transaction_date").alias("a"), F.max("transaction_date").alias("b")).first()
     spine = activity.day_spine(ends.a.date().isoformat(), ends.b.date().isoformat(), tx)
@@ -394,9 +397,9 @@ def build() -> dict[str, Query]:
         "id_format_check": on(ids, quality.id_format_check),
         "id_format_examples": on(ids, quality.id_format_examples),
         "amount_describe": amount_describe,
-        "amount_quantiles": on(txo, amounts.amount_quantiles),
+        "amount_quantiles": on(clean_o, amounts.amount_quantiles),
         "amount_bands": on(txe, amounts.amount_bands),
-        "amount_histogram": on(txo, lambda tx: amounts.histogram(tx, "transaction_amount", 50)),
+        "amount_histogram": on(clean_o, lambda tx: amounts.histogram(tx, "transaction_amount", 50)),
         "user_day_counts": counts_e,
         "user_day_summary": on(counts_e, activity.user_day_summary),
         "activity_bands": on(counts_e, activity.activity_bands),
@@ -408,7 +411,7 @@ def build() -> dict[str, Query]:
         "persistent_users": on(counts_o, lambda c: activity.persistent_users(c, MIN_CNT)),
         "persistent_first100": on(counts_o, lambda c: activity.persistent_users(c, MIN_CNT, first=100)),
         "normal_users": on(
-            txo, lambda tx: activity.normal_users(tx, activity.user_day_counts(tx), MIN_CNT)
+            clean_o, lambda tx: activity.normal_users(tx, activity.user_day_counts(tx), MIN_CNT)
         ),
         "normal_vs_active_cv": normal_vs_active_cv,
         "structuring_profile": on(profiles, lambda p: p),

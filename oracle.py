@@ -282,16 +282,25 @@ def path_length(n: str) -> str:
     )
 
 
-def forest_ctes(day_ctes: str, where: str, trees: int = 100, contamination: float = 0.01) -> str:
+def forest_ctes(
+    day_ctes: str, where: str, trees: int = 100, contamination: float = 0.01, scaled: bool = False
+) -> str:
     """Growth and scoring unrolled over the eight levels; CTEs ``nodes``, ``al`` (alerts), ``thr``."""
     k = len(MODEL_FEATURES)
     values = ", ".join(f"round(coalesce(CAST({c} AS DOUBLE), 0.0), 6)" for c in MODEL_FEATURES)
     lows = ", ".join(f"min(x[{i}])" for i in range(1, k + 1))
     highs = ", ".join(f"max(x[{i}])" for i in range(1, k + 1))
+    means = ", ".join(f"avg(x[{i}])" for i in range(1, k + 1))
+    deviations = ", ".join(f"stddev_pop(x[{i}])" for i in range(1, k + 1))
     ctes = [
         day_ctes,
-        f"""act AS MATERIALIZED (
+        f"""act0 AS MATERIALIZED (
   SELECT * REPLACE (coalesce(avg_amount, 0.0) AS avg_amount), [{values}] AS x FROM feats WHERE cnt_24h > 3 AND {where})""",
+        f"""spread AS (SELECT [{means}] AS mu, [{deviations}] AS sd FROM act0)""",
+        "act AS MATERIALIZED (SELECT * REPLACE (list_transform(range(1, "
+        f"{k + 1}), lambda i: (x[i] - mu[i]) / CASE WHEN sd[i] = 0 THEN 1 ELSE sd[i] END) AS x) FROM act0 CROSS JOIN spread)"
+        if scaled
+        else "act AS (SELECT * FROM act0)",
         "psi AS (SELECT least(256, count(*)) AS psi, ceil(log2(greatest(least(256, count(*)), 2))) AS height FROM act)",
         f"""l0 AS MATERIALIZED (
   SELECT tree, 0::BIGINT AS node, x FROM (
@@ -354,8 +363,8 @@ ALERTS_OUT = (
 DAYS_O = day_features(TXO, "txo")
 
 
-def forest(select: str, where: str = "TRUE", days: str = DAYS_O) -> str:
-    return f"WITH {forest_ctes(days, where)} {select}"
+def forest(select: str, where: str = "TRUE", days: str = DAYS_O, scaled: bool = False) -> str:
+    return f"WITH {forest_ctes(days, where, scaled=scaled)} {select}"
 
 
 # ---------------------------------------------------------------- queries
@@ -553,6 +562,7 @@ def build() -> dict[str, str]:
         "active_users": f"WITH {DAYS_O} SELECT count(DISTINCT user_id) AS users FROM feats WHERE cnt_24h > 3",
         "forest_nodes": forest(f"SELECT tree, node, depth, feature, {r('threshold')}, size, is_leaf FROM nodes"),
         "forest_scores": forest(f"SELECT {ALERTS_OUT} FROM al"),
+        "forest_scaled_scores": forest(f"SELECT {ALERTS_OUT} FROM al", scaled=True),
         "forest_day_thresholds": forest(f"SELECT date, {r('threshold')} FROM thr"),
         "forest_score_stats": forest(
             f"""SELECT count(*) AS n, {r("avg(anomaly_score)", "mean")}, {r("stddev_samp(anomaly_score)", "std")}, {r("min(anomaly_score)", "min")},

@@ -53,23 +53,22 @@ def with_baseline(features: DataFrame, anchors: DataFrame, history: DataFrame |
     if single_window not in ("null", "global"):
         raise ValueError("single_window is 'null' or 'global'")
     names = [f"{m}_{part}" for m in BASELINE_METRICS for part in ("mean", "std")]
-    everyone = anchors.agg(F.struct(F.count(F.lit(1)).alias("rows"), *_moments()).alias("g"))
-    joined = features.join(
-        user_baseline(anchors).select("user_id", F.struct(*names).alias("_u")), "user_id", "left"
-    ).withColumn("_g", everyone.scalar())
+    everyone = anchors.agg(F.struct(F.count(F.lit(1)).alias("rows"), *_moments()))
+    own = user_baseline(anchors).select("user_id", F.struct(*names).alias("_u"))
+    lookups = {"_g": everyone.scalar()}
+    known = []
     if history is not None:
         fallback = fallback_baseline(history)
-        joined = joined.withColumn("_f", fallback.select(F.struct(*fallback.columns)).scalar())
         known = fallback.columns
-    else:
-        known = []
+        lookups["_f"] = fallback.select(F.struct(*known)).scalar()
     resolved = {}
     for name in names:
-        default = F.lit(0.0 if name.endswith("_mean") else 1.0)
-        spare = F.coalesce(F.col(f"_f.{name}"), default) if name in known else default
-        shared = F.when(F.col("_g.rows") > 0, F.col(f"_g.{name}")).otherwise(spare)
-        own = F.col(f"_u.{name}")
-        if single_window == "global" and name.endswith("_std"):
-            own = F.coalesce(own, shared)
-        resolved[name] = F.when(F.col("_u").isNotNull(), own).otherwise(shared)
-    return joined.withColumns(resolved).drop("_u", "_g", "_f")
+        default = "0D" if name.endswith("_mean") else "1D"
+        spare = f"coalesce(_f.{name}, {default})" if name in known else default
+        shared = f"CASE WHEN _g.rows > 0 THEN _g.{name} ELSE {spare} END"
+        repair = single_window == "global" and name.endswith("_std")
+        mine = f"coalesce(_u.{name}, {shared})" if repair else f"_u.{name}"
+        resolved[name] = F.expr(f"CASE WHEN _u IS NOT NULL THEN {mine} ELSE {shared} END")
+    return (
+        features.join(own, "user_id", "left").withColumns(lookups).withColumns(resolved).drop("_u", *lookups)
+    )

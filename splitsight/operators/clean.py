@@ -13,13 +13,21 @@ from splitsight.schema import DEBIT, KEEP_FIRST_ORDER
 
 
 def coerce_transactions(raw: DataFrame) -> DataFrame:
-    """Typed dates and amounts; text that cannot be read becomes NULL, NaN becomes NULL."""
-    return raw.withColumns(
-        {
-            "transaction_date": coerce_timestamp("transaction_date"),
-            "transaction_amount": coerce_number("transaction_amount"),
-        }
-    )
+    """Typed dates and amounts; text that cannot be read becomes NULL, NaN becomes NULL.
+
+    Columns that are typed already are not read as text, so filters on them reach the scan.
+    """
+    kinds = dict(raw.dtypes)
+    ts, amount = F.col("transaction_date"), F.col("transaction_amount")
+    coerced: dict[str, Column] = {}
+    if kinds["transaction_date"] != "timestamp_ntz":
+        text = kinds["transaction_date"] == "string"
+        coerced["transaction_date"] = coerce_timestamp(ts) if text else ts.cast("timestamp_ntz")
+    if kinds["transaction_amount"] == "string":
+        coerced["transaction_amount"] = coerce_number(amount)
+    else:
+        coerced["transaction_amount"] = F.nanvl(amount.cast("double"), F.lit(None).cast("double"))
+    return raw.withColumns(coerced)
 
 
 def drop_duplicate_ids(tx: DataFrame, within_day: bool = False) -> DataFrame:

@@ -42,7 +42,7 @@ def exact_quantiles(
     """
     by = by or []
     counted = value_counts(df, value, by, weight)
-    cuts = F.lit([i / BUCKETS for i in range(1, BUCKETS)])
+    cuts = F.expr(f"array({', '.join(f'{i / BUCKETS}D' for i in range(1, BUCKETS))})")
     edges = counted.groupBy(*by).agg(
         F.struct(
             F.percentile_approx("_v", cuts, F.lit(1000)).alias("cuts"),

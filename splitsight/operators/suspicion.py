@@ -41,12 +41,9 @@ SUMMARY_COLUMNS = [
 def z_scores(with_base: DataFrame, weights: dict[str, float] = WEIGHTS) -> DataFrame:
     """Adds ``z_<m>``; a zero deviation counts as 1, metrics without baseline keep their value."""
     added = {}
-    for metric in weights:
-        value = F.col(metric).cast("double")
-        if metric in BASELINE_METRICS:
-            std = F.col(f"{metric}_std")
-            value = (value - F.col(f"{metric}_mean")) / F.when(std == 0, F.lit(1.0)).otherwise(std)
-        added[f"z_{metric}"] = value
+    for m in weights:
+        z = f"({m} - {m}_mean) / CASE WHEN {m}_std = 0 THEN 1 ELSE {m}_std END" if m in BASELINE_METRICS else m
+        added[f"z_{m}"] = F.expr(f"CAST({z} AS DOUBLE)")
     helpers = [f"{m}_{part}" for m in BASELINE_METRICS for part in ("mean", "std")]
     return with_base.withColumns(added).drop(*helpers)
 

@@ -268,8 +268,7 @@ def forest_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def forest_scaled_scores(spark: SparkSession, folder: str) -> DataFrame:
     active = active_features(spark, folder)
-    found = alerts.alert_table(active, iforest.fit(active, scale=True))
-    return rounded(found.select("user_id", "date", "cnt_24h", F.round("anomaly_score", 3).alias("anomaly_score")))
+    return rounded(alerts.alert_table(active, iforest.fit(active, scale=True)))
 
 
 def forest_day_thresholds(spark: SparkSession, folder: str) -> DataFrame:

@@ -127,8 +127,12 @@ def _cold_profile(cold: DataFrame) -> DataFrame:
             ),
             "_new_day": F.col(TS).isNotNull()
             & (F.col("_prev").isNull() | (F.to_date("_prev") != F.to_date(TS))),
+            "_place": F.row_number().over(whole.orderBy(F.col("_gap").asc_nulls_last())),
+            "_gaps": F.count("_gap").over(whole),
         }
     )
+    # The one or two gaps in the middle; unlike a percentile buffer, the sort can spill.
+    middle = (2 * F.col("_place")).between(F.col("_gaps"), F.col("_gaps") + 2)
     per_bin = [F.expr(f"count_if(_bin = {b})") for b in range(MAX_BINS)]
     rows_in_group = F.count(F.lit(1))
     gap_avg = F.avg("_gap")
@@ -138,7 +142,7 @@ def _cold_profile(cold: DataFrame) -> DataFrame:
             *_base_aggregates(),
             F.count(F.when(F.col("_new_day"), 1)).alias("dias_activos"),
             F.when(gap_avg > 0, F.stddev_samp("_gap") / gap_avg).otherwise(0.0).alias("cv_intervalos"),
-            F.coalesce(F.percentile("_gap", 0.5), F.lit(0.0)).alias("mediana_intervalo_min"),
+            F.coalesce(F.avg(F.when(middle, F.col("_gap"))), F.lit(0.0)).alias("mediana_intervalo_min"),
             ratio_or_zero(F.count(F.when(F.col("_gap") < 2, 1)), F.count("_gap")).alias("pct_rafagas"),
             (F.greatest(*per_bin) / rows_in_group).alias("concentracion_montos"),
             grouped.distinct_values("merchant_id").alias("comercios_unicos"),

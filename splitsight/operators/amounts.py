@@ -57,18 +57,16 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width bins between min and max; every bin but the last is half-open.
 
     All bins are returned, empty ones with 0. If all values are equal the range is widened by 0.5
-    on both sides. No row is returned if there is no value.
+    on both sides. No row is returned if there is no value. ``df`` is read twice, for the range and
+    for the counts.
     """
     value = F.col(column).cast("double")
-    low, high = F.min(value), F.max(value)
-    flat = low == high
-    limits = df.agg(
-        F.struct(
-            F.when(flat, low - 0.5).otherwise(low).alias("lo"),
-            F.when(flat, high + 0.5).otherwise(high).alias("hi"),
-        ).alias("_r")
-    )
-    lo, hi = F.col("_r.lo"), F.col("_r.hi")
+    lo, hi = df.agg(F.min(value), F.max(value)).first()
+    spine = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
+    if lo is None:
+        spine, lo, hi = spine.limit(0), 0.0, 1.0
+    elif lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
     width = (hi - lo) / bins
     guess = F.least(F.floor((value - lo) / (hi - lo) * bins), F.lit(bins - 1))
     # The computed index may be one off for values on an edge.
@@ -78,21 +76,12 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
         + ((value >= lo + (guess + 1) * width) & (guess < bins - 1)).cast("long")
     )
     counted = (
-        df.where(value.isNotNull())
-        .withColumn("_r", limits.scalar())
-        .groupBy(exact.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    spine = (
-        df.sparkSession.range(bins)
-        .withColumnRenamed("id", "bin")
-        .withColumn("_r", limits.scalar())
-        .where(lo.isNotNull())
+        df.where(value.isNotNull()).groupBy(exact.alias("bin")).agg(F.count(F.lit(1)).alias("_n"))
     )
     # Both sides have at most `bins` rows.
     return spine.join(F.broadcast(counted), "bin", "left").select(
         "bin",
-        (lo + F.col("bin") * width).alias("bin_lo"),
+        (F.lit(lo) + F.col("bin") * width).alias("bin_lo"),
         F.when(F.col("bin") == bins - 1, hi).otherwise(lo + (F.col("bin") + 1) * width).alias("bin_hi"),
         F.coalesce("_n", F.lit(0)).alias("n"),
     )

@@ -42,33 +42,43 @@ def fallback_baseline(history: DataFrame) -> DataFrame:
     )
 
 
-def with_baseline(features: DataFrame, anchors: DataFrame, history: DataFrame | None = None, single_window: str = "null") -> DataFrame:
+def shared_baseline(anchors: DataFrame, history: DataFrame | None = None) -> dict[str, float | None]:
+    """Mean and deviation for users without anchors: one row, read by the driver.
+
+    The global row if any anchor row exists. Otherwise the fallback row of ``history``; metrics it
+    lacks, or all of them without ``history``, get mean 0 and deviation 1.
+    """
+    found = anchors.agg(F.count(F.lit(1)).alias("rows"), *_moments()).first().asDict()
+    if found.pop("rows") > 0:
+        return found
+    defaults = {name: 0.0 if name.endswith("_mean") else 1.0 for name in found}
+    if history is None:
+        return defaults
+    spare = fallback_baseline(history).first().asDict()
+    return {name: default if spare.get(name) is None else spare[name] for name, default in defaults.items()}
+
+
+def with_baseline(
+    features: DataFrame,
+    anchors: DataFrame,
+    history: DataFrame | None = None,
+    single_window: str = "null",
+) -> DataFrame:
     """Adds ``<m>_mean`` and ``<m>_std`` for each metric with a baseline.
 
-    Users with anchors use their own numbers, others the global row. If no anchor row exists at
-    all, the fallback row serves everyone and metrics it lacks get mean 0 and deviation 1.
-    ``single_window="global"`` replaces the undefined deviation of one-anchor users by the global
-    one; the default keeps it NULL.
+    Users with anchors use their own numbers, others the shared ones. ``single_window="global"``
+    replaces the undefined deviation of one-anchor users by the shared one; the default keeps it
+    NULL. ``anchors`` is read twice: pass a stored table.
     """
     if single_window not in ("null", "global"):
         raise ValueError("single_window is 'null' or 'global'")
-    names = [f"{m}_{part}" for m in BASELINE_METRICS for part in ("mean", "std")]
-    everyone = anchors.agg(F.struct(F.count(F.lit(1)).alias("rows"), *_moments()))
-    own = user_baseline(anchors).select("user_id", F.struct(*names).alias("_u"))
-    lookups = {"_g": everyone.scalar()}
-    known = []
-    if history is not None:
-        fallback = fallback_baseline(history)
-        known = fallback.columns
-        lookups["_f"] = fallback.select(F.struct(*known)).scalar()
+    shared = shared_baseline(anchors, history)
+    own = user_baseline(anchors).select("user_id", F.struct(*shared).alias("_u"))
     resolved = {}
-    for name in names:
-        default = "0D" if name.endswith("_mean") else "1D"
-        spare = f"coalesce(_f.{name}, {default})" if name in known else default
-        shared = f"CASE WHEN _g.rows > 0 THEN _g.{name} ELSE {spare} END"
-        repair = single_window == "global" and name.endswith("_std")
-        mine = f"coalesce(_u.{name}, {shared})" if repair else f"_u.{name}"
-        resolved[name] = F.expr(f"CASE WHEN _u IS NOT NULL THEN {mine} ELSE {shared} END")
-    return (
-        features.join(own, "user_id", "left").withColumns(lookups).withColumns(resolved).drop("_u", *lookups)
-    )
+    for name, value in shared.items():
+        other = F.lit(value).cast("double")
+        mine = F.col(f"_u.{name}")
+        if single_window == "global" and name.endswith("_std"):
+            mine = F.coalesce(mine, other)
+        resolved[name] = F.when(F.col("_u").isNotNull(), mine).otherwise(other)
+    return features.join(own, "user_id", "left").withColumns(resolved).drop("_u")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from splitsight.operators import baseline, suspicion, windows
 from splitsight.operators.hotkeys import DEFAULT_HEAT, HeatLimit
+from splitsight.session import stored
 
 
 def suspicion_report(
@@ -22,11 +23,16 @@ def suspicion_report(
     single_window: str = "null",
     limit: HeatLimit = DEFAULT_HEAT,
 ) -> DataFrame:
-    """Scores of all users with debits in the trailing window."""
+    """Scores of all users with debits in the trailing window.
+
+    The anchor features, one row per user and anchor, are stored once: the baseline of each user
+    and the one over everyone both read them.
+    """
     end_ts = windows.resolve_end(tx, end_ts)
     features = windows.sliding_features(tx, end_ts, window_hours, limit)
-    anchors = windows.anchor_features(
-        tx, end_ts, lookback_days, step_days, window_hours, exclude_current, limit
+    anchors = stored(
+        windows.anchor_features(tx, end_ts, lookback_days, step_days, window_hours, exclude_current, limit),
+        "anchors",
     )
     history = windows.history(tx, end_ts, lookback_days)
     based = baseline.with_baseline(features, anchors, history, single_window)

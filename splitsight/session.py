@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,12 +29,17 @@ def build_session(app: str = "splitsight", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``, also set as checkpoint folder.
 
-    A local folder is used only when the setting is missing, which is the case in tests on one
-    machine.
+    A temporary folder is used only when the setting is missing and driver and executors are one
+    process; on a cluster a missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
-    root = configured or current or tempfile.mkdtemp(prefix="splitsight-")
+    root = configured or current
+    if root is None:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder when the master is {master}")
+        root = tempfile.mkdtemp(prefix="splitsight-")
     if current is None:
         spark.sparkContext.setCheckpointDir(root)
     return root

@@ -35,9 +35,26 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
 FROM documents
 """
 
+# A run of three lines that stands earlier too is deleted, whichever its length.
+LINE_DEDUP = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(text, chr(10)) AS l FROM documents
+), places AS (
+  SELECT r, doc_id, p, l[p], l[p + 1], l[p + 2], row_number() OVER (PARTITION BY l[p], l[p + 1], l[p + 2] ORDER BY doc_id NULLS LAST, r, p) AS nth
+  FROM (SELECT r, doc_id, l, unnest(range(1, len(l) - 1)) AS p FROM docs WHERE len(l) >= 3)
+), gone AS (
+  SELECT DISTINCT r, unnest([p - 1, p, p + 1]) AS k FROM places WHERE nth > 1
+), per AS (
+  SELECT r, count(*) AS n, string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) AS ks FROM gone GROUP BY r
+)
+SELECT doc_id, coalesce(len(l), 0) AS n_lines, coalesce(n, 0) AS n_deleted, coalesce(ks, '') AS deleted_lines
+FROM docs LEFT JOIN per USING (r)
+"""
+
 
 def build() -> dict[str, str]:
     return {
         "op1_decontamination": DECONTAMINATION,
         "op2_exact_dedup": EXACT_DEDUP,
+        "op3_line_dedup": LINE_DEDUP,
     }

@@ -14,6 +14,7 @@ null ids are packed like any other; an empty table gives no rows; other columns
 from __future__ import annotations
 
 import bisect
+import functools
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterable
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from splitsight.llm.words import tasks_over
+from splitsight.llm.words import LOWER, UPPER, tasks_over, utf8
 from splitsight.session import stored
 
 CAPACITY = 4096
@@ -182,28 +183,65 @@ def plan_runs(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
 # --- tokens --------------------------------------------------------------------------------------
 
 
+def _byte_letters() -> list[str]:
+    """Byte-level letters: printable bytes stand for themselves, the others for letters from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in plain else next(others)) for b in range(256)]
+
+
+LETTERS = _byte_letters()
+LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
+PLAIN_ENDS = b".,;:!?"
+
+
 class WordTokens(dict):
     """Little-endian ids of the words between blanks.
 
-    For a tokenizer that drops white space and never joins what it separates, a text's ids are those
-    of its words in turn. The first ``most`` words of a task are kept; others are encoded again.
+    For a tokenizer that lowers case, drops white space and joins nothing across it, the ids of a text
+    are those of its words in turn. Words of plain letters go to the model at once, others
+    through the whole tokenizer. The first ``most`` words of a worker are kept.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.most = most
 
-    def of(self, texts: list[str | None]) -> list[bytes]:
-        rows = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        missing = list({w for row in rows for w in row if w not in self})
-        encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False) if missing else []
-        new = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(missing, encoded, strict=True)}
-        if len(self) + len(new) <= self.most:
-            self.update(new)
-            return [b"".join(map(self.__getitem__, row)) for row in rows]
-        return [b"".join([self[w] if w in self else new[w] for w in row]) for row in rows]
+    def encoded(self, word: str) -> bytes:
+        lower = word.lower()
+        if lower.isalpha() and max(lower) < "\u0250":
+            ids = [t.id for t in self.model.tokenize("".join([LETTERS[b] for b in lower.encode()]))]
+        else:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        # A letter and what ends a clause are never one token.
+        core = word.rstrip(PLAIN_ENDS)
+        if core and core != word and core.decode()[-1].isalpha():
+            value = self[core] + self[word[len(core) :]]
+        else:
+            value = self.encoded(word.decode())
+        if len(self) < self.most:
+            self[word] = value
+        return value
+
+    def of(self, text: bytes | None) -> bytes:
+        if not text:
+            return b""
+        if b"<|" in text:
+            # May hold a special token, which case would change.
+            return self.encoded(text.decode())
+        return b"".join(map(self.__getitem__, text.translate(LOWERED).split()))
+
+
+@functools.lru_cache(1)
+def word_tokens(path: str) -> WordTokens:
+    """One for each Python worker, which serves many tasks."""
+    return WordTokens(path)
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -211,11 +249,11 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
     last = np.array([end], "<u4").tobytes()
 
     def cut(batches: Iterable[pa.RecordBatch]):
-        cache = WordTokens(vocabulary)
-        for batch in tasks_over(batches, 1000):
+        cache = word_tokens(vocabulary)
+        for batch in tasks_over(batches):
             ids, rows = batch.column(doc_id), []
-            for k, found in enumerate(cache.of(batch.column(text).to_pylist())):
-                found += last
+            for k, t in enumerate(utf8(batch.column(text))):
+                found = cache.of(t) + last
                 for piece, at in enumerate(range(0, len(found), 4 * capacity)):
                     part = found[at : at + 4 * capacity]
                     rows.append((k, piece, at // 4, len(part) // 4, zlib.crc32(part)))

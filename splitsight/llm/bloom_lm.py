@@ -350,6 +350,7 @@ def corpus_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", h
         shard = spark.sparkContext.broadcast(Shard(rows, n_buckets))
         part = _scored(docs, doc_id, text, listed, shard, (low, high), (n_tokens, n_words, n_docs), not parts)
         parts.append(stored(part.withColumn("row", F.monotonically_increasing_id()), "scored"))
+        shard.destroy()
     rows = parts[0] if len(parts) == 1 else _summed(parts)
     known = (
         rows.select("row", F.explode("rare").alias("word"))

@@ -1,18 +1,20 @@
 """Substring deduplication by content-defined chunks.
 
 A gear hash of the last 16 bytes decides at each blank whether a chunk ends there, so an
-insertion moves no boundary beyond its neighbourhood. Chunks are compared by digest; a stretch of
-chunks with earlier copies is a repeat if it has at least ``MIN_WORDS`` words. Whole chunks only are
-cut, so up to a few words at either end of a repeated passage stay.
+insertion moves no boundary beyond its neighbourhood. Chunks are short, so that whole ones fit into any
+passage; since short ones recur by chance, ``IN_A_ROW`` chunks in a row are compared, by the digest of
+their digests. Where these stand earlier too, the chunks are copies, and a stretch of copies is a repeat if it has
+at least ``MIN_WORDS`` words. Whole chunks only are cut, so up to a few words at either end of a
+repeated passage stay.
 
-Texts are cut in parts of bounded size. A part hands on each distinct digest once, so that a
+Texts are handled in parts of bounded size. A part hands on each distinct digest once, so that a
 passage of any frequency is one entry per part; what comes back to a part are its digests that
 occur in an earlier part.
 
 Cases: a null or empty text has no chunks; of equal passages the first in the order of the stored parts
 stays, within a row and between rows, so of repeated rows all but one are repeats; short texts are
 never repeats; null ids are kept; an empty table gives no rows; other columns are not read. A stretch
-without blanks is cut after ``MAX_BYTES``. Digests have 64 bits: a chance collision touches one chunk,
+without blanks is cut after ``MAX_BYTES``. Digests have 64 bits: a chance collision touches one row of chunks,
 which is no stretch.
 """
 
@@ -30,10 +32,11 @@ from pyspark.sql import functions as F
 from splitsight.llm.words import free_name, mixed, tasks_over, utf8
 from splitsight.session import stored
 
-# One blank in three ends a chunk.
-SHARE = 1 / 3
-MIN_BYTES, MAX_BYTES = 8, 512
-MIN_WORDS = 20
+# One blank in two ends a chunk, so that a passage of over 50 words holds whole chunks of 32 words or more.
+SHARE = 1 / 2
+MIN_BYTES, MAX_BYTES = 4, 512
+MIN_WORDS = 32
+IN_A_ROW = 6
 PART_CHUNKS = 500_000
 
 GEAR = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.uint32)
@@ -70,16 +73,29 @@ def chunk_ends(text: bytes) -> list[int]:
     return ends
 
 
+def row_digests(text: bytes, ends: list[int]) -> np.ndarray:
+    """Digests of ``IN_A_ROW`` chunks from each chunk on that has so many."""
+    starts = [0, *ends[:-1]]
+    chunks = np.array([xxhash.xxh3_64_intdigest(text[a:b]) for a, b in zip(starts, ends, strict=True)], np.uint64)
+    n = len(chunks) - IN_A_ROW + 1
+    if n <= 0:
+        return chunks[:0]
+    out = np.zeros(n, np.uint64)
+    for k in range(IN_A_ROW):
+        out = mixed(out + chunks[k : k + n])
+    return out
+
+
 def _parts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One row per part: its documents, and per chunk its length in characters, its words and the
-    distance to its first copy in the part; the digests of first copies with their places."""
+    """One row per part: its documents, and per chunk its length in characters and its words; per row of
+    chunks the distance to its first copy in the part; the digests of first copies with their places."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
-        ids, counts, digests, chars, words = [], [], [], [], []
+        ids, counts, digests, chars, words, size = [], [], [], [], [], 0
 
         def part():
-            hashes = np.fromiter(digests, np.uint64, len(digests))
+            hashes = np.concatenate(digests) if digests else np.zeros(0, np.uint64)
             unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
             back = (np.arange(len(hashes)) - first[inverse]).astype("<u4")
             row = {
@@ -103,19 +119,19 @@ def _parts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 counts.append(len(ends))
                 if not ends:
                     continue
-                starts = [0, *ends[:-1]]
-                digests += [xxhash.xxh3_64_intdigest(t[a:b]) for a, b in zip(starts, ends, strict=True)]
+                digests.append(row_digests(t, ends))
+                size += len(ends)
                 data = np.frombuffer(t, np.uint8)
                 blank = (data == 32) | ((data >= 9) & (data <= 13))
                 begins = ~blank
                 begins[1:] &= blank[:-1]
-                at = np.array(starts)
+                at = np.array([0, *ends[:-1]])
                 chars.append(np.add.reduceat((data & 0xC0) != 0x80, at, dtype=np.int64))
                 words.append(np.add.reduceat(begins, at, dtype=np.int64))
-            if len(digests) >= PART_CHUNKS:
+            if size >= PART_CHUNKS:
                 yield part()
                 number += 1
-                ids, counts, digests, chars, words = [], [], [], [], []
+                ids, counts, digests, chars, words, size = [], [], [], [], [], 0
         if ids:
             yield part()
 
@@ -125,7 +141,7 @@ def _parts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _earlier(parts: DataFrame, n_buckets: int) -> DataFrame:
-    """(part, places): the chunks of a part, first copies there, that an earlier part has too."""
+    """(part, places): the rows of chunks of a part, first copies there, that an earlier part has too."""
 
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = np.array([(b << 64) // n_buckets for b in range(1, n_buckets)], np.uint64)
@@ -165,7 +181,6 @@ def repeat_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
     parts = stored(_parts(docs, doc_id, text), "chunk-parts")
     earlier = _earlier(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
     kind = docs.schema[doc_id].dataType.simpleString()
-    id_type = None
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = {"id": [], "n_chunks": [], "n_repeated": [], "n_words": [], "spans": []}
@@ -178,9 +193,15 @@ def repeat_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
             for x in right["places"].to_pylist():
                 known[np.frombuffer(x, "<u4")] = True
             repeated = (back > 0) | known[np.arange(len(back)) - back]
-            at = 0
+            at = row = 0
             for n in counts.tolist():
-                own = repeated[at : at + n]
+                rows_here = max(0, n - IN_A_ROW + 1)
+                first = np.flatnonzero(repeated[row : row + rows_here])
+                change = np.zeros(n + 1, np.int32)
+                np.add.at(change, first, 1)
+                np.add.at(change, first + IN_A_ROW, -1)
+                own = np.cumsum(change[:n]) > 0
+                row += rows_here
                 edges = np.flatnonzero(np.diff(np.concatenate(([False], own, [False])).astype(np.int8))).reshape(-1, 2)
                 place = np.concatenate(([0], np.cumsum(chars[at : at + n])))
                 size = np.concatenate(([0], np.cumsum(words[at : at + n])))
@@ -195,7 +216,6 @@ def repeat_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
         numbers = [pa.array(rows[c], pa.int64()) for c in ("n_chunks", "n_repeated", "n_words")]
         return pa.Table.from_arrays([ids, *numbers, pa.array(rows["spans"], pairs)], ["id", "n_chunks", "n_repeated", "n_words", "spans"])
 
-    del id_type
     contents = parts.drop("digests", "places").groupBy("part")
     schema = f"id {kind}, n_chunks long, n_repeated long, n_words long, spans array<struct<start:long,end:long>>"
     return contents.cogroup(earlier.groupBy("part")).applyInArrow(finish, schema).withColumnRenamed("id", doc_id)

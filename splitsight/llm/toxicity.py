@@ -1,6 +1,6 @@
 """Toxicity by a classifier chain of linear models.
 
-Categories are predicted one after the other. Every model sees the hashed words of the text and the
+Categories are predicted one after the other. Every model sees which of its words a text has and the
 probabilities of the categories before it; in training these are out-of-fold predictions, so that no
 model learns from probabilities that saw its own labels. Training and scoring run in Spark ML, without
 Python on the executors.
@@ -21,32 +21,35 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from splitsight.llm.words import word_array
 from splitsight.session import stored
 
 CATEGORIES = ("quality", "toxic")
-FEATURES = 1 << 17
+# Words that a model looks at, those that tell its classes apart best in its sample.
+MOST_WORDS = 2000
 MAX_ROWS = 20_000
 FOLDS = 3
 SMOOTHING = 0.001
 STEPS = 10
+# Tasks of a training step: the sample is bounded, so more would not help.
+TASKS = 6
 
 
-def _with_features(df: DataFrame, earlier: Sequence[str]) -> DataFrame:
-    """Hashed words, and for each tenth that an earlier probability reaches a word of its own.
+def _all_words(earlier: Sequence[str]) -> Column:
+    """The words, and for each tenth that an earlier probability reaches a word of its own.
 
-    No text has words with white space, so these meet words only by chance of the hash.
+    No word of a text has white space, so these are apart.
     """
     words = F.col("_words")
     for c in earlier:
         steps = [F.when(F.col(f"_p_{c}") >= k / STEPS, F.lit(f"{c} {k}")) for k in range(1, STEPS)]
         words = F.concat(words, F.array_compact(F.array(*steps)))
-    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="_all", outputCol="_features").transform(df.withColumn("_all", words)).drop("_all")
+    return words
 
 
 @dataclass
@@ -54,6 +57,7 @@ class Link:
     """The model of one category; a constant probability if the sample had one class."""
 
     category: str
+    words: CountVectorizerModel | None
     model: LogisticRegressionModel | None
     share: float
 
@@ -61,16 +65,31 @@ class Link:
         out = f"_p_{self.category}"
         if self.model is None:
             return df.withColumn(out, F.lit(self.share))
-        scored = self.model.transform(_with_features(df, earlier))
-        return scored.withColumn(out, vector_to_array("probability")[1]).drop("_features", "rawPrediction", "probability", "prediction")
+        scored = self.model.transform(self.words.transform(df.withColumn("_all", _all_words(earlier))))
+        return scored.withColumn(out, vector_to_array("probability")[1]).drop("_all", "_features", "rawPrediction", "probability", "prediction")
+
+
+def _telling_words(rows: DataFrame, label: str, n: int, positive: float, most: int) -> list[str]:
+    """The words whose share of documents differs most between the classes, in standard errors."""
+    counted = rows.select(label, F.explode(F.array_distinct("_all")).alias("w")).groupBy("w").agg(F.count("*").alias("n"), F.sum(label).alias("k"))
+    p = F.col("n") / n
+    apart = F.abs(F.col("k") / positive - (F.col("n") - F.col("k")) / (n - positive)) / F.sqrt(p * (1 - p))
+    ordered = counted.where((F.col("n") > 1) & (F.col("n") < n)).orderBy(apart.desc(), "w").limit(most)
+    return [r.w for r in ordered.select("w").collect()]
 
 
 def _fit(rows: DataFrame, category: str, earlier: Sequence[str], iterations: int) -> Link:
-    share = rows.agg(F.avg(F.col(f"_y_{category}"))).first()[0]
-    if share is None or share in (0.0, 1.0):
-        return Link(category, None, share or 0.0)
-    model = LogisticRegression(featuresCol="_features", labelCol=f"_y_{category}", regParam=SMOOTHING, maxIter=iterations, standardization=False)
-    return Link(category, model.fit(_with_features(rows, earlier)), share)
+    label = f"_y_{category}"
+    n, positive = rows.agg(F.count("*"), F.sum(label)).first()
+    if not n or positive in (0, n):
+        return Link(category, None, None, (positive or 0.0) / max(n, 1))
+    rows = rows.withColumn("_all", _all_words(earlier))
+    chosen = _telling_words(rows, label, n, positive, MOST_WORDS)
+    if not chosen:
+        return Link(category, None, None, positive / n)
+    words = CountVectorizerModel.from_vocabulary(chosen, inputCol="_all", outputCol="_features").setBinary(True)
+    model = LogisticRegression(featuresCol="_features", labelCol=label, regParam=SMOOTHING, maxIter=iterations, standardization=False)
+    return Link(category, words, model.fit(words.transform(rows)), positive / n)
 
 
 def train_chain(
@@ -94,8 +113,8 @@ def train_chain(
     share = 1.0 if total <= max_rows else (max_rows - 2 * math.sqrt(max_rows)) / total
     sample = usable.where(place < math.floor(1_000_000 * share)) if share < 1 else usable
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(sample), "_id")
-    rows = rows.withColumn("_words", word_array("_text")).drop("_text").withColumn("_fold", F.pmod(F.hash("_id", F.lit("fold")), F.lit(folds)))
-    rows = stored(rows, "labelled").repartition(8, "_id").persist()
+    rows = rows.withColumn("_words", F.array_distinct(word_array("_text"))).drop("_text").withColumn("_fold", F.pmod(F.hash("_id", F.lit("fold")), F.lit(folds)))
+    rows = stored(rows, "labelled").repartition(TASKS).persist()
     chain: list[Link] = []
     known = rows
     for k, category in enumerate(categories):
@@ -106,7 +125,7 @@ def train_chain(
             merged = outside[0]
             for part in outside[1:]:
                 merged = merged.unionByName(part)
-            known = stored(merged, "out-of-fold").repartition(8, "_id").persist()
+            known = stored(merged, "out-of-fold").repartition(TASKS).persist()
     rows.unpersist()
     known.unpersist()
     return chain

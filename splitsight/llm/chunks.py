@@ -223,13 +223,13 @@ def repeat_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
 
 def without_repeats(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """The rows with repeats cut out of their texts; the other columns as they are."""
-    row = free_name(docs, "row")
+    row, known, cut_at = (free_name(docs, name) for name in ("row", "row_of_spans", "spans"))
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "chunk-rows")
-    found = repeat_spans(rows, row, text, min_words).where("n_repeated > 0").select(F.col(row).alias("_row"), "spans")
+    found = repeat_spans(rows, row, text, min_words).where("n_repeated > 0").select(F.col(row).alias(known), F.col("spans").alias(cut_at))
     # The pieces between the spans, in order.
-    begins = F.concat(F.array(F.lit(0).cast("long")), F.col("spans.end"))
-    stops = F.concat(F.col("spans.start"), F.array(F.length(text).cast("long")))
+    begins = F.concat(F.array(F.lit(0).cast("long")), F.col(f"{cut_at}.end"))
+    stops = F.concat(F.col(f"{cut_at}.start"), F.array(F.length(text).cast("long")))
     pieces = F.transform(F.arrays_zip(begins.alias("a"), stops.alias("b")), lambda p: F.substring(F.col(text), (p["a"] + 1).cast("int"), (p["b"] - p["a"]).cast("int")))
-    cut = F.when(F.col("spans").isNull(), F.col(text)).otherwise(F.array_join(pieces, ""))
-    joined = rows.join(found, F.col(row) == F.col("_row"), "left")
+    cut = F.when(F.col(cut_at).isNull(), F.col(text)).otherwise(F.array_join(pieces, ""))
+    joined = rows.join(found, F.col(row) == F.col(known), "left")
     return joined.select(*[cut.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

@@ -27,6 +27,8 @@ BANDS = 32
 CONTAINED = 0.8
 SMALLEST = 8
 MAX_TEMPLATE_WORDS = 1_000_000
+# Shingles hashed at a time; whole windows of the smallest size.
+PART = 16_384
 
 # License notices as their authors publish them.
 TEMPLATES = {
@@ -60,7 +62,11 @@ def window_signatures(grams: np.ndarray, classes: int) -> Iterator[tuple[int, np
     values of a class come from those of the class below.
     """
     half = SMALLEST // 2
-    blocks = np.minimum.reduceat(grams[:, None] * _SEEDS[None, :], np.arange(0, len(grams), half), axis=0)
+    blocks = []
+    for at in range(0, len(grams), PART):
+        part = grams[at : at + PART, None] * _SEEDS[None, :]
+        blocks.append(np.minimum.reduceat(part, np.arange(0, len(part), half), axis=0))
+    blocks = np.vstack(blocks)
     for _ in range(classes):
         below = np.vstack((blocks, np.full((1, BANDS), _NONE)))
         yield 2 * half, np.minimum(below[:-1], below[1:])
@@ -106,7 +112,7 @@ class Templates:
 
     def found(self, grams: np.ndarray) -> list[tuple[str, int, int, float]]:
         """(name, first word, word after the last, containment) of each place of a template, in order."""
-        out: dict[tuple[int, int], tuple[str, int, int, float]] = {}
+        out: dict[int, dict[int, tuple[str, int, int, float]]] = defaultdict(dict)
         if not len(grams) or not self.keys:
             return []
         for k, (size, values) in enumerate(window_signatures(grams, max(self.keys) + 1)):
@@ -128,8 +134,17 @@ class Templates:
                     share = len(np.unique(part[near])) / len(self.grams[t])
                     if share >= CONTAINED:
                         first = low + int(near[0])
-                        out.setdefault((t, first), (self.names[t], first, low + int(near[-1]) + SHINGLE, share))
-        return sorted(out.values(), key=lambda x: (x[1], x[0], x[2]))
+                        out[t].setdefault(first, (self.names[t], first, low + int(near[-1]) + SHINGLE, share))
+        return sorted((x for places in out.values() for x in apart(places.values())), key=lambda x: (x[1], x[0], x[2]))
+
+
+def apart(places: Iterable[tuple[str, int, int, float]]) -> list[tuple[str, int, int, float]]:
+    """Of overlapping places of a template the fullest, then the shortest, then the first."""
+    kept: list[tuple[str, int, int, float]] = []
+    for x in sorted(places, key=lambda x: (-x[3], x[2] - x[1], x[1])):
+        if all(x[2] <= y[1] or y[2] <= x[1] for y in kept):
+            kept.append(x)
+    return kept
 
 
 def license_spans(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str = "text", name: str = "name", template: str = "text") -> DataFrame:

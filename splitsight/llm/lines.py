@@ -29,7 +29,7 @@ MIN_LINES = 3
 
 
 def _numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Stored (id, row, n, lines): 64-bit pairs of hashes stand for the lines."""
+    """Stored (id, row, n, lines): pairs of hashes, 96 bits, stand for the lines."""
     lines = F.split(F.col(text), "\n", -1)
     hashed = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), F.hash(x).alias("g")))
     rows = docs.select(F.col(doc_id).alias("id"), hashed.alias("lines"), F.monotonically_increasing_id().alias("row"))
@@ -107,13 +107,13 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
     """The rows without the lines of copied runs; the other columns as they are."""
-    number, removed = free_name(docs, "row"), free_name(docs, "deleted")
+    number, removed, known = (free_name(docs, name) for name in ("line_row", "deleted", "row_of_deleted"))
     rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "line-rows")
     key = F.struct(F.col(doc_id).isNull(), F.col(doc_id), F.col(number))
     found = repeated_lines(rows.withColumn(number, key), number, text, min_lines)
-    found = found.where(F.size("deleted") > 0).select(F.col(f"{number}.{number}").alias("_row"), F.col("deleted").alias(removed))
+    found = found.where(F.size("deleted") > 0).select(F.col(f"{number}.{number}").alias(known), F.col("deleted").alias(removed))
     lines = F.split(F.col(text), "\n", -1)
     kept = F.filter(lines, lambda _, i: ~F.array_contains(F.col(removed), i))
     cut = F.when(F.col(removed).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
-    joined = rows.join(found, F.col(number) == F.col("_row"), "left")
+    joined = rows.join(found, F.col(number) == F.col(known), "left")
     return joined.select(*[cut.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

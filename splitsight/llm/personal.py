@@ -102,8 +102,11 @@ def _identifiers(text: Column, base: Column) -> Column:
         context = F.lower(F.trim(F.regexp_replace(F.regexp_extract(near, CONTEXT, 0), r"\s+", " ")))
         begins = F.filter(base, lambda b: (b["start"] >= m["start"]) & (b["start"] < m["end"]))
         touched = F.exists(base, lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"]))
+        first = F.get(begins, F.lit(0))
+        # The instance is the whole base entity, or the token.
+        value = F.when(first.isNotNull(), F.substring(text, first["start"] + 1, first["end"] - first["start"])).otherwise(m["value"])
         return F.struct(
-            m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"), context.alias("context"), F.get(begins, F.lit(0))["kind"].alias("kind"), (~touched).alias("free")
+            m["start"].alias("start"), m["end"].alias("end"), value.alias("value"), context.alias("context"), first["kind"].alias("kind"), (~touched).alias("free")
         )
 
     return F.transform(places, described)

@@ -34,7 +34,8 @@ CATEGORIES = ("quality", "toxic")
 MOST_WORDS = 2000
 MAX_ROWS = 20_000
 FOLDS = 3
-SMOOTHING = 0.001
+# Absolute values: words that tell nothing more get no weight.
+SMOOTHING = 2e-4
 STEPS = 10
 # Tasks of a training step: the sample is bounded, so more would not help.
 TASKS = 6
@@ -88,7 +89,7 @@ def _fit(rows: DataFrame, category: str, earlier: Sequence[str], iterations: int
     if not chosen:
         return Link(category, None, None, positive / n)
     words = CountVectorizerModel.from_vocabulary(chosen, inputCol="_all", outputCol="_features").setBinary(True)
-    model = LogisticRegression(featuresCol="_features", labelCol=label, regParam=SMOOTHING, maxIter=iterations, standardization=False)
+    model = LogisticRegression(featuresCol="_features", labelCol=label, regParam=SMOOTHING, elasticNetParam=1.0, maxIter=iterations)
     return Link(category, words, model.fit(words.transform(rows)), positive / n)
 
 

@@ -4,7 +4,8 @@ from tests.llm.conftest import rows_of
 
 def test_largest_id_stays(documents):
     docs = documents(["a", "b", "a", None, "", "a "], [(None, "b", None, None, None), (None, "lone", None, None, None), (5, "a ", "en", "s", 2)])
-    got = sorted((r.doc_id if r.doc_id is not None else -1, r.keep_id, r.group_size, r.kept) for r in exact.exact_groups(docs).collect())
+    rows = [(r.doc_id if r.doc_id is not None else -1, r.keep_id, r.group_size, r.kept) for r in exact.exact_groups(docs).collect()]
+    got = sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1:2], r[3]) if r[1] is not None else (r[0], False, (), True))
     assert [r for r in got if r[0] != 5] == [
         (-1, None, 1, True), (-1, 1, 2, False), (0, 2, 2, False), (1, 1, 2, True), (2, 2, 2, True), (3, 4, 2, False), (4, 4, 2, True),
     ]

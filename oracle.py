@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from splitsight.schema import ANCHOR_FEATURES, BASELINE_METRICS, MODEL_FEATURES, SLIDING_FEATURES
+# Output columns of the feature blocks, in order.
+MODEL_FEATURES = (
+    "cnt_24h sum_24h avg_amount amount_std unique_merchants unique_subsidiaries amount_cv amount_range "
+    "merchant_concentration subsidiary_concentration same_amount_ratio avg_interval_minutes std_interval_minutes"
+).split()
+SLIDING_FEATURES = (
+    "cnt_24h sum_24h avg_amount unique_merchants unique_subsidiaries hour_dispersion amount_cv amount_range "
+    "merchant_concentration subsidiary_concentration same_amount_ratio avg_interval_minutes std_interval_minutes"
+).split()
+ANCHOR_FEATURES = (
+    "cnt_24h sum_24h avg_amount unique_merchants unique_subsidiaries amount_cv merchant_concentration "
+    "same_amount_ratio avg_interval_minutes"
+).split()
+BASELINE_METRICS = "cnt_24h sum_24h avg_amount unique_merchants merchant_concentration same_amount_ratio avg_interval_minutes".split()
 
 AMOUNT = "transaction_amount"
 TS = "transaction_date"
@@ -114,6 +127,14 @@ def day_features(ctes: str, table: str) -> str:
 {feature_ctes("deb", "user_id, date")}"""
 
 
+def rolling(amount: str) -> str:
+    """Windows of each debit; sums of 1e15 and more are left out."""
+    total = f"CASE WHEN sum({AMOUNT}) OVER w < 1e15 THEN sum({AMOUNT}) OVER w END"
+    return f"""WITH {TXE}, deb AS (SELECT * REPLACE ({amount} AS {AMOUNT}) FROM txe WHERE transaction_type = 'DEBITO')
+        SELECT _id, user_id, {TS}, count({AMOUNT}) OVER w AS cnt_24h, {r(total, "sum_24h")}, count(DISTINCT merchant_id) OVER w AS unique_merchants
+        FROM deb WINDOW w AS (PARTITION BY user_id ORDER BY {TS} RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW)"""
+
+
 def user_day(ctes: str, table: str, where: str = "TRUE") -> str:
     return f"WITH {day_features(ctes, table)} SELECT user_id, date, {outputs(MODEL_FEATURES, True)} FROM feats WHERE {where}"
 
@@ -371,13 +392,13 @@ def forest(select: str, where: str = "TRUE", days: str = DAYS_O, scaled: bool =
 
 
 def build() -> dict[str, str]:
-    return {
+    found = {
         "user_day_features": user_day(TXO, "txo"),
         "user_day_features_events": user_day(TXE, "txe"),
         "user_day_features_holes": user_day(HOLES, "holes"),
         "source_union_counts": f"""WITH {TXE}, {TXR}
             SELECT 'events' AS source, count(*) AS rows FROM txe UNION ALL SELECT 'orders', count(*) FROM txr
-            UNION ALL SELECT 'both', (SELECT count(*) FROM txe) + (SELECT count(*) FROM txr)""",
+            UNION ALL SELECT unnest(['both', 'total']), (SELECT count(*) FROM txe) + (SELECT count(*) FROM txr)""",
         "coerced_transactions": f"""WITH {TXE} SELECT _id, CAST(user_id AS VARCHAR) AS user_id,
             CASE WHEN CAST(_id AS BIGINT) % 11 <> 0 THEN {TS} END AS {TS},
             {r(f"CASE WHEN CAST(_id AS BIGINT) % 7 > 2 THEN {AMOUNT} END", AMOUNT)}, transaction_type,
@@ -522,9 +543,8 @@ def build() -> dict[str, str]:
         "sliding_24h_features": f"WITH {TXE}, {WINDOW}, {feature_ctes('win', 'user_id')} SELECT user_id, {outputs(SLIDING_FEATURES)} FROM feats",
         "daily_sliding_features": f"""WITH {TXE}, {HISTORY}, {anchored(1, 1)}, {feature_ctes("anch", "user_id, analysis_date")}
             SELECT user_id, analysis_date, {outputs(SLIDING_FEATURES)} FROM feats""",
-        "rolling_24h": f"""WITH {TXE} SELECT DISTINCT user_id, {TS}, count({AMOUNT}) OVER w AS cnt_24h, {r(f"sum({AMOUNT}) OVER w", "sum_24h")}
-            FROM txe WHERE transaction_type = 'DEBITO'
-            WINDOW w AS (PARTITION BY user_id ORDER BY {TS} RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW)""",
+        "rolling_24h": rolling(AMOUNT),
+        "rolling_24h_large": rolling(f"CASE WHEN CAST(_id AS BIGINT) % 50 = 0 THEN 1e16 ELSE {AMOUNT} END"),
         "anchor_features": f"WITH {ANCHORS} SELECT user_id, analysis_date, {outputs(ANCHOR_FEATURES)} FROM af",
         "top_merchant": f"""WITH {TXE}, {HISTORY}, {anchored(3)}
             SELECT * FROM (SELECT user_id, analysis_date, merchant_id AS top_merchant, count(*) AS tx_count FROM anch WHERE merchant_id IS NOT NULL
@@ -559,6 +579,8 @@ def build() -> dict[str, str]:
               (SELECT min(CAST({TS} AS DATE)) FROM txo), (SELECT max(CAST({TS} AS DATE)) FROM txo), INTERVAL 1 DAY))::DATE AS date)
             SELECT d.date, count(t._id) AS transactions FROM d LEFT JOIN txo t ON CAST(t.{TS} AS DATE) = d.date GROUP BY d.date""",
         "features_in_range": user_day(TXE, "txe", f"date {RANGE}"),
+        "features_one_day": user_day(TXE, "txe", "date = DATE '2024-01-10'"),
+        "features_quiet_day": user_day(TXE, "txe", f"date {RANGE} AND date <> DATE '2024-01-10'"),
         "active_users": f"WITH {DAYS_O} SELECT count(DISTINCT user_id) AS users FROM feats WHERE cnt_24h > 3",
         "forest_nodes": forest(f"SELECT tree, node, depth, feature, {r('threshold')}, size, is_leaf FROM nodes"),
         "forest_scores": forest(f"SELECT {ALERTS_OUT} FROM al"),
@@ -577,6 +599,12 @@ def build() -> dict[str, str]:
         ),
         "forest_top10": forest(f"SELECT {ALERTS_OUT} FROM (SELECT * FROM al ORDER BY anomaly_score, user_id, date LIMIT 10)"),
         "backfilled_alerts": forest(f"SELECT {ALERTS_OUT} FROM al", f"date {RANGE}", day_features(TXE, "txe")),
+        "stream_24h_counts_batches": f"""WITH {TXE}, deb AS (SELECT * FROM txe WHERE transaction_type = 'DEBITO'), w AS (
+              SELECT user_id, date_trunc('hour', {TS}) - i * INTERVAL 1 HOUR AS window_start, {AMOUNT} FROM deb CROSS JOIN range(0, 24) t(i))
+            SELECT user_id, window_start, count({AMOUNT}) AS cnt_24h, {r(f"sum({AMOUNT})", "sum_24h")} FROM w GROUP BY user_id, window_start""",
+        "stream_day_alerts_batches": f"""WITH {TXE} SELECT user_id, CAST({TS} AS DATE) AS date, count({AMOUNT}) AS cnt_24h,
+              CASE WHEN count({AMOUNT}) > 5 THEN 'Alta' ELSE 'Media' END AS alert FROM txe WHERE transaction_type = 'DEBITO'
+            GROUP BY 1, 2 HAVING count({AMOUNT}) > 3""",
         "stream_24h_counts": f"""WITH {TXE}, deb AS (SELECT * FROM txe WHERE transaction_type = 'DEBITO'), w AS (
               SELECT user_id, date_trunc('hour', {TS}) - i * INTERVAL 1 HOUR AS window_start, {AMOUNT} FROM deb CROSS JOIN range(0, 24) t(i))
             SELECT user_id, window_start, count({AMOUNT}) AS cnt_24h, {r(f"sum({AMOUNT})", "sum_24h")} FROM w
@@ -589,3 +617,16 @@ def build() -> dict[str, str]:
         "stream_distinct_ids": "SELECT DISTINCT l_orderkey || '-' || l_linenumber AS _id FROM lineitem",
         "stream_model_alerts": forest(f"SELECT {ALERTS_OUT} FROM al", days=day_features(TXE, "txe")),
     }
+    # The same results by another way: hot keys, several micro-batches, a model without contamination.
+    same = {
+        "user_day_features_hot": "user_day_features_events",
+        "anchor_features_hot": "anchor_features",
+        "structuring_profile_hot": "structuring_profile",
+        "rolling_24h_hot": "rolling_24h",
+        "rolling_24h_large_hot": "rolling_24h_large",
+        "forest_default_contamination": "forest_scores",
+        "stream_distinct_ids_batches": "stream_distinct_ids",
+        "stream_model_alerts_batches": "stream_model_alerts",
+    }
+    found["coerced_formats"] = f"WITH {TXE} SELECT * REPLACE ({r(AMOUNT)}) FROM txe"
+    return found | {name: found[other] for name, other in same.items()}

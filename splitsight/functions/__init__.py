@@ -1,9 +1,9 @@
 from splitsight.functions.scalars import (
     bands,
-    clean_zero,
     coerce_number,
     coerce_timestamp,
     hours,
+    micros,
     minutes_between,
     ratio_or_zero,
     to_ntz,
@@ -11,10 +11,10 @@ from splitsight.functions.scalars import (
 
 __all__ = [
     "bands",
-    "clean_zero",
     "coerce_number",
     "coerce_timestamp",
     "hours",
+    "micros",
     "minutes_between",
     "ratio_or_zero",
     "to_ntz",

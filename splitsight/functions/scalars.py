@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column
@@ -17,15 +18,29 @@ def coerce_number(col: str | Column) -> Column:
     return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
-def coerce_timestamp(col: str | Column) -> Column:
-    """Text to a zone-free timestamp; unparsable text becomes NULL."""
+def coerce_timestamp(col: str | Column, formats: Sequence[str] = ()) -> Column:
+    """Text to a zone-free timestamp; unparsable text becomes NULL.
+
+    ISO text is tried first, then the given patterns in turn.
+    """
     column = F.col(col) if isinstance(col, str) else col
-    return column.try_cast("timestamp_ntz")
+    text = column.cast("string")
+    tried = [column.try_cast("timestamp_ntz")]
+    tried += [F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz") for pattern in formats]
+    return F.coalesce(*tried)
+
+
+def micros(ts: str | Column) -> Column:
+    """Microseconds of a zone-free timestamp since 1970, whatever the session time zone."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    days = F.date_diff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
+    seconds = days * 86_400 + F.hour(ts) * 3_600 + F.minute(ts) * 60
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long")
 
 
 def minutes_between(earlier: Column, later: Column) -> Column:
     """Difference in minutes with microsecond precision."""
-    return F.timestamp_diff("MICROSECOND", earlier, later) / F.lit(6e7)
+    return (micros(later) - micros(earlier)) / F.lit(6e7)
 
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
@@ -55,8 +70,3 @@ def to_ntz(value: str | date | datetime | Column) -> Column:
         return value.cast("timestamp_ntz")
     text = value if isinstance(value, str) else value.isoformat()
     return F.lit(text).cast("timestamp_ntz")
-
-
-def clean_zero(value: Column, digits: int) -> Column:
-    """Rounded value without a negative zero."""
-    return F.round(value, digits) + F.lit(0.0)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from splitsight.functions import bands
 from splitsight.operators.quantiles import exact_quantiles
+from splitsight.session import stored
 
 # Upper bounds and labels of the activity bands.
 ACTIVITY_BANDS = [(1, "1"), (5, "2-5"), (10, "6-10"), (20, "11-20"), (50, "21-50"), (100, "51-100")]
@@ -24,7 +25,11 @@ def user_day_counts(tx: DataFrame) -> DataFrame:
 
 
 def user_day_summary(counts: DataFrame) -> DataFrame:
-    """Cases, users, days, transactions, mean, median and maximum per user-day: one row."""
+    """Cases, users, days, transactions, mean, median and maximum per user-day: one row.
+
+    ``counts`` is stored, so that its source is read once.
+    """
+    counts = stored(counts, "user-day-counts")
     sizes = counts.groupBy("cnt_24h").agg(F.count(F.lit(1)).alias("_n"))
     median = exact_quantiles(sizes, "cnt_24h", {"p50": 0.5}, weight="_n")
     users = counts.select("user_id").distinct().agg(F.count(F.lit(1)))

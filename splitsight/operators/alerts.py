@@ -33,23 +33,32 @@ def day_thresholds(decisions: DataFrame, contamination: float) -> DataFrame:
 def with_dynamic_flag(decisions: DataFrame, contamination: float | None) -> DataFrame:
     """Flags scores strictly below the threshold of their own day."""
     share = CONTAMINATION if contamination is None else contamination
-    # One row per calendar day.
-    thresholds = F.broadcast(day_thresholds(decisions, share))
-    return decisions.join(thresholds, "date").withColumn(
+    return decisions.join(day_thresholds(decisions, share), "date").withColumn(
         "flag_suspicious_dynamic", F.col("anomaly_score") < F.col("threshold")
     )
 
 
+def scored_rows(features: DataFrame, model: ForestModel) -> DataFrame:
+    """Scores and static flags; feature columns that are missing come out NULL."""
+    return _without_dynamic(decision_scores(features, model))
+
+
+def _without_dynamic(decisions: DataFrame) -> DataFrame:
+    missing = {c: F.lit(None).cast(kind) for c, kind in OPTIONAL_COLUMNS.items() if c not in decisions.columns}
+    return decisions.withColumns(missing).select("user_id", "date", *OPTIONAL_COLUMNS, "anomaly_score", "flag_suspicious")
+
+
+def flagged(decisions: DataFrame, contamination: float | None) -> DataFrame:
+    """The alert table of rows that are scored and stored."""
+    return with_dynamic_flag(_without_dynamic(decisions), contamination).select(*ALERT_COLUMNS)
+
+
 def alert_table(features: DataFrame, model: ForestModel) -> DataFrame:
-    """All scored user-days in nine columns; feature columns that are missing come out NULL.
+    """All scored user-days in nine columns.
 
     The scored rows are stored once, since the threshold of a day and the flag both need them.
     """
-    missing = {c: F.lit(None).cast(kind) for c, kind in OPTIONAL_COLUMNS.items() if c not in features.columns}
-    scored = decision_scores(features, model).withColumns(missing)
-    kept = scored.select("user_id", "date", *OPTIONAL_COLUMNS, "anomaly_score", "flag_suspicious")
-    flagged = with_dynamic_flag(stored(kept, "decisions"), model.contamination)
-    return flagged.select(*ALERT_COLUMNS)
+    return flagged(stored(scored_rows(features, model), "decisions"), model.contamination)
 
 
 def lowest_scores(scored: DataFrame, n: int = 10) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from splitsight.functions import bands
 from splitsight.operators.quantiles import exact_quantiles, value_counts
+from splitsight.session import stored
 
 AMOUNT = "transaction_amount"
 
@@ -17,27 +18,25 @@ AMOUNT_BAND_ABOVE = ">500"
 
 
 def describe(df: DataFrame, column: str, probs: dict[str, float] | None = None) -> DataFrame:
-    """Count, mean, sample deviation, min, quantiles, max and number of distinct values: one row."""
+    """Count, mean, sample deviation, min, quantiles, max and number of distinct values: one row.
+
+    ``df`` is read once: all of it follows from the rows per distinct value, which are stored.
+    """
     probs = probs or {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-    value = F.col(column)
-    moments = df.agg(
-        F.count(value).alias("count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-    )
-    distinct = value_counts(df, column, []).agg(F.count(F.lit(1)))
-    quantiles = exact_quantiles(df, column, probs).select(F.struct("*"))
-    return moments.withColumn("_q", quantiles.scalar()).select(
-        "count",
-        "mean",
-        "std",
-        "min",
-        "_q.*",
-        "max",
-        distinct.scalar().alias("distinct_values"),
+    counted = stored(value_counts(df, column, []), "value-counts")
+    value, n = F.col("_v").cast("double"), F.col("_n")
+    mean = counted.agg(F.sum(value * n) / F.sum(n)).scalar()
+    square = F.sum(n * F.pow(value - mean, 2))
+    quantiles = exact_quantiles(counted, "_v", probs, weight="_n").select(F.struct("*"))
+    moments = counted.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("count"),
+        (F.sum(value * n) / F.sum(n)).alias("mean"),
+        F.sqrt(F.try_divide(square, F.sum(n) - 1)).alias("std"),
+        F.min("_v").alias("min"),
+        F.max("_v").alias("max"),
+        F.count(F.lit(1)).alias("distinct_values"),
     )
+    return moments.withColumn("_q", quantiles.scalar()).select("count", "mean", "std", "min", "_q.*", "max", "distinct_values")
 
 
 def amount_quantiles(tx: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -12,9 +13,11 @@ from splitsight.functions import coerce_number, coerce_timestamp, to_ntz
 from splitsight.schema import DEBIT, KEEP_FIRST_ORDER
 
 
-def coerce_transactions(raw: DataFrame) -> DataFrame:
+def coerce_transactions(raw: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
     """Typed dates and amounts; text that cannot be read becomes NULL, NaN becomes NULL.
 
+    Dates are read as ISO text or by one of ``date_formats``.
+
     Columns that are typed already are not read as text, so filters on them reach the scan.
     """
     kinds = dict(raw.dtypes)
@@ -22,7 +25,7 @@ def coerce_transactions(raw: DataFrame) -> DataFrame:
     coerced: dict[str, Column] = {}
     if kinds["transaction_date"] != "timestamp_ntz":
         text = kinds["transaction_date"] == "string"
-        coerced["transaction_date"] = coerce_timestamp(ts) if text else ts.cast("timestamp_ntz")
+        coerced["transaction_date"] = coerce_timestamp(ts, date_formats) if text else ts.cast("timestamp_ntz")
     if kinds["transaction_amount"] == "string":
         coerced["transaction_amount"] = coerce_number(amount)
     else:

@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from splitsight.functions import minutes_between
+from splitsight.functions import micros, minutes_between
 
 TS = "transaction_date"
+MICROS_PER_MINUTE = 60_000_000
 
 
 # ---------------------------------------------------------------- cold groups
@@ -74,7 +75,7 @@ def hot_gaps(df: DataFrame, keys: list[str]) -> DataFrame:
     """
     instants = (
         df.where(F.col(TS).isNotNull()).groupBy(*keys, TS).agg(F.count(F.lit(1)).alias("_same"))
-    ).withColumn("_minute", F.timestamp_diff("MINUTE", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(TS)))
+    ).withColumn("_minute", F.floor(micros(TS) / MICROS_PER_MINUTE))
 
     in_minute = W.partitionBy(*keys, "_minute").orderBy(TS)
     inside = instants.select(
@@ -98,8 +99,7 @@ def hot_gap_stats(gaps: DataFrame, keys: list[str]) -> DataFrame:
         (F.sum(F.col("_gap") * F.col("_weight")) / F.sum("_weight")).alias("_gap_avg"),
         F.sum(F.when(F.col("_gap") < 2, F.col("_weight")).otherwise(0)).alias("_bursts"),
     )
-    # One row per hot group: bounded by the hot-key limit.
-    spread = gaps.join(F.broadcast(totals), keys).groupBy(*keys).agg(
+    spread = gaps.join(totals, keys).groupBy(*keys).agg(
         F.sum(F.col("_weight") * F.pow(F.col("_gap") - F.col("_gap_avg"), 2)).alias("_sq")
     )
     return totals.join(spread, keys).select(

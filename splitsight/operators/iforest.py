@@ -1,7 +1,8 @@
 """Isolation forest on Spark (Liu, Ting and Zhou, ICDM 2008), reproducible from hash seeds.
 
-*Sampling.* Every row gets one hash per tree; a tree takes the ``psi`` rows with the smallest
-hashes. A hash bound leaves about ``4 * psi`` candidates per tree before anything is sorted.
+*Sampling.* A hash of the row picks a pool of about four times the rows that the trees need together. A
+row of the pool gets one hash per tree; a tree takes the ``psi`` rows with the smallest hashes, of which a
+bound leaves about ``4 * psi`` before anything is sorted.
 
 *Growth.* One group of at most ``psi`` rows per tree, grown where it lands. All choices are hashes
 of (seed, tree, node), so a fit does not depend on how the rows are partitioned.
@@ -18,7 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -101,37 +102,43 @@ def average_path(n: float) -> float:
     return 2.0 * (math.log(n - 1.0) + EULER_GAMMA) - 2.0 * (n - 1.0) / n
 
 
-def _sample_hash(tree: Column, seed: int) -> Column:
-    key = F.concat_ws("|", *[F.col(c).cast("string") for c in ROW_KEY], tree.cast("string"), F.lit(str(seed)))
+def _hash(*more: Column) -> Column:
+    key = F.concat_ws("|", *[F.col(c).cast("string") for c in ROW_KEY], *more)
     return F.substring(F.md5(key), 1, HASH_HEX_DIGITS)
 
 
-def draw_samples(
-    rows: DataFrame, n_rows: int, psi: int, n_trees: int, seed: int, whole: bool = False
-) -> DataFrame:
+def _sample_hash(tree: Column, seed: int) -> Column:
+    return _hash(tree.cast("string"), F.lit(str(seed)))
+
+
+def _below(share: float) -> str:
+    """The bound under which ``share`` of all hashes lie."""
+    return format(int(share * 16**HASH_HEX_DIGITS), f"0{HASH_HEX_DIGITS}x")
+
+
+def draw_samples(rows: DataFrame, n_rows: int, psi: int, n_trees: int, seed: int, spare: float = 4.0) -> DataFrame:
     """``psi`` rows per tree, drawn without replacement.
 
-    Unless ``whole``, only rows below a hash bound are ranked. The bound leaves four times the rows
-    needed on average; a tree that still gets too few is seen by its root being too small.
+    One hash per row picks a pool of ``spare`` times the rows that all trees need together; only rows
+    of the pool get a hash for each tree, and a bound leaves ``spare`` times the rows that a tree
+    needs to be ranked. A tree that still gets too few is seen by its root being too small.
     """
     trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
+    pool_share = spare * psi * n_trees / max(n_rows, 1)
+    if pool_share < 1.0:
+        rows = rows.where(_hash(F.lit(f"pool {seed}")) < _below(pool_share))
+    share = spare * psi / max(n_rows * min(pool_share, 1.0), 1.0)
+    if share < 1.0:
+        bound = _below(share)
+        trees = F.filter(trees, lambda tree: _sample_hash(tree, seed) < bound)
     rank = F.row_number().over(W.partitionBy("tree").orderBy("_h", *ROW_KEY))
-
-    def smallest(candidate_trees: Column) -> DataFrame:
-        return (
-            rows.withColumn("tree", F.explode(candidate_trees))
-            .withColumn("_h", _sample_hash(F.col("tree"), seed))
-            .withColumn("_rank", rank)
-            .where(F.col("_rank") <= psi)
-            .drop("_rank", "_h")
-        )
-
-    share = 4.0 * psi / max(n_rows, 1)
-    if whole or share >= 1.0:
-        return smallest(trees)
-    # Rows are copied only for the trees that may take them.
-    bound = format(int(share * 16**HASH_HEX_DIGITS), f"0{HASH_HEX_DIGITS}x")
-    return smallest(F.filter(trees, lambda tree: _sample_hash(tree, seed) < bound))
+    return (
+        rows.withColumn("tree", F.explode(trees))
+        .withColumn("_h", _sample_hash(F.col("tree"), seed))
+        .withColumn("_rank", rank)
+        .where(F.col("_rank") <= psi)
+        .drop("_rank", "_h")
+    )
 
 
 def _grower(names: list[str], psi: int, seed: int):
@@ -219,7 +226,7 @@ def sample_score(nodes: pd.DataFrame, psi: int, inputs: list[Column]) -> Column:
     return F.round(_isolation_score(nodes, psi)(*inputs), SCORE_DIGITS)
 
 
-def fit(
+def grow(
     features: DataFrame,
     n_trees: int = TREES,
     sample_size: int = SAMPLE_SIZE,
@@ -228,7 +235,7 @@ def fit(
     scale: bool = False,
     names: list[str] = MODEL_FEATURES,
 ) -> ForestModel:
-    """Trains on the given user-days (already filtered by activity).
+    """The trees for the given user-days (already filtered by activity), without an offset.
 
     The rows are read several times; pass a stored table.
     """
@@ -238,25 +245,38 @@ def fit(
     scaling = scaling_of(matrix(features, names), names) if scale else None
     rows = matrix(features, names, scaling)
     psi = min(sample_size, n_rows)
+    spare, roots = 4.0, None
     # At most n_trees * (2 * psi - 1) nodes, whatever the size of the data.
-    for whole in (False, True):
-        drawn = draw_samples(rows, n_rows, psi, n_trees, seed, whole)
-        nodes = grow_forest(drawn, names, psi, seed).toPandas()
+    while roots is None or len(roots) < n_trees or roots.min() < psi:
+        nodes = grow_forest(draw_samples(rows, n_rows, psi, n_trees, seed, spare), names, psi, seed).toPandas()
         roots = nodes.loc[nodes["node"] == 0, "size"]
-        if len(roots) == n_trees and roots.min() == psi:
-            break
-    # Stored, since finding a quantile reads the scores more than once.
-    scored = stored(rows.select(sample_score(nodes, psi, [F.col(c) for c in names]).alias("score")), "scores")
-    offset = exact_quantiles(scored, "score", {"offset": contamination}).first()["offset"]
-    return ForestModel(nodes, psi, n_trees, contamination, seed, list(names), offset, scaling)
+        spare *= 4
+    return ForestModel(nodes, psi, n_trees, contamination, seed, list(names), 0.0, scaling)
+
+
+def calibrate(model: ForestModel, features: DataFrame) -> tuple[ForestModel, DataFrame]:
+    """The model with its offset, and ``features`` scored by it (stored)."""
+    score = sample_score(model.nodes, model.psi, model_inputs(model.features, model.scaling))
+    scored = stored(features.withColumn("_score", score), "scores")
+    offset = exact_quantiles(scored, "_score", {"offset": model.contamination}).first()["offset"]
+    model = replace(model, offset=offset)
+    return model, _decided(scored, F.col("_score"), offset).drop("_score")
+
+
+def fit(features: DataFrame, **options) -> ForestModel:
+    """Grows and calibrates; options as for ``grow``."""
+    return calibrate(grow(features, **options), features)[0]
+
+
+def _decided(features: DataFrame, score: Column, offset: float) -> DataFrame:
+    decided = features.withColumn("anomaly_score", F.round(score - F.lit(offset), SCORE_DIGITS))
+    return decided.withColumn("flag_suspicious", F.col("anomaly_score") < 0)
 
 
 def decision_scores(features: DataFrame, model: ForestModel) -> DataFrame:
     """``features`` with ``anomaly_score`` (negative means anomalous) and ``flag_suspicious``."""
     score = sample_score(model.nodes, model.psi, model_inputs(model.features, model.scaling))
-    decision = F.round(score - F.lit(model.offset), SCORE_DIGITS)
-    scored = features.withColumn("anomaly_score", decision)
-    return scored.withColumn("flag_suspicious", F.col("anomaly_score") < 0)
+    return _decided(features, score, model.offset)
 
 
 def training_summary(decisions: DataFrame) -> DataFrame:

@@ -164,8 +164,7 @@ def _hot_profile(hot: DataFrame) -> DataFrame:
         .groupBy(*KEY)
         .agg(F.count(F.lit(1)).alias("dias_activos"))
     )
-    # One row per hot user: bounded by the hot-key limit.
-    ranged = hot.join(F.broadcast(base.select(*KEY, "total_trans", "_lo", "_hi")), KEY)
+    ranged = hot.join(base.select(*KEY, "total_trans", "_lo", "_hi"), KEY)
     fullest = (
         ranged.withColumn("_bin", _amount_bin(F.col("total_trans"), F.col("_lo"), F.col("_hi")))
         .where(F.col("_bin").isNotNull())

@@ -15,16 +15,17 @@ from splitsight.schema import KEEP_FIRST_ORDER
 # Fixed values.
 HEX_ID = r"^[0-9a-f]+$"
 NON_HEX_CHARACTER = r"[^0-9a-fA-F]"
+# Fixed values, as defaults.
 SHOW_ALL_UP_TO = 20
 SHOW_FIRST = 5
 EXAMPLES = 5
 
 
-def text_cardinality(df: DataFrame) -> DataFrame:
-    """Distinct values of each text column, with all values if there are few, else the first five.
+def text_cardinality(df: DataFrame, show_all_up_to: int = SHOW_ALL_UP_TO, show_first: int = SHOW_FIRST) -> DataFrame:
+    """Distinct values of each text column, with all values if there are few, else the first ones.
 
     Values are counted per (column, value) with a map-side combine; the rank filter leaves at most
-    20 rows per column and map partition before the second exchange.
+    ``show_all_up_to`` rows per column and map partition before the second exchange.
     """
     columns = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
     stacked = df.select(*columns).unpivot([], columns, "column", "value")
@@ -33,12 +34,12 @@ def text_cardinality(df: DataFrame) -> DataFrame:
     rank = F.row_number().over(W.partitionBy("column").orderBy("value"))
     samples = (
         distinct.withColumn("_rank", rank)
-        .where(F.col("_rank") <= SHOW_ALL_UP_TO)
+        .where(F.col("_rank") <= max(show_all_up_to, show_first))
         .groupBy("column")
         .agg(F.sort_array(F.collect_list("value")).alias("_values"))
     )
-    shown = F.when(F.col("distinct_values") <= SHOW_ALL_UP_TO, F.col("_values")).otherwise(
-        F.slice("_values", 1, SHOW_FIRST)
+    shown = F.when(F.col("distinct_values") <= show_all_up_to, F.col("_values")).otherwise(
+        F.slice("_values", 1, show_first)
     )
     return counts.join(samples, "column").select("column", "distinct_values", shown.alias("values"))
 

@@ -14,9 +14,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Halving steps of the bucket search: they reach 2 * BUCKET_STEPS[0] buckets.
-BUCKET_STEPS = [32, 16, 8, 4, 2, 1]
-BUCKETS = 2 * BUCKET_STEPS[0]
+# Buckets in a session with few shuffle partitions; others use as many as partitions, up to a bound.
+BUCKETS, MOST_BUCKETS = 64, 4096
+
+
+def bucket_steps(df: DataFrame) -> list[int]:
+    """Halving steps of the bucket search: they reach twice as many buckets as the first says."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    steps = [BUCKETS // 2]
+    while 2 * steps[0] < min(partitions, MOST_BUCKETS):
+        steps.insert(0, 2 * steps[0])
+    return [*steps, *[steps[-1] >> k for k in range(1, steps[-1].bit_length())]]
 
 
 def value_counts(df: DataFrame, value: str, by: list[str], weight: str | None = None) -> DataFrame:
@@ -37,25 +45,26 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group with one column per entry of ``probs``; NULL values are left out.
 
-    ``by`` has to be a bounded set of non-null keys (calendar days, hot keys): its bucket edges are
-    broadcast. Without ``by`` there is exactly one row, all NULL when there is no value.
+    ``by`` has to be non-null keys. Without ``by`` there is exactly one row, all NULL when there is no value.
     """
     by = by or []
     counted = value_counts(df, value, by, weight)
-    cuts = F.expr(f"array({', '.join(f'{i / BUCKETS}D' for i in range(1, BUCKETS))})")
+    steps = bucket_steps(df)
+    buckets = 2 * steps[0]
+    cuts = F.expr(f"array({', '.join(f'{i / buckets}D' for i in range(1, buckets))})")
     edges = counted.groupBy(*by).agg(
         F.struct(
-            F.percentile_approx("_v", cuts, F.lit(1000)).alias("cuts"),
+            F.percentile_approx("_v", cuts, F.lit(16 * buckets)).alias("cuts"),
             F.sum("_n").alias("total"),
         ).alias("_e")
     )
     if by:
-        spread = counted.join(F.broadcast(edges), by)
+        spread = counted.join(edges, by)
     else:
         spread = counted.withColumn("_e", edges.scalar())
     # Number of edges below the value, by binary search in generated code.
     spread = spread.withColumn("_bucket", F.lit(0))
-    for step in BUCKET_STEPS:
+    for step in steps:
         below = F.get("_e.cuts", F.col("_bucket") + (step - 1)) < F.col("_v")
         spread = spread.withColumn("_bucket", F.col("_bucket") + F.when(below, step).otherwise(0))
     spread = spread.select(*by, "_v", "_n", F.col("_e.total").alias("_total"), "_bucket")
@@ -63,7 +72,7 @@ def exact_quantiles(
     position = {name: F.lit(p) * (F.col("_total") - 1) for name, p in probs.items()}
     ranks = [f(position[name]).cast("long") for name in probs for f in (F.floor, F.ceil)]
 
-    # At most BUCKETS rows per group from here.
+    # At most one row per bucket and group from here.
     before = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     sized = spread.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_in"), F.max("_total").alias("_total"))
     placed = sized.withColumn("_before", F.coalesce(F.sum("_in").over(before), F.lit(0)))
@@ -75,7 +84,7 @@ def exact_quantiles(
 
     inside = W.partitionBy(*by, "_bucket").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
     ordered = (
-        spread.join(F.broadcast(wanted), [*by, "_bucket"])
+        spread.join(wanted, [*by, "_bucket"])
         .withColumn("_to", F.col("_before") + F.sum("_n").over(inside))
         .withColumn("_from", F.col("_to") - F.col("_n"))
     )

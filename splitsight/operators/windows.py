@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from splitsight.functions import hours, to_ntz
+from splitsight.functions import hours, micros, to_ntz
 from splitsight.operators.behaviour import behaviour_features
 from splitsight.operators.clean import debits
-from splitsight.operators.hotkeys import DEFAULT_HEAT, HeatLimit
+from splitsight.operators.hotkeys import DEFAULT_HEAT, HeatLimit, split_by_heat
 from splitsight.schema import ANCHOR_FEATURES, SLIDING_FEATURES
 
 TS = "transaction_date"
 MICROS_PER_HOUR = 3_600_000_000
+MICROS_PER_MINUTE = 60_000_000
 
 
 def resolve_end(tx: DataFrame, end_ts: str | datetime | None = None) -> str | datetime | None:
@@ -71,7 +72,7 @@ def with_anchors(
     step = int(step_hours * MICROS_PER_HOUR)
     window = int(window_hours * MICROS_PER_HOUR)
     last_anchor = int(lookback_days * 24 / step_hours)
-    rows = rows.withColumn("_us", F.timestamp_diff("MICROSECOND", start, F.col(TS)))
+    rows = rows.withColumn("_us", micros(TS) - micros(start))
     rows = rows.withColumn(
         "_i", F.greatest(F.expr(f"(_us + {step - 1}) div {step}"), F.lit(first_anchor).cast("long"))
     ).withColumn(
@@ -141,53 +142,82 @@ def top_merchant(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def rolling_activity(tx: DataFrame, window_hours: float = 24) -> DataFrame:
-    """Debits of the user in ``[t - window, t]`` at every instant ``t`` with a debit.
+def rolling_activity(tx: DataFrame, window_hours: float = 24, limit: HeatLimit = DEFAULT_HEAT) -> DataFrame:
+    """One row per debit at ``t``: the user's debits, amount and merchants in ``[t - window, t]``.
 
-    Each instant enters the running total at ``t`` and leaves it just after ``t + window``. The
-    totals are built from two running sums: over the minutes of a user (bounded by the calendar)
-    and inside one minute (bounded by the microseconds), so a user of any size is spread out.
+    Sums add the amounts inside the window only, so an earlier large amount leaves no trace. The window has to
+    be a whole number of minutes.
     """
+    span = round(window_hours * MICROS_PER_HOUR)
+    if span <= 0 or span % MICROS_PER_MINUTE:
+        raise ValueError("the window has to be a whole number of minutes")
     rows = debits(tx).where(F.col("user_id").isNotNull() & F.col(TS).isNotNull())
-    instants = rows.groupBy("user_id", TS).agg(
-        F.count("transaction_amount").alias("_c"),
-        F.coalesce(F.sum("transaction_amount"), F.lit(0.0)).alias("_s"),
-    )
-    enters = instants.select("user_id", F.col(TS).alias("_at"), "_c", "_s", F.lit(True).alias("_live"))
-    leaves = instants.select(
+    rows = rows.select("_id", "user_id", TS, "transaction_amount", "merchant_id", micros(TS).alias("_us"))
+    cold, hot = split_by_heat(rows, ["user_id"], limit)
+    found = _cold_rolling(cold, span)
+    return found if hot is None else found.unionByName(_hot_rolling(hot, span))
+
+
+def _cold_rolling(rows: DataFrame, span: int) -> DataFrame:
+    frame = W.partitionBy("user_id").orderBy("_us").rangeBetween(-span, 0)
+    return rows.select(
+        "_id",
         "user_id",
-        (F.col(TS) + hours(window_hours) + F.expr("INTERVAL '0.000001' SECOND")).alias("_at"),
-        (-F.col("_c")).alias("_c"),
-        (-F.col("_s")).alias("_s"),
-        F.lit(False).alias("_live"),
-    )
-    steps = enters.unionByName(leaves).withColumn(
-        "_minute", F.timestamp_diff("MINUTE", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("_at"))
+        TS,
+        F.count("transaction_amount").over(frame).alias("cnt_24h"),
+        F.coalesce(F.sum("transaction_amount").over(frame), F.lit(0.0)).alias("sum_24h"),
+        F.size(F.collect_set("merchant_id").over(frame)).cast("long").alias("unique_merchants"),
     )
-    before = W.partitionBy("user_id").orderBy("_minute").rowsBetween(W.unboundedPreceding, -1)
-    minutes = (
-        steps.groupBy("user_id", "_minute")
-        .agg(F.sum("_c").alias("_c"), F.sum("_s").alias("_s"))
-        .select(
-            "user_id",
-            "_minute",
-            F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_c0"),
-            F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_s0"),
-        )
-    )
-    inside = (
-        W.partitionBy("user_id", "_minute").orderBy("_at").rangeBetween(W.unboundedPreceding, W.currentRow)
-    )
-    return (
-        steps.select(
-            "user_id", "_minute", "_at", "_live", F.sum("_c").over(inside).alias("_c"), F.sum("_s").over(inside).alias("_s")
-        )
-        .where("_live")
-        .join(minutes, ["user_id", "_minute"])
-        .select(
-            "user_id",
-            F.col("_at").alias(TS),
-            (F.col("_c0") + F.col("_c")).alias("cnt_24h"),
-            (F.col("_s0") + F.col("_s")).alias("sum_24h"),
-        )
+
+
+def _minute(us: str | Column) -> Column:
+    return F.floor((F.col(us) if isinstance(us, str) else us) / MICROS_PER_MINUTE)
+
+
+def _hot_rolling(rows: DataFrame, span: int) -> DataFrame:
+    """The same from whole minutes and parts of minutes, so that no task holds a user.
+
+    A window is the rest of its first minute, the whole minutes between, and its last minute so far. Groups are the
+    rows of a minute (distinct instants only) and the minutes of a user, which the calendar bounds.
+    """
+    width = span // MICROS_PER_MINUTE
+    instants = rows.groupBy("user_id", "_us").agg(
+        F.count("transaction_amount").alias("_c"), F.coalesce(F.sum("transaction_amount"), F.lit(0.0)).alias("_s")
     )
+    instants = instants.withColumn("_m", _minute("_us"))
+    minutes = instants.groupBy("user_id", "_m").agg(F.sum("_c").alias("_c"), F.sum("_s").alias("_s"))
+    between = W.partitionBy("user_id").orderBy("_m").rangeBetween(-(width - 1), -1)
+    minutes = minutes.select("user_id", "_m", *[F.coalesce(F.sum(x).over(between), F.lit(0)).alias(f"{x}1") for x in ("_c", "_s")])
+    so_far = W.partitionBy("user_id", "_m").orderBy("_us").rangeBetween(W.unboundedPreceding, 0)
+    last = instants.select("user_id", "_us", "_m", *[F.sum(x).over(so_far).alias(f"{x}2") for x in ("_c", "_s")])
+    # Where windows begin, among the instants of that minute, latest first.
+    begins = instants.select("user_id", (F.col("_us") - span).alias("_at"), (F.col("_m") - width).alias("_m"), F.col("_us").alias("_for"), F.lit(0).alias("_c"), F.lit(0.0).alias("_s"))
+    marks = begins.unionByName(instants.select("user_id", F.col("_us").alias("_at"), "_m", F.lit(None).cast("long").alias("_for"), "_c", "_s"))
+    from_here = W.partitionBy("user_id", "_m").orderBy(F.desc("_at")).rangeBetween(W.unboundedPreceding, 0)
+    first = marks.select("user_id", F.col("_for").alias("_us"), *[F.sum(x).over(from_here).alias(f"{x}0") for x in ("_c", "_s")]).where("_us IS NOT NULL")
+    totals = last.join(minutes, ["user_id", "_m"]).join(first, ["user_id", "_us"])
+    totals = totals.select("user_id", "_us", (F.col("_c0") + F.col("_c1") + F.col("_c2")).alias("cnt_24h"), (F.col("_s0") + F.col("_s1") + F.col("_s2")).alias("sum_24h"))
+    known = totals.join(_hot_merchants(rows, instants, span), ["user_id", "_us"])
+    return rows.select("_id", "user_id", TS, "_us").join(known, ["user_id", "_us"]).select("_id", "user_id", TS, "cnt_24h", "sum_24h", "unique_merchants")
+
+
+def _hot_merchants(rows: DataFrame, instants: DataFrame, span: int) -> DataFrame:
+    """Merchants in the window at each instant, from the stretches in which each merchant counts.
+
+    A stretch begins with a row and ends a window after the last row that follows within a window.
+    """
+    seen = rows.where(F.col("merchant_id").isNotNull()).groupBy("user_id", "merchant_id", _minute("_us").alias("_m"))
+    seen = seen.agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"))
+    order = W.partitionBy("user_id", "merchant_id").orderBy("_m")
+    begins = F.coalesce(F.col("_first") - F.lag("_last").over(order) > span, F.lit(True))
+    ends = F.coalesce(F.lead("_first").over(order) - F.col("_last") > span, F.lit(True))
+    seen = seen.withColumn("_begins", begins).withColumn("_ends", ends)
+    steps = seen.where("_begins").select("user_id", F.col("_first").alias("_us"), F.lit(1).alias("_step"), F.lit(False).alias("_asks"))
+    steps = steps.unionByName(seen.where("_ends").select("user_id", (F.col("_last") + span + 1).alias("_us"), F.lit(-1).alias("_step"), F.lit(False).alias("_asks")))
+    steps = steps.unionByName(instants.select("user_id", "_us", F.lit(0).alias("_step"), F.lit(True).alias("_asks"))).withColumn("_m", _minute("_us"))
+    before = W.partitionBy("user_id").orderBy("_m").rowsBetween(W.unboundedPreceding, -1)
+    minutes = steps.groupBy("user_id", "_m").agg(F.sum("_step").alias("_n"))
+    minutes = minutes.select("user_id", "_m", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"))
+    so_far = W.partitionBy("user_id", "_m").orderBy("_us").rangeBetween(W.unboundedPreceding, 0)
+    counted = steps.select("user_id", "_us", "_m", "_asks", F.sum("_step").over(so_far).alias("_n1")).where("_asks")
+    return counted.join(minutes, ["user_id", "_m"]).select("user_id", "_us", (F.col("_n0") + F.col("_n1")).alias("unique_merchants"))

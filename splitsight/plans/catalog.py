@@ -6,6 +6,7 @@ transactions.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from splitsight.functions import to_ntz
 from splitsight.operators import activity, alerts, amounts, baseline, clean, iforest, profile, quality
 from splitsight.operators import suspicion, windows
 from splitsight.operators.behaviour import user_day_features
+from splitsight.operators.hotkeys import DEFAULT_HEAT, HeatLimit
 from splitsight.plans import backfill, detect, explore
 from splitsight.schema import MODEL_FEATURES
 from splitsight.session import scratch_path, stored
@@ -29,6 +31,9 @@ DIGITS = 6
 # Keeps exact decimal ties (cents divided by a power of two) on one side in every engine.
 OFF_TIES = 1e-8
 RANGE = ("2024-01-04", "2024-01-23")
+QUIET_DAY = "2024-01-10"
+# Shows the way of hot keys on every key.
+ALL_HOT = HeatLimit(0)
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -122,8 +127,8 @@ def active_features(spark: SparkSession, folder: str) -> DataFrame:
     return stored(clean.active_only(day_features_o(spark, folder), MIN_CNT), "active")
 
 
-def profiles(spark: SparkSession, folder: str, first: int | None = None) -> DataFrame:
-    return explore.persistent_profile(clean_o(spark, folder), MIN_CNT, first=first)
+def profiles(spark: SparkSession, folder: str, first: int | None = None, limit: HeatLimit = DEFAULT_HEAT) -> DataFrame:
+    return explore.persistent_profile(clean_o(spark, folder), MIN_CNT, first=first, limit=limit)
 
 
 def scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,14 +140,27 @@ def scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def source_union_counts(spark: SparkSession, folder: str) -> DataFrame:
     first, second = txe(spark, folder), txr(spark, folder)
-    both = transactions.union_strict(first, second)
-    return transactions.row_counts(events=first, orders=second, both=both).where("source <> 'total'")
+    both = transactions.union_strict(first, second).agg(F.count(F.lit(1)).alias("rows"))
+    return transactions.row_counts(events=first, orders=second).unionByName(both.select(F.lit("both").alias("source"), "rows"))
 
 
 def coerced_transactions(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(clean.coerce_transactions(as_text(txe(spark, folder))))
 
 
+def coerced_formats(spark: SparkSession, folder: str) -> DataFrame:
+    """Dates as ISO text, day first, and month first with a name."""
+    tx = txe(spark, folder)
+    event, ts = F.col("_id").cast("long"), F.col("transaction_date")
+    text = (
+        F.when(event % 3 == 0, F.date_format(ts, "dd/MM/yyyy HH:mm:ss.SSSSSS"))
+        .when(event % 3 == 1, F.date_format(ts, "MMM d yyyy HH:mm:ss.SSSSSS"))
+        .otherwise(ts.cast("string"))
+    )
+    formats = ["dd/MM/yyyy HH:mm:ss.SSSSSS", "MMM d yyyy HH:mm:ss.SSSSSS"]
+    return rounded(clean.coerce_transactions(tx.withColumn("transaction_date", text), formats))
+
+
 def one_day_debits(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(clean.debits(clean.on_day(txe(spark, folder), "2024-01-15")))
 
@@ -221,8 +239,38 @@ def features_in_range(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(kept.select("user_id", "date", *MODEL_FEATURES))
 
 
-def anchor_features(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(windows.anchor_features(txe(spark, folder)))
+def features_one_day(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "features")
+    sinks.write_feature_days(user_day_features(txe(spark, folder)), path)
+    return rounded(transactions.read_day(spark, path, QUIET_DAY).select("user_id", "date", *MODEL_FEATURES))
+
+
+def features_quiet_day(spark: SparkSession, folder: str) -> DataFrame:
+    """A range of days of which one has credits only."""
+    raw, cleaned, features = (scratch_path(spark, label) for label in ("raw", "clean", "features"))
+    tx = txe(spark, folder)
+    quiet = F.to_date("transaction_date") == F.lit(QUIET_DAY).cast("date")
+    kind = F.when(quiet, "CREDITO").otherwise(F.col("transaction_type"))
+    sinks.write_snapshot(tx.withColumn("transaction_type", kind), raw)
+    backfill.backfill(spark, raw, cleaned, features, scratch_path(spark, "model"), *RANGE, min_cnt=MIN_CNT)
+    kept = transactions.read_partitioned(spark, features, *RANGE)
+    return rounded(kept.select("user_id", "date", *MODEL_FEATURES))
+
+
+def rolling(spark: SparkSession, folder: str, limit: HeatLimit = DEFAULT_HEAT) -> DataFrame:
+    return rounded(windows.rolling_activity(txe(spark, folder), limit=limit))
+
+
+def rolling_24h_large(spark: SparkSession, folder: str, limit: HeatLimit = DEFAULT_HEAT) -> DataFrame:
+    """Some amounts of 1e16; windows without one have exact sums."""
+    tx = txe(spark, folder)
+    large = F.when(F.col("_id").cast("long") % 50 == 0, 1e16).otherwise(F.col("transaction_amount"))
+    found = windows.rolling_activity(tx.withColumn("transaction_amount", large), limit=limit)
+    return rounded(found.withColumn("sum_24h", F.when(F.col("sum_24h") < 1e15, F.col("sum_24h"))))
+
+
+def anchor_features(spark: SparkSession, folder: str, limit: HeatLimit = DEFAULT_HEAT) -> DataFrame:
+    return rounded(windows.anchor_features(txe(spark, folder), limit=limit))
 
 
 def anchor_top_merchant(spark: SparkSession, folder: str) -> DataFrame:
@@ -254,12 +302,18 @@ def suspicion_alerts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def forest_nodes(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(iforest.fit(active_features(spark, folder)).node_table(spark))
+    return rounded(iforest.grow(active_features(spark, folder)).node_table(spark))
 
 
-def forest_alerts(spark: SparkSession, folder: str) -> DataFrame:
+def trained(spark: SparkSession, folder: str, **options) -> tuple[iforest.ForestModel, DataFrame]:
+    """A forest and the rows that it was trained on, scored."""
     active = active_features(spark, folder)
-    return alerts.alert_table(active, iforest.fit(active))
+    return iforest.calibrate(iforest.grow(active, **options), active)
+
+
+def forest_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    model, decided = trained(spark, folder)
+    return alerts.flagged(decided, model.contamination)
 
 
 def forest_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -267,19 +321,25 @@ def forest_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def forest_scaled_scores(spark: SparkSession, folder: str) -> DataFrame:
-    active = active_features(spark, folder)
-    return rounded(alerts.alert_table(active, iforest.fit(active, scale=True)))
+    model, decided = trained(spark, folder, scale=True)
+    return rounded(alerts.flagged(decided, model.contamination))
+
+
+def forest_default_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Day thresholds of a stored model that names no contamination."""
+    path = scratch_path(spark, "model")
+    model, _ = trained(spark, folder)
+    iforest.save(spark, dataclasses.replace(model, contamination=None), path)
+    return rounded(alerts.alert_table(active_features(spark, folder), iforest.load(spark, path)))
 
 
 def forest_day_thresholds(spark: SparkSession, folder: str) -> DataFrame:
-    active = active_features(spark, folder)
-    decided = iforest.decision_scores(active, iforest.fit(active))
+    _, decided = trained(spark, folder)
     return rounded(alerts.day_thresholds(decided, iforest.CONTAMINATION))
 
 
 def forest_score_stats(spark: SparkSession, folder: str) -> DataFrame:
-    active = active_features(spark, folder)
-    decided = stored(iforest.decision_scores(active, iforest.fit(active)))
+    _, decided = trained(spark, folder)
     return rounded(iforest.training_summary(decided))
 
 
@@ -345,15 +405,57 @@ def stream_distinct_ids(spark: SparkSession, folder: str) -> DataFrame:
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("_id"),
         F.col("l_shipdate").alias("transaction_date"),
     )
-    return stream_result(spark, live.without_repeats(rows).select("_id"), "ids")
+    return stream_result(spark, live.without_repeats(rows, "1 hour").select("_id"), "ids")
+
+
+def in_batches(spark: SparkSession, folder: str, table: str, files: int = 7) -> DataFrame:
+    """A stream that reads a table as several micro-batches, its rows dealt by hash."""
+    path = scratch_path(spark, f"{table}-files")
+    rows = spark.read.parquet(f"{folder}/{table}.parquet")
+    rows.repartition(files, F.xxhash64(*rows.columns)).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def backlog_result(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
+    out, state = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
+    live.backlog_to_table(stream, out, state).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def stream_24h_counts_batches(spark: SparkSession, folder: str) -> DataFrame:
+    events = events_as_transactions(in_batches(spark, folder, "events"))
+    found = backlog_result(spark, live.live_windows(events, watermark=None), "windows")
+    start = F.col("window.start").cast("timestamp_ntz").alias("window_start")
+    return rounded(found.select("user_id", start, "cnt_24h", "sum_24h"))
+
+
+def stream_day_alerts_batches(spark: SparkSession, folder: str) -> DataFrame:
+    events = events_as_transactions(in_batches(spark, folder, "events"))
+    days = live.live_windows(events, slide=None, watermark=None)
+    found = backlog_result(spark, live.threshold_alerts(days, {"Media": 3, "Alta": 5}), "day-alerts")
+    date = F.col("window.start").cast("timestamp_ntz").cast("date").alias("date")
+    return found.select("user_id", date, "cnt_24h", "alert")
+
+
+def stream_distinct_ids_batches(spark: SparkSession, folder: str) -> DataFrame:
+    ids = in_batches(spark, folder, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("_id"))
+    return stream_result(spark, live.without_repeats(ids).select("_id"), "ids")
+
+
+def stream_model_alerts_batches(spark: SparkSession, folder: str) -> DataFrame:
+    return _stream_model_alerts(spark, folder, events_as_transactions(in_batches(spark, folder, "events", 3)))
 
 
 def stream_model_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    return _stream_model_alerts(spark, folder, event_stream(spark, folder))
+
+
+def _stream_model_alerts(spark: SparkSession, folder: str, events: DataFrame) -> DataFrame:
     """Alert days kept current by a stream, with a forest fitted on the finished days."""
     active = stored(clean.active_only(user_day_features(txe(spark, folder)), MIN_CNT), "active")
     model = iforest.fit(active)
     cleaned, out, state = (scratch_path(spark, label) for label in ("live", "live-alerts", "live-state"))
-    live.score_into(event_stream(spark, folder), cleaned, out, state, model, MIN_CNT, finish=True).awaitTermination()
+    live.score_into(events, cleaned, out, state, model, MIN_CNT, finish=True).awaitTermination()
     return rounded(spark.read.parquet(out).select(*alerts.ALERT_COLUMNS))
 
 
@@ -373,9 +475,11 @@ def build() -> dict[str, Query]:
     return {
         "user_day_features": on(day_features_o, lambda f: f),
         "user_day_features_events": on(txe, user_day_features),
+        "user_day_features_hot": on(txe, lambda tx: user_day_features(tx, ALL_HOT)),
         "user_day_features_holes": on(lambda s, d: with_holes(txe(s, d)), user_day_features),
         "source_union_counts": source_union_counts,
         "coerced_transactions": coerced_transactions,
+        "coerced_formats": coerced_formats,
         "one_day_debits": one_day_debits,
         "calendar_parts": calendar_parts,
         "dedup_transactions": on(txr, clean.drop_duplicate_ids),
@@ -414,6 +518,7 @@ def build() -> dict[str, Query]:
         ),
         "normal_vs_active_cv": normal_vs_active_cv,
         "structuring_profile": on(profiles, lambda p: p),
+        "structuring_profile_hot": on(lambda s, d: profiles(s, d, limit=ALL_HOT), lambda p: p),
         "structuring_profile_first100": on(lambda s, d: profiles(s, d, first=100), lambda p: p),
         "structuring_top5": on(profiles, profile.top_suspects),
         "structuring_critical": on(profiles, lambda p: profile.critical_users(p, 0.05)),
@@ -427,8 +532,12 @@ def build() -> dict[str, Query]:
         "profile_scatter": on(profiles, profile.profile_scatter),
         "sliding_24h_features": on(txe, windows.sliding_features),
         "daily_sliding_features": on(txe, windows.daily_sliding_features),
-        "rolling_24h": on(txe, windows.rolling_activity),
+        "rolling_24h": rolling,
+        "rolling_24h_hot": lambda s, d: rolling(s, d, ALL_HOT),
+        "rolling_24h_large": rolling_24h_large,
+        "rolling_24h_large_hot": lambda s, d: rolling_24h_large(s, d, ALL_HOT),
         "anchor_features": anchor_features,
+        "anchor_features_hot": lambda s, d: anchor_features(s, d, ALL_HOT),
         "top_merchant": anchor_top_merchant,
         "user_baseline": on(anchors, baseline.user_baseline),
         "global_baseline": on(anchors, baseline.global_baseline),
@@ -447,10 +556,13 @@ def build() -> dict[str, Query]:
         ),
         "daily_coverage": daily_coverage,
         "features_in_range": features_in_range,
+        "features_one_day": features_one_day,
+        "features_quiet_day": features_quiet_day,
         "active_users": active_users,
         "forest_nodes": forest_nodes,
         "forest_scores": forest_scores,
         "forest_scaled_scores": forest_scaled_scores,
+        "forest_default_contamination": forest_default_contamination,
         "forest_day_thresholds": forest_day_thresholds,
         "forest_score_stats": forest_score_stats,
         "forest_flag_totals": forest_flag_totals,
@@ -460,4 +572,8 @@ def build() -> dict[str, Query]:
         "stream_day_alerts": stream_day_alerts,
         "stream_distinct_ids": stream_distinct_ids,
         "stream_model_alerts": stream_model_alerts,
+        "stream_24h_counts_batches": stream_24h_counts_batches,
+        "stream_day_alerts_batches": stream_day_alerts_batches,
+        "stream_distinct_ids_batches": stream_distinct_ids_batches,
+        "stream_model_alerts_batches": stream_model_alerts_batches,
     }

@@ -8,16 +8,14 @@ from splitsight.operators import activity
 from splitsight.operators.hotkeys import DEFAULT_HEAT, HeatLimit
 from splitsight.operators.profile import structuring_profile
 
-FIRST_USERS = 100
-
 
 def persistent_profile(
     tx: DataFrame,
     min_cnt: int = 10,
     min_days: int = 3,
-    first: int | None = FIRST_USERS,
+    first: int | None = None,
     limit: HeatLimit = DEFAULT_HEAT,
 ) -> DataFrame:
-    """Profile of the ``first`` most persistent users, or of all of them with None."""
+    """Profile of all persistent users, or of the ``first`` most persistent ones."""
     users = activity.persistent_users(activity.user_day_counts(tx), min_cnt, min_days, first)
     return structuring_profile(tx, users, limit)

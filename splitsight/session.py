@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +47,30 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder for a table that has to be written once."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what was stored below the shared folder inside it.
+
+    Results have to be written or collected before the end. Without it, such tables stay.
+    """
+    before = len(_made)
+    try:
+        yield
+    finally:
+        for path in _made[before:]:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        del _made[before:]
 
 
 def stored(df: DataFrame, label: str = "stored") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,8 @@ def read_transactions(spark: SparkSession, path: str, schema: T.StructType | Non
     return reader.parquet(path)
 
 
-def read_coerced(spark: SparkSession, path: str) -> DataFrame:
-    return coerce_transactions(read_transactions(spark, path))
+def read_coerced(spark: SparkSession, path: str, date_formats: Sequence[str] = ()) -> DataFrame:
+    return coerce_transactions(read_transactions(spark, path), date_formats)
 
 
 def union_strict(*tables: DataFrame) -> DataFrame:
@@ -34,7 +35,7 @@ def union_strict(*tables: DataFrame) -> DataFrame:
 
 
 def row_counts(**tables: DataFrame) -> DataFrame:
-    """Rows per named table and in total."""
+    """Rows per named table and in total; the tables are taken as disjoint."""
     sizes = None
     for name, table in tables.items():
         size = table.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("source"), "rows")
@@ -46,8 +47,9 @@ def row_counts(**tables: DataFrame) -> DataFrame:
 def read_partitioned(spark: SparkSession, path: str, start: str | date, end: str | date) -> DataFrame:
     """Days ``start`` to ``end`` (both included) of a year/month/day table.
 
-    The predicate uses partition columns only, so other days are not listed or read; a missing day
-    is simply absent. ``date`` is rebuilt from the partition columns if the table lacks it.
+    The predicate uses partition columns only, so other days are not read; their folders are listed,
+    unless the table is registered in a catalog. A missing day is simply absent. ``date`` is rebuilt from the
+    partition columns if the table lacks it.
     """
     first, last = str(start), str(end)
     if last < first:

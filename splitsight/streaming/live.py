@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from splitsight.operators import alerts
 from splitsight.operators.behaviour import user_day_features
 from splitsight.operators.clean import active_only, debits, drop_duplicate_ids
 from splitsight.operators.iforest import ForestModel
+from splitsight.session import stored
 from splitsight.sources import sinks
 
 TS = "transaction_date"
@@ -21,19 +24,28 @@ def with_event_time(stream: DataFrame) -> DataFrame:
     return stream.withColumn(TS, F.col(TS).cast("timestamp"))
 
 
-def without_repeats(stream: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """First row of each ``_id`` among those within the watermark."""
+def without_repeats(stream: DataFrame, watermark: str | None = None) -> DataFrame:
+    """First row of each ``_id``.
+
+    Without a watermark every id is remembered; with one, ids are forgotten after it and later rows are
+    dropped (``late_rows`` counts them).
+    """
+    if watermark is None:
+        return stream.dropDuplicates(["_id"])
     return with_event_time(stream).withWatermark(TS, watermark).dropDuplicatesWithinWatermark(["_id"])
 
 
 def live_windows(
-    stream: DataFrame, window: str = "24 hours", slide: str | None = "1 hour", watermark: str = "1 hour"
+    stream: DataFrame, window: str = "24 hours", slide: str | None = "1 hour", watermark: str | None = "1 hour"
 ) -> DataFrame:
     """Debit count, amount and approximate number of merchants per user and window.
 
-    Rows later than the watermark are dropped. ``slide=None`` gives tumbling windows.
+    Rows later than the watermark are dropped (``late_rows`` counts them). A finite backlog is counted whole with
+    ``watermark=None`` and ``backlog_to_table``, in any order of its files. ``slide=None`` gives tumbling windows.
     """
-    rows = with_event_time(debits(stream)).withWatermark(TS, watermark)
+    rows = with_event_time(debits(stream))
+    if watermark is not None:
+        rows = rows.withWatermark(TS, watermark)
     span = F.window(TS, window, slide) if slide else F.window(TS, window)
     return rows.groupBy(span, "user_id").agg(
         F.count("transaction_amount").alias("cnt_24h"),
@@ -42,6 +54,11 @@ def live_windows(
     )
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the progress reports of a query count as dropped for being late."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+
+
 def threshold_alerts(windows: DataFrame, counts: dict[str, int] = ALERT_COUNTS) -> DataFrame:
     """Windows above the lowest count, with the label of the highest count they exceed."""
     ordered = sorted(counts.items(), key=lambda item: item[1])
@@ -60,6 +77,19 @@ def to_table(stream: DataFrame, path: str, checkpoint: str, finish: bool = False
     return (writer.trigger(availableNow=True) if finish else writer).start(path)
 
 
+def backlog_to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """All windows over the files that are there, closed or not, and then stops.
+
+    ``stream`` has no watermark, so nothing is late. The table is replaced after every micro-batch.
+    """
+
+    def replace(batch: DataFrame, _batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    writer = stream.writeStream.outputMode("complete").foreachBatch(replace).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
 def score_into(
     stream: DataFrame,
     clean_path: str,
@@ -71,25 +101,48 @@ def score_into(
 ) -> StreamingQuery:
     """Keeps clean days and their alert table current, one micro-batch at a time.
 
-    A batch is appended to the clean table; then only the days it touched are read back,
-    deduplicated, featurised, scored and replaced. A repeated batch changes nothing, since its rows
-    are dropped as duplicates and the alert partitions are overwritten.
+    A batch is appended to the clean table. Only the user-days that it touched are read back,
+    deduplicated, featurised and scored; the scores of the other user-days of those days are taken from
+    the alert table, and the thresholds of the days follow from both. A repeated batch changes nothing,
+    since its rows are dropped as duplicates and the alert partitions are overwritten.
     """
+    key = ["user_id", "date"]
+
+    def on_days(table: DataFrame, days: list) -> DataFrame:
+        return table.where(F.make_date("year", "month", "day").isin(days))
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
         spark: SparkSession = batch.sparkSession
-        rows = sinks.with_partition_columns(batch, F.col(TS)).where(F.col("year").isNotNull())
-        rows.write.mode("append").partitionBy(*sinks.DAY_PARTITIONS).parquet(clean_path)
-        days = rows.select(F.to_date(TS).alias("_day")).distinct()
-        # Calendar days in one batch: a short list, so that the read prunes partitions.
-        touched = [r["_day"] for r in days.collect()]
-        if not touched:
+        rows = sinks.with_partition_columns(batch, F.col(TS)).where(F.col("year").isNotNull()).persist()
+        try:
+            rows.write.mode("append").partitionBy(*sinks.DAY_PARTITIONS).parquet(clean_path)
+            touched = stored(rows.select("user_id", F.to_date(TS).alias("date")).distinct(), "touched")
+        finally:
+            rows.unpersist()
+        # Calendar days in one batch: a short list, so that the reads prune partitions.
+        days = [r["date"] for r in touched.select("date").distinct().collect()]
+        if not days:
             return
-        stored = spark.read.parquet(clean_path)
-        kept = stored.where(F.make_date("year", "month", "day").isin(touched))
-        features = user_day_features(drop_duplicate_ids(kept.select(*batch.columns), within_day=True))
-        scored = alerts.alert_table(active_only(features, min_cnt), model)
-        sinks.write_feature_days(scored, alerts_path)
+        kept = on_days(spark.read.parquet(clean_path), days).select(*batch.columns).withColumn("date", F.to_date(TS))
+        kept = kept.join(touched, key, "left_semi").drop("date")
+        features = active_only(user_day_features(drop_duplicate_ids(kept, within_day=True)), min_cnt)
+        fresh = alerts.scored_rows(features, model)
+        schema = T.StructType([*fresh.schema, *[T.StructField(c, T.IntegerType()) for c in sinks.DAY_PARTITIONS]])
+        if first_write(spark, alerts_path):
+            scored = fresh
+        else:
+            earlier = on_days(spark.read.schema(schema).parquet(alerts_path), days)
+            scored = fresh.unionByName(earlier.join(touched, key, "left_anti").select(*fresh.columns))
+        sinks.write_feature_days(alerts.flagged(stored(scored, "live-scores"), model.contamination), alerts_path)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if finish else writer).start()
+
+
+def first_write(spark: SparkSession, path: str) -> bool:
+    """Whether nothing has been written to ``path`` yet."""
+    try:
+        spark.read.format("binaryFile").load(path)
+        return False
+    except AnalysisException:
+        return True

@@ -10,7 +10,7 @@ from splitsight.operators.hotkeys import HeatLimit, hot_keys
 from splitsight.schema import MODEL_FEATURES
 from tests.conftest import DAY, at
 
-ALL_HOT = HeatLimit(floor=0, share=0.0)
+ALL_HOT = HeatLimit(0)
 
 
 def only(df):
@@ -67,17 +67,18 @@ def test_hot_and_cold_groups_agree_when_mixed(spark, make):
             rows.append((user, at(rng.randrange(0, 1440 * 60) / 60), amount, merchant))
     tx = make(rows)
     cold = user_day_features(tx).toPandas().sort_values("user_id").reset_index(drop=True)
-    for limit in (HeatLimit(100, 0.0), HeatLimit(10, 0.0), ALL_HOT):
+    for limit in (HeatLimit(100), HeatLimit(10), ALL_HOT):
         mixed = user_day_features(tx, limit).toPandas().sort_values("user_id").reset_index(drop=True)
         for c in MODEL_FEATURES:
             assert list(mixed[c]) == pytest.approx(list(cold[c]), abs=1e-9), c
 
 
-def test_number_of_hot_keys_is_bounded(spark):
-    df = spark.range(1000).select((F.col("id") % 7).alias("k"))
+def test_hot_keys_are_found_exactly_and_by_sample(spark):
+    df = spark.range(1000).select(F.when(F.col("id") < 400, 7).otherwise(F.col("id") % 5).alias("k"))
     assert hot_keys(df, ["k"]) is None
-    found = hot_keys(df, ["k"], HeatLimit(floor=10, share=0.143))
-    assert found is None or found.count() <= 6
+    assert [r.k for r in hot_keys(df, ["k"], HeatLimit(200)).collect()] == [7]
+    many = spark.range(200_000).select(F.when(F.col("id") < 60_000, 7).otherwise(F.col("id")).alias("k"))
+    assert [r.k for r in hot_keys(many, ["k"], HeatLimit(40_000)).collect()] == [7]
 
 
 def test_cold_features_use_one_exchange(make):
@@ -126,17 +127,45 @@ def test_anchors_equal_the_range_join(make, step, window, first):
     assert pairs == brute_anchors(times, DAY, 10, step, window, first)
 
 
-def test_rolling_activity_equals_brute_force(make):
+@pytest.mark.parametrize("limit", [HeatLimit(), ALL_HOT])
+def test_rolling_sums_forget_large_amounts(make, limit):
+    tx = make([("u", at(0), 1e16), ("u", at(60), 1.0), ("u", at(24.5 * 60), 1.0)])
+    got = [r.sum_24h for r in sorted(windows.rolling_activity(tx, limit=limit).collect(), key=lambda r: r.transaction_date)]
+    assert got[0] == 1e16 and got[2] == 2.0
+
+
+@pytest.mark.parametrize("limit", [HeatLimit(), ALL_HOT])
+def test_time_differences_ignore_the_session_zone(spark, make, limit):
+    import datetime as dt
+
+    change = dt.datetime(2021, 3, 14)
+    tx = make([("u", at(150, change), 1.0), ("u", at(190, change), 2.0)])
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert only(user_day_features(tx, limit)).avg_interval_minutes == 40
+        rolled = windows.rolling_activity(tx, 0.5, limit).collect()
+        assert sorted(r.cnt_24h for r in rolled) == [1, 1]
+        anchored = windows.anchor_features(tx, at(190, change), 1, 1, limit=limit).collect()
+        assert [r.analysis_date for r in anchored] == [at(190, change)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("limit", [HeatLimit(), ALL_HOT])
+def test_rolling_activity_equals_brute_force(make, limit):
     import datetime as dt
 
     rng = random.Random(1)
     times = [DAY + dt.timedelta(seconds=rng.randrange(0, 4 * 86400)) for _ in range(150)]
     times += [times[0] + dt.timedelta(hours=24), times[0], times[1] + dt.timedelta(hours=24, microseconds=1)]
-    rows = [("u", t, float(rng.randrange(1, 50))) for t in times]
-    got = {r.transaction_date: (r.cnt_24h, r.sum_24h) for r in windows.rolling_activity(make(rows)).collect()}
+    rows = [("u", t, float(rng.randrange(1, 50)), rng.choice(["a", "b", "c", None])) for t in times]
+    found = windows.rolling_activity(make(rows), limit=limit).collect()
+    assert len(found) == len(rows)
+    got = {r.transaction_date: (r.cnt_24h, r.sum_24h, r.unique_merchants) for r in found}
     for t in set(times):
-        inside = [a for _, x, a in rows if t - dt.timedelta(hours=24) <= x <= t]
-        assert got[t] == (len(inside), pytest.approx(sum(inside)))
+        inside = [(a, m) for _, x, a, m in rows if t - dt.timedelta(hours=24) <= x <= t]
+        assert got[t] == (len(inside), pytest.approx(sum(a for a, _ in inside)), len({m for _, m in inside} - {None}))
 
 
 def test_top_merchant_prefers_the_smaller_on_ties(make):

@@ -66,11 +66,29 @@ def test_fit_does_not_depend_on_partitioning(features, model):
 
 def test_hash_bound_draws_the_same_samples(features):
     rows = iforest.matrix(features)
-    few = iforest.draw_samples(rows, 600, 20, 5, 42)
-    all_rows = iforest.draw_samples(rows, 600, 20, 5, 42, whole=True)
+    # 10 trees of 20 rows: the pool is the whole table, with or without a bound for each tree.
+    few = iforest.draw_samples(rows, 600, 20, 10, 42)
+    all_rows = iforest.draw_samples(rows, 600, 20, 10, 42, spare=600 / 20)
     pick = lambda df: sorted((r.tree, r.user_id) for r in df.collect())
     assert pick(few) == pick(all_rows)
-    assert len(pick(few)) == 100
+    assert len(pick(few)) == 200
+
+
+def test_a_pool_still_fills_the_trees(features):
+    rows = iforest.matrix(features)
+    drawn = [(r.tree, r.user_id, r.date) for r in iforest.draw_samples(rows, 600, 20, 3, 42).collect()]
+    assert len(drawn) == len(set(drawn)) == 60
+    pooled = {d[1:] for d in drawn}
+    # The pool of 4 * 20 * 3 of 600 rows is shared by the trees.
+    assert len(pooled) < 60
+
+
+def test_growing_needs_no_scores(features, model):
+    grown = iforest.grow(features, n_trees=40, contamination=0.02)
+    assert grown.nodes.equals(model.nodes) or sorted(grown.nodes["threshold"]) == sorted(model.nodes["threshold"])
+    calibrated, decided = iforest.calibrate(grown, features)
+    assert calibrated.offset == model.offset
+    assert decided.where("flag_suspicious").count() == iforest.decision_scores(features, model).where("flag_suspicious").count()
 
 
 def test_trees_respect_height_and_constant_features(model):

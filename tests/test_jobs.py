@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,6 +91,27 @@ def test_live_windows_equal_the_batch(spark, busy, paths):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
 
 
+def test_a_backlog_is_counted_whole_in_any_order(spark, busy, paths):
+    rows = busy.repartition(6, "_id")
+    rows.write.parquet(paths["raw"])
+    stream = spark.readStream.schema(busy.schema).option("maxFilesPerTrigger", 1).parquet(paths["raw"])
+    days = live.live_windows(stream, slide=None, watermark=None)
+    live.backlog_to_table(days, paths["alerts"], paths["state"]).awaitTermination()
+    got = spark.read.parquet(paths["alerts"]).select("user_id", F.to_date("window.start").alias("date"), "cnt_24h")
+    expected = user_day_features(busy).select("user_id", "date", "cnt_24h")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_late_rows_are_counted(spark, make, paths):
+    for n, day in enumerate((20, 0, 21)):
+        make([("u", at(day * 1440), 1.0, "m", "DEBITO", f"id{n}")]).coalesce(1).write.mode("append").parquet(paths["raw"])
+        time.sleep(1.1)  # files are read in the order of their times
+    stream = spark.readStream.schema(make([("u", at(0), 1.0)]).schema).option("maxFilesPerTrigger", 1).parquet(paths["raw"])
+    query = live.to_table(live.live_windows(stream, slide=None), paths["alerts"], paths["state"], finish=True)
+    query.awaitTermination()
+    assert live.late_rows(query) == 1
+
+
 def test_threshold_labels(spark):
     df = spark.createDataFrame([(10,), (11,), (51,)], "cnt_24h long")
     assert [(r.cnt_24h, r.alert) for r in live.threshold_alerts(df).orderBy("cnt_24h").collect()] == [(11, "Media"), (51, "Alta")]
@@ -105,9 +127,9 @@ def test_stream_drops_repeated_ids(spark, make, paths):
 def test_stream_scoring_equals_the_batch(spark, busy, paths):
     active = clean.active_only(user_day_features(busy), 5)
     model = iforest.fit(active, n_trees=20)
-    live.score_into(
-        stream_of(spark, busy, paths["raw"]), paths["clean"], paths["alerts"], paths["state"], model, 5, finish=True
-    ).awaitTermination()
+    busy.repartition(3, "_id").write.parquet(paths["raw"])
+    stream = spark.readStream.schema(busy.schema).option("maxFilesPerTrigger", 1).parquet(paths["raw"])
+    live.score_into(stream, paths["clean"], paths["alerts"], paths["state"], model, 5, finish=True).awaitTermination()
     got = spark.read.parquet(paths["alerts"]).select(*alerts.ALERT_COLUMNS)
     expected = alerts.alert_table(active, model)
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))

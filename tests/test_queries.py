@@ -13,6 +13,9 @@ QUICK = [
     "activity_bands",
     "structuring_profile",
     "rolling_24h",
+    "rolling_24h_large_hot",
+    "structuring_profile_hot",
+    "stream_day_alerts_batches",
     "daily_sliding_features",
     "suspicion_scores",
     "forest_scores",

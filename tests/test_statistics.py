@@ -60,7 +60,7 @@ def profile_of(spark, make, rows, limit=HeatLimit()):
     return {r.user_id: r for r in profile.structuring_profile(tx, users, limit).collect()}
 
 
-@pytest.mark.parametrize("limit", [HeatLimit(), HeatLimit(0, 0.0)])
+@pytest.mark.parametrize("limit", [HeatLimit(), HeatLimit(0)])
 def test_profile_rules(spark, make, limit):
     rows = [("four", at(i), 10.0) for i in range(4)]
     rows += [("five", at(i), 10.0) for i in range(5)]

@@ -1,13 +1,16 @@
-"""Repeated runs of lines by a distributed suffix array, without Python.
+"""Repeated runs of lines by exact names of line sequences, without Python.
 
-Suffixes of the line sequences are ordered by their first ``MIN_LINES`` lines, which is all that
-repeats of that length need: ranks of 1, 2, 4, ... lines come from prefix doubling. A rank is the
-least place at which the same lines stand, so ranks are exact names, and suffixes of equal rank are an
-interval of the suffix array whose longest common prefix has that many lines. Only lines that occur
+Sequences of 1, 2, ... up to ``MIN_LINES`` lines are named by doubling: a rank is the least place at
+which the same lines stand, so places of equal rank are what would be an interval of a suffix array whose longest
+common prefix has that many lines. Ranks are names, not an order: neither a suffix array nor
+LCP values are made, since longer repeats are copies that continue each other. Only lines that occur
 again are ranked at all, which leaves out most places at once.
 
 A place whose rank at the last depth is not the place itself begins a copy of an earlier run. Copies
-that continue each other make a maximal run; every line of such a run is deleted.
+that continue each other make a maximal run; every line of such a run is deleted. With ``min_words``, runs
+of fewer lines are deleted too if they have so many words: as all longer ones go already, the ranks of
+each depth below ``MIN_LINES`` give every one of them. A word ends at a blank, after 16 characters, or after two
+where the script writes no blanks, so a paragraph in any script and unbroken data have their size.
 
 Cases: a null text has no line, an empty one a single empty line; lines are compared as they are; empty lines
 count; a run may overlap its own copy; of equal runs the one in the row with the least id stays (null ids
@@ -26,13 +29,17 @@ from splitsight.llm.words import free_name
 from splitsight.session import stored
 
 MIN_LINES = 3
+MIN_WORDS = 20
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+WORD = rf"[{UNSPACED}]{{1,2}}|[^\x09-\x0D\x20{UNSPACED}]{{1,16}}"
 
 
-def _numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Stored (id, row, n, lines): pairs of hashes, 96 bits, stand for the lines."""
+def _numbered(docs: DataFrame, doc_id: str, text: str, sizes: bool = False) -> DataFrame:
+    """Stored (id, row, n, lines): pairs of hashes, 96 bits, stand for the lines; ``sizes`` are their words."""
     lines = F.split(F.col(text), "\n", -1)
     hashed = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), F.hash(x).alias("g")))
-    rows = docs.select(F.col(doc_id).alias("id"), hashed.alias("lines"), F.monotonically_increasing_id().alias("row"))
+    counts = [F.transform(lines, lambda x: F.regexp_count(x, F.lit(WORD))).alias("sizes")] if sizes else []
+    rows = docs.select(F.col(doc_id).alias("id"), hashed.alias("lines"), *counts, F.monotonically_increasing_id().alias("row"))
     return stored(rows.withColumn("n", F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines"))), "lines")
 
 
@@ -58,29 +65,43 @@ def _doubled(ranks: DataFrame, step: int) -> DataFrame:
     return ranks.withColumn("next", F.first("rank").over(by_row)).where("next IS NOT NULL").select(F.col("rank").alias("a"), F.col("next").alias("b"), "id", "row", "at")
 
 
-def line_ranks(rows: DataFrame, depth: int) -> DataFrame:
-    """(id, row, at, rank): places whose ``depth`` lines stand elsewhere too; equal ranks are one interval."""
-    spread = rows.where(F.col("n") >= depth).select("id", "row", F.posexplode("lines").alias("at", "line"))
-    ranks = _ranked(spread.select("line.h", "line.g", "id", "row", "at"), ["h", "g"], "line-ranks")
+def _all_ranks(rows: DataFrame, depth: int, every: bool) -> list[DataFrame]:
+    """Ranks up to ``depth`` lines, in rising order: of every depth, or of those that doubling needs."""
+    spread = rows.where(F.col("n") >= (1 if every else depth)).select("id", "row", F.posexplode("lines").alias("at", "line"))
+    ranks = [_ranked(spread.select("line.h", "line.g", "id", "row", "at"), ["h", "g"], "line-ranks")]
     length = 1
     while length < depth:
         # The last step overlaps if the depth is no power of two.
-        step = min(length, depth - length)
-        ranks = _ranked(_doubled(ranks, step), ["a", "b"], "line-ranks")
+        step = 1 if every else min(length, depth - length)
+        ranks.append(_ranked(_doubled(ranks[-1], step), ["a", "b"], "line-ranks"))
         length += step
     return ranks
 
 
+def line_ranks(rows: DataFrame, depth: int) -> DataFrame:
+    """(id, row, at, rank): places whose ``depth`` lines stand elsewhere too; equal ranks are one interval."""
+    return _all_ranks(rows, depth, False)[-1]
+
+
 def intervals(rows: DataFrame, depth: int) -> DataFrame:
     """The intervals of the suffix array: first place (id, row, at), number of places."""
     return line_ranks(rows, depth).groupBy("rank").agg(F.count("*").alias("n")).select("rank.id", "rank.row", "rank.at", "n")
 
 
+def _copies(ranks: DataFrame) -> DataFrame:
+    """Places whose lines stand earlier too, with the first of these places."""
+    place = F.struct(F.col("row").alias("row"), F.col("at").alias("at"))
+    copies = ranks.where(F.struct("rank.row", "rank.at") != place)
+    return copies.select("row", "at", F.col("rank.row").alias("from_row"), F.col("rank.at").alias("from_at"), F.col("rank.id").alias("from_id"))
+
+
 def copied_runs(rows: DataFrame, depth: int) -> DataFrame:
     """Maximal copied runs: row, first line, line after the last, and the row and line of the earlier copy."""
-    place = F.struct(F.col("row").alias("row"), F.col("at").alias("at"))
-    copies = line_ranks(rows, depth).where(F.struct("rank.row", "rank.at") != place)
-    copies = copies.select("row", "at", F.col("rank.row").alias("from_row"), F.col("rank.at").alias("from_at"), F.col("rank.id").alias("from_id"))
+    return _runs(line_ranks(rows, depth), depth)
+
+
+def _runs(ranks: DataFrame, depth: int) -> DataFrame:
+    copies = _copies(ranks)
     order = W.partitionBy("row").orderBy("at")
     follows = (F.lag("at").over(order) == F.col("at") - 1) & (F.lag("from_row").over(order) == F.col("from_row")) & (F.lag("from_at").over(order) == F.col("from_at") - 1)
     marked = copies.withColumn("begins", F.when(follows, 0).otherwise(1))
@@ -89,10 +110,25 @@ def copied_runs(rows: DataFrame, depth: int) -> DataFrame:
     return found.select("row", "first", (F.col("last") + depth).alias("end"), "from_id", "from_row", "from_at")
 
 
-def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
-    """Per row: id, ``n_lines``, sorted ``deleted`` line numbers (from 0), and the ids that the runs come from."""
-    rows = _numbered(docs, doc_id, text)
-    runs = copied_runs(rows, min_lines)
+def _wordy_runs(rows: DataFrame, ranks: DataFrame, depth: int, min_words: int) -> DataFrame:
+    """Copied runs of just ``depth`` lines that have enough words."""
+    window = F.transform("sizes", lambda _, i: F.aggregate(F.slice("sizes", i + 1, depth), F.lit(0), lambda a, x: a + x))
+    enough = rows.select("row", F.posexplode(window).alias("at", "words")).where(F.col("words") >= min_words).select("row", "at")
+    copies = _copies(ranks).join(enough.hint("merge"), ["row", "at"])
+    return copies.select("row", F.col("at").alias("first"), (F.col("at") + depth).alias("end"), "from_id")
+
+
+def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
+    """Per row: id, ``n_lines``, sorted ``deleted`` line numbers (from 0), and the ids that the runs come from.
+
+    A run needs ``min_lines`` lines or, if it is given, ``min_words`` words.
+    """
+    rows = _numbered(docs, doc_id, text, min_words is not None)
+    *fewer, ranks = _all_ranks(rows, min_lines, min_words is not None)
+    runs = _runs(ranks, min_lines).select("row", "first", "end", "from_id")
+    if min_words is not None:
+        for depth, short in enumerate(fewer, 1):
+            runs = runs.unionByName(_wordy_runs(rows, short, depth, min_words))
     lines = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("first", F.col("end") - 1)))))
     per_row = runs.groupBy("row").agg(lines.alias("deleted"), F.array_sort(F.collect_set("from_id")).alias("from_ids"))
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -105,12 +141,12 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
 
 
-def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """The rows without the lines of copied runs; the other columns as they are."""
     number, removed, known = (free_name(docs, name) for name in ("line_row", "deleted", "row_of_deleted"))
     rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "line-rows")
     key = F.struct(F.col(doc_id).isNull(), F.col(doc_id), F.col(number))
-    found = repeated_lines(rows.withColumn(number, key), number, text, min_lines)
+    found = repeated_lines(rows.withColumn(number, key), number, text, min_lines, min_words)
     found = found.where(F.size("deleted") > 0).select(F.col(f"{number}.{number}").alias(known), F.col("deleted").alias(removed))
     lines = F.split(F.col(text), "\n", -1)
     kept = F.filter(lines, lambda _, i: ~F.array_contains(F.col(removed), i))

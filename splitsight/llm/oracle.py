@@ -51,10 +51,31 @@ SELECT doc_id, coalesce(len(l), 0) AS n_lines, coalesce(n, 0) AS n_deleted, coal
 FROM docs LEFT JOIN per USING (r)
 """
 
+# As above; shorter runs too if they have twenty words.
+UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+LINE_DEDUP_WORDS = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(text, chr(10)) AS l FROM documents
+), runs AS (
+  SELECT r, doc_id, p, n, l[p : p + n - 1] AS run
+  FROM (SELECT r, doc_id, l, n, unnest(range(1, len(l) - n + 2)) AS p FROM docs, (SELECT unnest([1, 2, 3]) AS n) WHERE len(l) >= n)
+), places AS (
+  SELECT r, p, n, run, row_number() OVER (PARTITION BY run ORDER BY doc_id NULLS LAST, r, p) AS nth FROM runs
+), gone AS (
+  SELECT DISTINCT r, unnest(range(p - 1, p + n - 1)) AS k FROM places
+  WHERE nth > 1 AND (n = 3 OR len(regexp_extract_all(array_to_string(run, chr(10)), '[{UNSPACED}]{{1,2}}|[^\x09-\x0D\x20{UNSPACED}]{{1,16}}')) >= 20)
+), per AS (
+  SELECT r, count(*) AS n, string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) AS ks FROM gone GROUP BY r
+)
+SELECT doc_id, coalesce(len(l), 0) AS n_lines, coalesce(n, 0) AS n_deleted, coalesce(ks, '') AS deleted_lines
+FROM docs LEFT JOIN per USING (r)
+"""
+
 
 def build() -> dict[str, str]:
     return {
         "op1_decontamination": DECONTAMINATION,
         "op2_exact_dedup": EXACT_DEDUP,
         "op3_line_dedup": LINE_DEDUP,
+        "op3_line_dedup_words": LINE_DEDUP_WORDS,
     }

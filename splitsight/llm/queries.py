@@ -34,8 +34,8 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    found = lines.repeated_lines(table(spark, folder, "documents"))
+def line_dedup(spark: SparkSession, folder: str, min_words: int | None = None) -> DataFrame:
+    found = lines.repeated_lines(table(spark, folder, "documents"), min_words=min_words)
     return found.select(
         "doc_id",
         "n_lines",
@@ -44,6 +44,10 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def line_dedup_words(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup(spark, folder, lines.MIN_WORDS)
+
+
 def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = personal.personal_spans(table(spark, folder, "documents"))
     counts = [personal.n_of(k).alias(f"n_{k}") for k in personal.KINDS]
@@ -97,6 +101,7 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontamination": decontamination,
         "op2_exact_dedup": exact_dedup,
         "op3_line_dedup": line_dedup,
+        "op3_line_dedup_words": line_dedup_words,
         "op4_personal_data": personal_data,
         "op5_license_scan": license_scan,
         "op6_best_fit_packing": best_fit_packing,

@@ -53,3 +53,12 @@ def test_odd_and_empty_tables(odd, empty):
     cut = lines.without_repeated_lines(odd)
     assert cut.columns == odd.columns and cut.count() == odd.count()
     assert lines.repeated_lines(empty).count() == 0
+
+
+def test_short_runs_with_enough_words_are_found(documents):
+    line, half, han = " ".join(f"w{i}" for i in range(20)), " ".join(f"h{i}" for i in range(10)), "重复的段落" * 8
+    texts = [f"a\n{line}\nb\n{half}\n{half} x\nc", f"{line}\nd", f"e\n{half}\n{half} x", f"{half}\nf", han, f"g\n{han}", "z" * 320, "z" * 320, "a\nb"]
+    got = {r.doc_id: (r.deleted, r.from_ids) for r in lines.repeated_lines(documents(texts), min_words=20).collect()}
+    none = ([], [])
+    assert got == {0: none, 1: ([0], [0]), 2: ([1, 2], [0]), 3: none, 4: none, 5: ([1], [4]), 6: none, 7: ([0], [6]), 8: none}
+    assert all(r.deleted == [] for r in lines.repeated_lines(documents(texts)).collect())

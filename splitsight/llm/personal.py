@@ -4,11 +4,12 @@ Base entities (mail addresses, IP addresses, card and phone numbers) are found b
 of lexical patterns - the two words before an entity - and instances, the identifier-like tokens that
 stand after them. Scores flow between both sides: a pattern is as good as its instances, an
 instance as likely as the patterns that hold it make it. Tokens under patterns of high confidence are
-added as entities of the pattern's kind.
+added as entities of the pattern's kind. An instance of high likelihood supports further patterns
+in the next generation, which are scored with the others, until no new instance is found.
 
 Cases: a null text is empty and has no entity; rows are read one by one, so repeated rows and null ids get
 their own spans; an empty table gives no rows; other columns are not read. Patterns need several distinct
-seeds, so a corpus without such contexts adds nothing.
+seeds, base entities or found instances, so a corpus without such contexts adds nothing.
 """
 
 from __future__ import annotations
@@ -120,30 +121,66 @@ def read_entities(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return stored(rows, "entities")
 
 
+def _supported(edges: DataFrame, found: DataFrame | None, min_seeds: int) -> DataFrame:
+    """(context, pattern_kind): patterns with enough distinct base entities and found instances."""
+    seeds = edges.where("kind IS NOT NULL").select("context", "kind")
+    if found is not None:
+        free = edges.where("kind IS NULL").drop("kind")
+        seeds = seeds.unionByName(free.join(found.hint("merge"), "value").select("context", F.col("found_kind").alias("kind")))
+    counted = seeds.groupBy("context").agg(F.count("kind").alias("seeds"), F.mode("kind", deterministic=True).alias("pattern_kind"))
+    return counted.where(F.col("seeds") >= min_seeds).drop("seeds")
+
+
+def _trusts(scored: DataFrame) -> DataFrame:
+    # Half an instance against each pattern keeps small ones down.
+    return stored(scored.groupBy("context", "pattern_kind").agg((F.sum("score") / (F.count("*") + 0.5)).alias("trust")), "pattern-trust")
+
+
+def _likely(joined: DataFrame, keys: list[str]) -> DataFrame:
+    return joined.groupBy(*keys).agg((1 - F.exp(F.sum(F.log1p(-F.least("trust", F.lit(0.999)))))).alias("likely"))
+
+
+def _scored(edges: DataFrame, patterns: DataFrame, found: DataFrame | None, rounds: int, confidence: float) -> DataFrame:
+    """The edges of the patterns with scores after ``rounds``; a found instance counts ``confidence`` at least."""
+    edges = edges.join(patterns.hint("merge"), "context")
+    least = F.lit(0.0)
+    if found is not None:
+        edges = edges.join(found.hint("merge"), "value", "left")
+        least = F.when(F.col("kind").isNull() & (F.col("found_kind") == F.col("pattern_kind")), confidence).otherwise(0.0)
+    scored = edges.withColumn("least", least).drop("found_kind")
+    scored = stored(scored.withColumn("score", F.when(F.col("kind") == F.col("pattern_kind"), 1.0).otherwise(F.col("least"))), "pattern-edges")
+    for _ in range(rounds):
+        joined = scored.drop("score").join(_trusts(scored).hint("merge"), ["context", "pattern_kind"])
+        values = stored(_likely(joined, ["value", "pattern_kind"]), "instance-likely")
+        own = F.when(F.col("kind") == F.col("pattern_kind"), 1.0).when(F.col("kind").isNotNull(), 0.0).otherwise(F.greatest("likely", "least"))
+        scored = stored(joined.join(values.hint("merge"), ["value", "pattern_kind"]).withColumn("score", own).drop("likely", "trust"), "pattern-scores")
+    return scored
+
+
 def trusted_patterns(rows: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, min_seeds: int = MIN_SEEDS) -> DataFrame:
-    """(context, kind): patterns of high confidence after ``rounds`` of scoring.
+    """(context, kind): patterns of high confidence after ``rounds`` of scoring in the last generation.
 
     The graph has a row per distinct (pattern, value), made with map-side combining, so a pattern or a
-    value of any frequency moves one row per task.
+    value of any frequency moves one row per task. A generation scores all patterns that have enough
+    support; their free instances of high likelihood support patterns of the next one. Patterns and instances
+    keep their kinds and only become more, so the generations end.
     """
     tokens = rows.select(F.explode("tokens").alias("t")).select("t.*").where("context <> '' AND (free OR kind IS NOT NULL)")
     edges = stored(tokens.groupBy("context", "value").agg(F.max("kind").alias("kind")), "pattern-edges")
-    # Patterns with fewer seeds than needed can't become trusted; most contexts go here.
-    seeded = edges.groupBy("context").agg(F.count("kind").alias("seeds"), F.mode("kind", deterministic=True).alias("pattern_kind"))
-    seeded = stored(seeded.where(F.col("seeds") >= min_seeds), "pattern-seeds")
-    edges = stored(edges.join(seeded.hint("merge"), "context"), "pattern-edges")
-    scored = edges.withColumn("score", F.when(F.col("kind") == F.col("pattern_kind"), 1.0).otherwise(0.0))
-    for _ in range(rounds):
-        # Half an instance against each pattern keeps small ones down.
-        patterns = scored.groupBy("context", "pattern_kind").agg((F.sum("score") / (F.count("*") + 0.5)).alias("trust"))
-        patterns = stored(patterns, "pattern-trust")
-        joined = scored.drop("score").join(patterns.hint("merge"), ["context", "pattern_kind"])
-        values = joined.groupBy("value", "pattern_kind").agg((1 - F.exp(F.sum(F.log1p(-F.least("trust", F.lit(0.999)))))).alias("likely"))
-        values = stored(values, "instance-likely")
-        own = F.when(F.col("kind") == F.col("pattern_kind"), 1.0).when(F.col("kind").isNotNull(), 0.0).otherwise(F.col("likely"))
-        scored = stored(joined.join(values.hint("merge"), ["value", "pattern_kind"]).withColumn("score", own).drop("likely", "trust"), "pattern-scores")
-    trusted = scored.groupBy("context", "pattern_kind").agg((F.sum("score") / (F.count("*") + 0.5)).alias("trust"))
-    return trusted.where(F.col("trust") >= confidence).select("context", F.col("pattern_kind").alias("kind"))
+    patterns, found = stored(_supported(edges, None, min_seeds), "patterns"), None
+    while True:
+        scored = _scored(edges, patterns, found, rounds, confidence)
+        trusts = _trusts(scored)
+        free = scored.where("kind IS NULL").select("context", "value", "pattern_kind")
+        likely = _likely(free.join(trusts.hint("merge"), ["context", "pattern_kind"]), ["value", "pattern_kind"]).where(F.col("likely") >= confidence)
+        new = likely.groupBy("value").agg(F.max(F.struct("likely", "pattern_kind"))["pattern_kind"].alias("found_kind"))
+        new = stored(new if found is None else new.join(found.hint("merge"), "value", "left_anti"), "found-instances")
+        if new.isEmpty():
+            break
+        found = new if found is None else stored(found.unionByName(new), "found-instances")
+        more = _supported(edges, found, min_seeds).join(patterns.hint("merge"), "context", "left_anti")
+        patterns = stored(patterns.unionByName(more), "patterns")
+    return trusts.where(F.col("trust") >= confidence).select("context", F.col("pattern_kind").alias("kind"))
 
 
 def personal_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -70,6 +70,20 @@ def test_contexts_find_unseen_identifiers(documents):
     assert got[13].spans == [] and all(got[i].spans == got[i].base for i in range(12))
 
 
+def test_found_instances_raise_further_patterns(documents):
+    numbers = [f"217.555.01{i:02d}x" for i in range(11)]
+    texts = [f"{prose(i, 10)} call mobile +1 (217) 555-77{i:02d} soon" for i in range(12)]
+    texts += [f"{prose(100 + i, 5)} call mobile {n} now" for i, n in enumerate(numbers[:4])]
+    # Without base entities: first beside the numbers above, then beside those of this context.
+    texts += [f"{prose(200 + i, 5)} acct no {n} now" for i, n in enumerate(numbers[:8])]
+    texts += [f"{prose(300 + i, 5)} desk line {n} now" for i, n in enumerate(numbers[4:])]
+    texts += [f"{prose(400 + i, 5)} in room {i} now" for i in range(8)]
+    got = {r.doc_id: r for r in personal.personal_spans(documents(texts)).collect()}
+    for i in range(12, 31):
+        assert [(s.kind, texts[i][s.start : s.end]) for s in got[i].spans] == [("phone", texts[i].split()[-2])], i
+    assert all(got[i].spans == [] for i in range(31, 39))
+
+
 def test_masking(documents):
     got = {r.doc_id: r.text for r in personal.masked(documents(["mail a@b.co, 1.2.3.4!", None])).collect()}
     assert got == {0: "mail ******, *******!", 1: None}

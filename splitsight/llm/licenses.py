@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,19 @@ MAX_TEMPLATE_WORDS = 1_000_000
 # Shingles hashed at a time; whole windows of the smallest size.
 PART = 16_384
 
-# License notices as their authors publish them.
-TEMPLATES = {
+# One-line notices and headers, then the whole texts in license_texts.
+NOTICES = {
+    "AGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+    "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-NC-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "GPL-2.0-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+    "the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "LGPL-2.1-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+    "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "MPL-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+    "file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
     "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
@@ -45,6 +57,8 @@ TEMPLATES = {
     "sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
     "BSD-redistribution": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
 }
+TEXTS = {f"{path.stem}-text": path.read_text() for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+TEMPLATES = NOTICES | TEXTS
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -89,7 +103,7 @@ class Templates:
 
     def __init__(self, rows: list[tuple[str, str]]):
         hashes = WordHashes()
-        self.names, self.grams, self.classes = [], [], []
+        self.names, self.grams, self.lengths, self.classes = [], [], [], []
         found: dict[int, dict[tuple[int, int], set[int]]] = defaultdict(lambda: defaultdict(set))
         for name, text in rows:
             own = words(text.encode() if text else None)
@@ -99,6 +113,7 @@ class Templates:
             grams = shingles(hashes.of(own), SHINGLE)
             self.names.append(name)
             self.grams.append(np.unique(grams))
+            self.lengths.append(len(grams))
             self.classes.append(k)
             for band, value in enumerate((grams[:, None] * _SEEDS[None, :]).min(axis=0).tolist()):
                 found[k][band, value].add(at)
@@ -130,7 +145,7 @@ class Templates:
                     inside = place[(place + low >= window * size // 2) & (place + low < window * size // 2 + size)]
                     if not len(inside):
                         continue
-                    near = place[np.abs(place - inside[0]) <= len(self.grams[t])]
+                    near = place[np.abs(place - inside[0]) <= self.lengths[t]]
                     share = len(np.unique(part[near])) / len(self.grams[t])
                     if share >= CONTAINED:
                         first = low + int(near[0])

@@ -14,6 +14,17 @@ def test_each_template_is_found_in_any_place(spark, documents):
         assert [(p.first, p.end) for p in places] == [(7 * i + 3, 7 * i + 3 + len(words(t.encode())))], name
 
 
+def test_whole_texts_are_found(spark, documents):
+    texts = [f"{prose(1, 20)}\n{licenses.TEXTS[n]}" for n in ("BSD-3-Clause-text", "ISC-text", "LGPL-2.1-text", "MPL-2.0-text")]
+    # The parts after what the notices quote.
+    mit = licenses.TEXTS["MIT-text"]
+    texts += [mit[: mit.index("subject to")] + "as follows: " + mit[mit.index("The above") :]]
+    got = {r.doc_id: {x.name for x in r.licenses} for r in licenses.license_spans(documents(texts), licenses.templates(spark)).collect()}
+    for i, name in enumerate(("BSD-3-Clause-text", "ISC-text", "LGPL-2.1-text", "MPL-2.0-text", "MIT-text")):
+        assert name in got[i], name
+    assert not any(n.startswith(("GPL-3", "Apache")) for i in range(5) for n in got[i])
+
+
 def test_containment_is_exact(spark, documents):
     template = prose(7, 60)
     own = template.split()

@@ -1,10 +1,11 @@
 """Substring deduplication by content-defined chunks.
 
 A gear hash of the last 16 bytes decides at each blank whether a chunk ends there, so an
-insertion moves no boundary beyond its neighbourhood. Chunks are short, so that whole ones fit into any
+insertion moves no boundary beyond its neighbourhood. Where there are no blanks - after a character of a script
+that is written without them, or ``LONG`` bytes after the last blank - it decides after each character. Chunks are short, so that whole ones fit into any
 passage; since short ones recur by chance, ``IN_A_ROW`` chunks in a row are compared, by the digest of
 their digests. Where these stand earlier too, the chunks are copies, and a stretch of copies is a repeat if it has
-at least ``MIN_WORDS`` words. Whole chunks only are cut, so up to a few words at either end of a
+at least ``MIN_WORDS`` words, where ``WORD_CHARS`` characters without blanks count as one more. Whole chunks only are cut, so up to a few words at either end of a
 repeated passage stay.
 
 Texts are handled in parts of bounded size. A part hands on each distinct digest once, so that a
@@ -13,8 +14,8 @@ occur in an earlier part.
 
 Cases: a null or empty text has no chunks; of equal passages the first in the order of the stored parts
 stays, within a row and between rows, so of repeated rows all but one are repeats; short texts are
-never repeats; null ids are kept; an empty table gives no rows; other columns are not read. A stretch
-without blanks is cut after ``MAX_BYTES``. Digests have 64 bits: a chance collision touches one row of chunks,
+never repeats; null ids are kept; an empty table gives no rows; other columns are not read. A chunk
+is cut after ``MAX_BYTES`` at the latest, as in runs of one character. Digests have 64 bits: a chance collision touches one row of chunks,
 which is no stretch.
 """
 
@@ -36,6 +37,10 @@ from splitsight.session import stored
 SHARE = 1 / 2
 MIN_BYTES, MAX_BYTES = 4, 512
 MIN_WORDS = 32
+# In stretches without blanks one character in twelve ends a chunk, and this many count as a word.
+SHARE_UNSPACED = 1 / 12
+WORD_CHARS = 4
+LONG = 64
 IN_A_ROW = 6
 PART_CHUNKS = 500_000
 
@@ -55,11 +60,37 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def blanks(data: np.ndarray) -> np.ndarray:
+    return (data == 32) | ((data >= 9) & (data <= 13))
+
+
+def unspaced(data: np.ndarray) -> np.ndarray:
+    """Whether a character begins at a byte that is of a script without blanks (Chinese, Japanese, Thai, Lao,
+    Tibetan, Burmese, Khmer) or stands ``LONG`` bytes or more after the last blank."""
+    at = np.arange(len(data), dtype=np.int32)
+    out = at - np.maximum.accumulate(np.where(blanks(data), at, np.int32(-1))) >= LONG
+    high = np.flatnonzero(data >= 0xE0)
+    if len(high):
+        lead, second = data[high], data[np.minimum(high + 1, len(data) - 1)]
+        scripts = (lead >= 0xE3) & (lead <= 0xE9) | (lead == 0xE0) & (second >= 0xB8)
+        scripts |= (lead == 0xE1) & ((second >= 0x80) & (second <= 0x82) | (second == 0x9E) | (second == 0x9F))
+        scripts |= (lead == 0xEF) & ((second >= 0xA4) & (second <= 0xAB) | (second >= 0xBC)) | (lead == 0xF0) & (second >= 0xA0)
+        out[high[scripts]] = True
+    return out & ((data & 0xC0) != 0x80)
+
+
 def chunk_ends(text: bytes) -> list[int]:
     """Ends of the chunks of a text, in bytes."""
     data = np.frombuffer(text, np.uint8)
-    blank = (data == 32) | ((data >= 9) & (data <= 13))
-    wanted = np.flatnonzero(blank & ((gear(data) >> np.uint16(4)) < int(4096 * SHARE))) + 1
+    hashed = gear(data) >> np.uint16(4)
+    wanted = blanks(data) & (hashed < int(4096 * SHARE))
+    dense = unspaced(data)
+    if dense.any():
+        # The last byte of each such character.
+        begins = np.flatnonzero((data & 0xC0) != 0x80)
+        last = np.append(begins[1:], len(data))[dense[begins]] - 1
+        wanted[last] |= hashed[last] < int(4096 * SHARE_UNSPACED)
+    wanted = np.flatnonzero(wanted) + 1
     ends, last, size = [], 0, len(text)
     for at in [*wanted.tolist(), size]:
         while at - last > MAX_BYTES:
@@ -87,12 +118,12 @@ def row_digests(text: bytes, ends: list[int]) -> np.ndarray:
 
 
 def _parts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One row per part: its documents, and per chunk its length in characters and its words; per row of
-    chunks the distance to its first copy in the part; the digests of first copies with their places."""
+    """One row per part: its documents, and per chunk its length in characters, its words and its characters
+    without blanks, in 11, 10 and 11 bits; per row of chunks the distance to its first copy in the part; the digests of first copies with their places."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
-        ids, counts, digests, chars, words, size = [], [], [], [], [], 0
+        ids, counts, digests, sizes, size = [], [], [], [], 0
 
         def part():
             hashes = np.concatenate(digests) if digests else np.zeros(0, np.uint64)
@@ -102,8 +133,7 @@ def _parts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 "part": [task << 24 | number],
                 "ids": [pa.concat_arrays(ids)],
                 "counts": [np.array(counts, "<u4").tobytes()],
-                "chars": [np.concatenate(chars).astype("<u2").tobytes() if chars else b""],
-                "words": [np.concatenate(words).astype("<u2").tobytes() if words else b""],
+                "sizes": [np.concatenate(sizes).astype("<u4").tobytes() if sizes else b""],
                 "back": [back.tobytes()],
                 "digests": [unique.tobytes()],
                 "places": [first.astype("<u4").tobytes()],
@@ -122,21 +152,21 @@ def _parts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 digests.append(row_digests(t, ends))
                 size += len(ends)
                 data = np.frombuffer(t, np.uint8)
-                blank = (data == 32) | ((data >= 9) & (data <= 13))
+                blank = blanks(data)
                 begins = ~blank
                 begins[1:] &= blank[:-1]
                 at = np.array([0, *ends[:-1]])
-                chars.append(np.add.reduceat((data & 0xC0) != 0x80, at, dtype=np.int64))
-                words.append(np.add.reduceat(begins, at, dtype=np.int64))
+                chars, words, dense = (np.add.reduceat(x, at, dtype=np.int64) for x in ((data & 0xC0) != 0x80, begins, unspaced(data)))
+                sizes.append(chars | words << 11 | dense << 21)
             if size >= PART_CHUNKS:
                 yield part()
                 number += 1
-                ids, counts, digests, chars, words, size = [], [], [], [], [], 0
+                ids, counts, digests, sizes, size = [], [], [], [], 0
         if ids:
             yield part()
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    binary = ", ".join(f"{c} binary" for c in ("counts", "chars", "words", "back", "digests", "places"))
+    binary = ", ".join(f"{c} binary" for c in ("counts", "sizes", "back", "digests", "places"))
     return docs.select(doc_id, text).mapInArrow(cut, f"part long, ids array<{kind}>, {binary}")
 
 
@@ -187,7 +217,8 @@ def repeat_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
         if left.num_rows:
             one = {c: left[c][0].as_py() for c in left.column_names if c != "ids"}
             counts = np.frombuffer(one["counts"], "<u4").astype(np.int64)
-            chars, words = (np.frombuffer(one[c], "<u2").astype(np.int64) for c in ("chars", "words"))
+            sizes = np.frombuffer(one["sizes"], "<u4").astype(np.int64)
+            chars, words, dense = sizes & 0x7FF, sizes >> 11 & 0x3FF, sizes >> 21
             back = np.frombuffer(one["back"], "<u4").astype(np.int64)
             known = np.zeros(len(back) + 1, bool)
             for x in right["places"].to_pylist():
@@ -205,7 +236,8 @@ def repeat_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
                 edges = np.flatnonzero(np.diff(np.concatenate(([False], own, [False])).astype(np.int8))).reshape(-1, 2)
                 place = np.concatenate(([0], np.cumsum(chars[at : at + n])))
                 size = np.concatenate(([0], np.cumsum(words[at : at + n])))
-                runs = [(a, b) for a, b in edges.tolist() if size[b] - size[a] >= min_words]
+                full = WORD_CHARS * size + np.concatenate(([0], np.cumsum(dense[at : at + n])))
+                runs = [(a, b) for a, b in edges.tolist() if full[b] - full[a] >= WORD_CHARS * min_words]
                 rows["n_chunks"].append(n)
                 rows["n_repeated"].append(sum(b - a for a, b in runs))
                 rows["n_words"].append(int(sum(size[b] - size[a] for a, b in runs)))

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 
@@ -86,6 +88,32 @@ def test_passages_over_fifty_words_are_caught_and_others_left(documents):
     assert sum(found[1::3]) >= 119 and not any(found[0::3]) and not any(found[2::3])
 
 
+def test_passages_without_blanks_are_caught(documents):
+    rng = random.Random(7)
+    alphabets = {"chinese": (0x4E00, 0x9FA5), "thai": (0x0E01, 0x0E2E), "base64": (0x30, 0x7A)}
+
+    def stretch(kind, n):
+        return "".join(chr(rng.randint(*alphabets[kind])) for _ in range(n))
+
+    def broken(text, n):
+        return "\n".join(text[i : i + n] for i in range(0, len(text), n))
+
+    texts = []
+    for kind in alphabets:
+        passage, same = stretch(kind, 400), stretch(kind, 300)
+        texts += [f"{stretch(kind, 205)}{passage}{stretch(kind, 90)}", f"{stretch(kind, 98)}{passage}{stretch(kind, 150)}", same, same, stretch(kind, 500)]
+    lines = broken(stretch("chinese", 300), 15)
+    texts += [f"{prose(1, 40)}\n{lines}", f"{prose(2, 43)}\n{lines}"]
+    got = {r.doc_id: r for r in chunks.repeat_spans(documents(texts).coalesce(1)).collect()}
+    for i in range(0, 15, 5):
+        (span,) = got[i + 1].spans
+        # Up to LONG characters before and a chunk on either side stay.
+        assert 98 <= span.start < 300 and 400 < span.end <= 498 and span.end - span.start >= 200, i
+        assert [tuple(s) for s in got[i + 3].spans] == [(0, 300)]
+        assert not got[i].spans and not got[i + 2].spans and not got[i + 4].spans
+    assert got[16].spans and not got[15].spans
+
+
 def test_texts_without_repeats(documents):
     passage, texts = cases()
     got = {r.doc_id: r.text for r in chunks.without_repeats(documents(texts).coalesce(1)).collect()}

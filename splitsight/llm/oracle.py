@@ -117,11 +117,41 @@ FROM leaves JOIN lower_tree s ON s.r = leaves.r AND s.n = 1 JOIN upper_tree u ON
 """
 
 
+IMPORTANCE = f"""
+WITH {CRC_TABLE}, docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {WORDS.format("text")} AS w FROM documents
+), raw AS (
+  SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM docs) GROUP BY word
+), target AS (
+  SELECT word, count(*) AS n FROM (SELECT unnest({WORDS.format("text")}) AS word FROM benchmark) GROUP BY word
+), hashed AS (
+  SELECT word, {CRC.format("hx")} % 10000 AS bucket
+  FROM (SELECT word, hex(encode(word)) AS hx FROM (SELECT word FROM raw UNION SELECT word FROM target)), crc
+), counts AS (
+  SELECT bucket, coalesce(sum(raw.n), 0) AS s, coalesce(sum(target.n), 0) AS t
+  FROM hashed LEFT JOIN raw USING (word) LEFT JOIN target USING (word) GROUP BY bucket
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1.0::DOUBLE) * ((SELECT sum(s) FROM counts) + 10000.0::DOUBLE)
+    / ((s + 1.0::DOUBLE) * ((SELECT sum(t) FROM counts) + 10000.0::DOUBLE)))) AS BIGINT) AS gain FROM counts
+), weights AS (
+  SELECT r, CAST(sum(gain) AS BIGINT) AS weight FROM (SELECT r, unnest(w) AS word FROM docs) JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY r
+), scored AS (
+  SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM docs LEFT JOIN weights USING (r)
+), ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, r) AS rank, 10 * count(*) OVER () // 100 AS drawn FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= drawn THEN rank END AS rank FROM scored LEFT JOIN ranked USING (r)
+"""
+
+
 def build() -> dict[str, str]:
     return {
         "op1_decontamination": DECONTAMINATION,
         "op2_exact_dedup": EXACT_DEDUP,
         "op3_line_dedup": LINE_DEDUP,
         "op3_line_dedup_words": LINE_DEDUP_WORDS,
+        "op12_importance_resampling": IMPORTANCE,
         "op13_merkle_manifest": MERKLE,
     }

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,3 +95,15 @@ def tasks_over(batches: Iterable[pa.RecordBatch], size: int = 500) -> Iterator[p
     for batch in batches:
         for at in range(0, batch.num_rows, size):
             yield batch.slice(at, size)
+
+
+def tasks_by_bytes(batches: Iterable[pa.RecordBatch], text: int = 0, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices whose texts, in column ``text``, have at most ``most`` bytes together; a longer text stands alone."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            start = ends[at - 1] if at else 0
+            end = max(int(np.searchsorted(ends, start + most, "right")), at + 1)
+            yield batch.slice(at, end - at)
+            at = end

@@ -146,12 +146,32 @@ SELECT doc_id, n_features, weight, score, CASE WHEN rank <= drawn THEN rank END
 """
 
 
+VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+), usable AS (
+  SELECT * FROM v WHERE len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(x, lambda c: c <> 0)) > 0
+), links AS (
+  SELECT a.r AS a, b.r AS b FROM usable a JOIN usable b ON a.r <> b.r AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.95
+), reached AS (
+  SELECT r AS a, r AS b FROM v
+  UNION
+  SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+), least AS (
+  SELECT reached.a AS r, min(v.vec_id) AS component_id FROM reached JOIN v ON v.r = reached.b GROUP BY reached.a
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = v.r) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN least USING (r)
+"""
+
+
 def build() -> dict[str, str]:
     return {
         "op1_decontamination": DECONTAMINATION,
         "op2_exact_dedup": EXACT_DEDUP,
         "op3_line_dedup": LINE_DEDUP,
         "op3_line_dedup_words": LINE_DEDUP_WORDS,
+        "op11_embedding_dedup": VECTORS,
         "op12_importance_resampling": IMPORTANCE,
         "op13_merkle_manifest": MERKLE,
     }

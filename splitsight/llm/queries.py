@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splitsight.llm import bloom_lm, chunks, decontaminate, exact, importance, jaccard, licenses, lines, merkle, packing, personal, toxicity
+from splitsight.llm import bloom_lm, chunks, decontaminate, exact, importance, jaccard, licenses, lines, merkle, packing, personal, toxicity, vectors
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -100,6 +100,10 @@ def importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return importance.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"), kind=importance.Features(1, 1))
 
 
+def embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.vector_components(table(spark, folder, "embeddings"))
+
+
 def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Proofs of all documents; of one in seven a changed n_chars is checked against them."""
     # Wide enough for the largest number and one more.
@@ -125,6 +129,7 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": substring_dedup,
         "op9_ngram_jaccard": ngram_jaccard,
         "op10_lm_scoring": lm_scoring,
+        "op11_embedding_dedup": embedding_dedup,
         "op12_importance_resampling": importance_resampling,
         "op13_merkle_manifest": merkle_manifest,
     }

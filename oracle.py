@@ -605,15 +605,10 @@ def build() -> dict[str, str]:
         "stream_day_alerts_batches": f"""WITH {TXE} SELECT user_id, CAST({TS} AS DATE) AS date, count({AMOUNT}) AS cnt_24h,
               CASE WHEN count({AMOUNT}) > 5 THEN 'Alta' ELSE 'Media' END AS alert FROM txe WHERE transaction_type = 'DEBITO'
             GROUP BY 1, 2 HAVING count({AMOUNT}) > 3""",
-        "stream_24h_counts": f"""WITH {TXE}, deb AS (SELECT * FROM txe WHERE transaction_type = 'DEBITO'), w AS (
-              SELECT user_id, date_trunc('hour', {TS}) - i * INTERVAL 1 HOUR AS window_start, {AMOUNT} FROM deb CROSS JOIN range(0, 24) t(i))
-            SELECT user_id, window_start, count({AMOUNT}) AS cnt_24h, {r(f"sum({AMOUNT})", "sum_24h")} FROM w
-            WHERE window_start + INTERVAL 24 HOUR <= (SELECT max({TS}) FROM deb) - INTERVAL 1 HOUR GROUP BY user_id, window_start""",
-        "stream_day_alerts": f"""WITH {TXE}, deb AS (SELECT * FROM txe WHERE transaction_type = 'DEBITO')
-            SELECT user_id, CAST({TS} AS DATE) AS date, count({AMOUNT}) AS cnt_24h,
-                   CASE WHEN count({AMOUNT}) > 5 THEN 'Alta' ELSE 'Media' END AS alert FROM deb
-            WHERE date_trunc('day', {TS}) + INTERVAL 24 HOUR <= (SELECT max({TS}) FROM deb) - INTERVAL 1 HOUR
-            GROUP BY 1, 2 HAVING count({AMOUNT}) > 3""",
+        "stream_24h_merchants": f"""WITH {TXE}, deb AS (SELECT * FROM txe WHERE transaction_type = 'DEBITO'), w AS (
+              SELECT user_id, date_trunc('hour', {TS}) - i * INTERVAL 1 HOUR AS window_start, {AMOUNT}, merchant_id FROM deb CROSS JOIN range(0, 24) t(i))
+            SELECT user_id, window_start, count({AMOUNT}) AS cnt_24h, {r(f"sum({AMOUNT})", "sum_24h")}, count(DISTINCT merchant_id) AS merchants
+            FROM w GROUP BY user_id, window_start""",
         "stream_distinct_ids": "SELECT DISTINCT l_orderkey || '-' || l_linenumber AS _id FROM lineitem",
         "stream_model_alerts": forest(f"SELECT {ALERTS_OUT} FROM al", days=day_features(TXE, "txe")),
     }
@@ -625,6 +620,9 @@ def build() -> dict[str, str]:
         "rolling_24h_hot": "rolling_24h",
         "rolling_24h_large_hot": "rolling_24h_large",
         "forest_default_contamination": "forest_scores",
+        "stream_24h_counts": "stream_24h_counts_batches",
+        "stream_day_alerts": "stream_day_alerts_batches",
+        "stream_24h_merchants_batches": "stream_24h_merchants",
         "stream_distinct_ids_batches": "stream_distinct_ids",
         "stream_model_alerts_batches": "stream_model_alerts",
     }

@@ -378,24 +378,39 @@ def stream_result(spark: SparkSession, stream: DataFrame, label: str) -> DataFra
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def live_result(spark: SparkSession, stream: DataFrame, label: str, **options) -> DataFrame:
+    """All windows of a stream that is read to its end, open ones from its state."""
+    out, state = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
+    live.to_table(live.live_windows(stream, **options), out, state, finish=True).awaitTermination()
+    return live.all_windows(spark, out, state)
+
+
+def window_counts(found: DataFrame, *more: str) -> DataFrame:
+    start = F.col("window.start").cast("timestamp_ntz").alias("window_start")
+    return rounded(found.select("user_id", start, "cnt_24h", "sum_24h", *more))
+
+
+def day_alerts(days: DataFrame) -> DataFrame:
+    date = F.col("window.start").cast("timestamp_ntz").cast("date").alias("date")
+    return live.threshold_alerts(days, {"Media": 3, "Alta": 5}).select("user_id", date, "cnt_24h", "alert")
+
+
 def stream_24h_counts(spark: SparkSession, folder: str) -> DataFrame:
-    found = stream_result(spark, live.live_windows(event_stream(spark, folder)), "windows")
-    return rounded(
-        found.select(
-            "user_id",
-            F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-            "cnt_24h",
-            "sum_24h",
-        )
-    )
+    return window_counts(live_result(spark, event_stream(spark, folder), "windows"))
+
+
+def stream_24h_merchants(spark: SparkSession, folder: str) -> DataFrame:
+    return window_counts(live_result(spark, event_stream(spark, folder), "windows"), "merchants")
+
+
+def stream_24h_merchants_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Several micro-batches whose rows are dealt by hash: the watermark has to wait for the oldest."""
+    events = events_as_transactions(in_batches(spark, folder, "events"))
+    return window_counts(live_result(spark, events, "windows", watermark="3650 days"), "merchants")
 
 
 def stream_day_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    days = live.live_windows(event_stream(spark, folder), slide=None)
-    found = stream_result(spark, live.threshold_alerts(days, {"Media": 3, "Alta": 5}), "day-alerts")
-    return found.select(
-        "user_id", F.col("window.start").cast("timestamp_ntz").cast("date").alias("date"), "cnt_24h", "alert"
-    )
+    return day_alerts(live_result(spark, event_stream(spark, folder), "days", slide=None))
 
 
 def stream_distinct_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -416,25 +431,14 @@ def in_batches(spark: SparkSession, folder: str, table: str, files: int = 7) ->
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def backlog_result(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
-    out, state = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
-    live.backlog_to_table(stream, out, state).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
-
-
 def stream_24h_counts_batches(spark: SparkSession, folder: str) -> DataFrame:
     events = events_as_transactions(in_batches(spark, folder, "events"))
-    found = backlog_result(spark, live.live_windows(events, watermark=None), "windows")
-    start = F.col("window.start").cast("timestamp_ntz").alias("window_start")
-    return rounded(found.select("user_id", start, "cnt_24h", "sum_24h"))
+    return window_counts(live.backlog_windows(events, scratch_path(spark, "windows-state")))
 
 
 def stream_day_alerts_batches(spark: SparkSession, folder: str) -> DataFrame:
     events = events_as_transactions(in_batches(spark, folder, "events"))
-    days = live.live_windows(events, slide=None, watermark=None)
-    found = backlog_result(spark, live.threshold_alerts(days, {"Media": 3, "Alta": 5}), "day-alerts")
-    date = F.col("window.start").cast("timestamp_ntz").cast("date").alias("date")
-    return found.select("user_id", date, "cnt_24h", "alert")
+    return day_alerts(live.backlog_windows(events, scratch_path(spark, "days-state"), slide=None))
 
 
 def stream_distinct_ids_batches(spark: SparkSession, folder: str) -> DataFrame:
@@ -569,6 +573,8 @@ def build() -> dict[str, Query]:
         "forest_top10": forest_top10,
         "backfilled_alerts": backfilled_alerts,
         "stream_24h_counts": stream_24h_counts,
+        "stream_24h_merchants": stream_24h_merchants,
+        "stream_24h_merchants_batches": stream_24h_merchants_batches,
         "stream_day_alerts": stream_day_alerts,
         "stream_distinct_ids": stream_distinct_ids,
         "stream_model_alerts": stream_model_alerts,

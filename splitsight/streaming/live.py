@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections import Counter
+from collections.abc import Iterator
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from splitsight.operators import alerts
 from splitsight.operators.behaviour import user_day_features
@@ -27,36 +31,124 @@ def with_event_time(stream: DataFrame) -> DataFrame:
 def without_repeats(stream: DataFrame, watermark: str | None = None) -> DataFrame:
     """First row of each ``_id``.
 
-    Without a watermark every id is remembered; with one, ids are forgotten after it and later rows are
-    dropped (``late_rows`` counts them).
+    Without a watermark every id is remembered, on the executors' disks (``disk_state``); with one, ids are
+    forgotten after it and late rows are dropped (``LateRows`` counts them).
     """
     if watermark is None:
         return stream.dropDuplicates(["_id"])
     return with_event_time(stream).withWatermark(TS, watermark).dropDuplicatesWithinWatermark(["_id"])
 
 
-def live_windows(
+def merchant_windows(
     stream: DataFrame, window: str = "24 hours", slide: str | None = "1 hour", watermark: str | None = "1 hour"
 ) -> DataFrame:
-    """Debit count, amount and approximate number of merchants per user and window.
-
-    Rows later than the watermark are dropped (``late_rows`` counts them). A finite backlog is counted whole with
-    ``watermark=None`` and ``backlog_to_table``, in any order of its files. ``slide=None`` gives tumbling windows.
-    """
+    """Debit count and amount per user, merchant and window; ``slide=None`` gives tumbling windows."""
     rows = with_event_time(debits(stream))
     if watermark is not None:
         rows = rows.withWatermark(TS, watermark)
     span = F.window(TS, window, slide) if slide else F.window(TS, window)
-    return rows.groupBy(span, "user_id").agg(
-        F.count("transaction_amount").alias("cnt_24h"),
-        F.coalesce(F.sum("transaction_amount"), F.lit(0.0)).alias("sum_24h"),
-        F.approx_count_distinct("merchant_id").alias("merchants_approx"),
+    return rows.groupBy(span, "user_id", "merchant_id").agg(
+        F.count("transaction_amount").alias("cnt_24h"), F.sum("transaction_amount").alias("sum_24h")
     )
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that the progress reports of a query count as dropped for being late."""
-    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+def per_user(windows: DataFrame) -> DataFrame:
+    """Count, amount and number of merchants per user and window, of rows per merchant."""
+    return windows.groupBy("window", "user_id").agg(
+        F.sum("cnt_24h").alias("cnt_24h"),
+        F.coalesce(F.sum("sum_24h"), F.lit(0.0)).alias("sum_24h"),
+        F.count("merchant_id").alias("merchants"),
+    )
+
+
+def live_windows(
+    stream: DataFrame, window: str = "24 hours", slide: str | None = "1 hour", watermark: str = "1 hour"
+) -> DataFrame:
+    """Debit count, amount and exact number of merchants per user and window.
+
+    Two stateful steps in a row: windows per merchant, which hold one row per merchant instead of a list, feed windows
+    per user when the watermark closes them. A row is late, and dropped, if its window had ended at or before the
+    watermark that the micro-batch before its own worked with, which comes from rows of batches still earlier: the
+    first two batches drop nothing. ``LateRows`` counts what is dropped. A finite backlog is counted whole, in any order
+    of its files, by ``backlog_windows``.
+    """
+    return per_user(merchant_windows(stream, window, slide, watermark))
+
+
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The windows that a stopped query of ``live_windows`` or ``backlog_windows`` still holds, read from its state.
+
+    A row of the state is a row of the answer's sums, so this reads the checkpoint's last state only, and
+    changes nothing in it: the query can go on, and then writes these windows itself when they close.
+    """
+    parts = []
+    for (number,) in spark.read.format("state-metadata").load(checkpoint).select("operatorId").distinct().collect():
+        state = spark.read.format("statestore").option("operatorId", number).load(checkpoint)
+        if "merchant_id" in state.schema["key"].dataType.names:
+            held = F.col("value").cast("struct<cnt_24h:bigint,sum_24h:double>")
+            parts.append(per_user(state.select("key.*", held.alias("held")).select("window", "user_id", "merchant_id", "held.*")))
+        else:
+            held = F.col("value").cast("struct<cnt_24h:bigint,sum_24h:double,merchants:bigint>")
+            parts.append(state.select("key.*", held.alias("held")).select("window", "user_id", "held.*"))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    # A window is in one of the two states.
+    return found.withColumn("sum_24h", F.coalesce("sum_24h", F.lit(0.0)))
+
+
+class LateRows(StreamingQueryListener):
+    """Counts the rows that each query drops for being late, from all its progress reports."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._dropped = spark, Counter()
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self._dropped[str(event.progress.id)] += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        """Dropped rows of a query so far; reports on their way are waited for."""
+        self._spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        return self._dropped[str(query.id)]
+
+    def close(self) -> None:
+        self._spark.streams.removeListener(self)
+
+
+STATE_MB = 500
+DISK_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+}
+
+
+@contextlib.contextmanager
+def disk_state(spark: SparkSession, memory_mb: int = STATE_MB) -> Iterator[None]:
+    """Queries started inside keep their state on disk, with at most ``memory_mb`` of it in an executor's memory.
+
+    A micro-batch adds its changes to the checkpoint, not the whole state. A query that was begun with another
+    kind of state keeps that one.
+    """
+    wanted = DISK_STATE | {"spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": str(memory_mb)}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def threshold_alerts(windows: DataFrame, counts: dict[str, int] = ALERT_COUNTS) -> DataFrame:
@@ -68,26 +160,35 @@ def threshold_alerts(windows: DataFrame, counts: dict[str, int] = ALERT_COUNTS)
     return windows.withColumn("alert", label).where(F.col("alert").isNotNull())
 
 
-def to_table(stream: DataFrame, path: str, checkpoint: str, finish: bool = False) -> StreamingQuery:
+def to_table(stream: DataFrame, path: str, checkpoint: str, finish: bool = False, memory_mb: int = STATE_MB) -> StreamingQuery:
     """Appends finished windows to a Parquet table, exactly once.
 
-    ``finish`` processes what is there and stops.
+    ``finish`` processes what is there and stops; ``all_windows`` then adds what is still open.
     """
     writer = stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if finish else writer).start(path)
+    with disk_state(stream.sparkSession, memory_mb):
+        return (writer.trigger(availableNow=True) if finish else writer).start(path)
 
 
-def backlog_to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """All windows over the files that are there, closed or not, and then stops.
+def all_windows(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
+    """The windows that a stopped query of ``live_windows`` has written, and those that it still holds."""
+    held = open_windows(spark, checkpoint)
+    return spark.read.schema(held.schema).parquet(path).unionByName(held)
 
-    ``stream`` has no watermark, so nothing is late. The table is replaced after every micro-batch.
-    """
 
-    def replace(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+def backlog_windows(
+    stream: DataFrame, checkpoint: str, window: str = "24 hours", slide: str | None = "1 hour", memory_mb: int = STATE_MB
+) -> DataFrame:
+    """All windows over the files that are there, in any order: nothing is late.
 
-    writer = stream.writeStream.outputMode("complete").foreachBatch(replace).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    The micro-batches write nothing; the windows are read from the state after the last one.
+    """
+    counted = merchant_windows(stream, window, slide, watermark=None)
+    writer = counted.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint)
+    with disk_state(stream.sparkSession, memory_mb):
+        query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return open_windows(stream.sparkSession, checkpoint)
 
 
 def score_into(

@@ -81,35 +81,65 @@ def stream_of(spark, df, path):
     return spark.readStream.schema(df.schema).parquet(path)
 
 
+def whole_days(tx):
+    rows = user_day_features(tx).select("user_id", "date", "cnt_24h", F.round("sum_24h", 6), "unique_merchants")
+    return sorted(map(tuple, rows.collect()))
+
+
+def told_days(found):
+    return sorted(map(tuple, found.select("user_id", F.to_date("window.start"), "cnt_24h", F.round("sum_24h", 6), "merchants").collect()))
+
+
 def test_live_windows_equal_the_batch(spark, busy, paths):
     stream = stream_of(spark, busy, paths["raw"])
     days = live.live_windows(stream, slide=None)
     live.to_table(days, paths["alerts"], paths["state"], finish=True).awaitTermination()
-    got = spark.read.parquet(paths["alerts"]).select("user_id", F.to_date("window.start").alias("date"), "cnt_24h", F.round("sum_24h", 6).alias("s"))
-    finished = user_day_features(busy).where("date < '2021-02-17'")
-    expected = finished.select("user_id", "date", "cnt_24h", F.round("sum_24h", 6).alias("s"))
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    closed = spark.read.schema(days.schema).parquet(paths["alerts"])
+    assert told_days(closed) == [r for r in whole_days(busy) if r[1] < dt.date(2021, 2, 17)]
+    assert told_days(live.all_windows(spark, paths["alerts"], paths["state"])) == whole_days(busy)
+
+
+def test_open_windows_are_told_before_and_after_a_restart(spark, busy, paths):
+    """Reading the state changes nothing in it: a query that goes on writes each window once."""
+    for day in range(3):
+        busy.where(F.to_date("transaction_date") == F.lit(DAY + dt.timedelta(days=day)).cast("date")).coalesce(1).write.mode("append").parquet(paths["raw"])
+        stream = spark.readStream.schema(busy.schema).parquet(paths["raw"])
+        live.to_table(live.live_windows(stream, slide=None), paths["alerts"], paths["state"], finish=True).awaitTermination()
+        so_far = [r for r in whole_days(busy) if r[1] <= (DAY + dt.timedelta(days=day)).date()]
+        assert told_days(live.all_windows(spark, paths["alerts"], paths["state"])) == so_far
 
 
 def test_a_backlog_is_counted_whole_in_any_order(spark, busy, paths):
     rows = busy.repartition(6, "_id")
     rows.write.parquet(paths["raw"])
     stream = spark.readStream.schema(busy.schema).option("maxFilesPerTrigger", 1).parquet(paths["raw"])
-    days = live.live_windows(stream, slide=None, watermark=None)
-    live.backlog_to_table(days, paths["alerts"], paths["state"]).awaitTermination()
-    got = spark.read.parquet(paths["alerts"]).select("user_id", F.to_date("window.start").alias("date"), "cnt_24h")
-    expected = user_day_features(busy).select("user_id", "date", "cnt_24h")
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    assert told_days(live.backlog_windows(stream, paths["state"], slide=None)) == whole_days(busy)
 
 
 def test_late_rows_are_counted(spark, make, paths):
-    for n, day in enumerate((20, 0, 21)):
+    """A late row goes once the watermark of the batch before its own has passed its window."""
+    for n, day in enumerate((20, 21, 0, 22)):
         make([("u", at(day * 1440), 1.0, "m", "DEBITO", f"id{n}")]).coalesce(1).write.mode("append").parquet(paths["raw"])
         time.sleep(1.1)  # files are read in the order of their times
     stream = spark.readStream.schema(make([("u", at(0), 1.0)]).schema).option("maxFilesPerTrigger", 1).parquet(paths["raw"])
+    late = live.LateRows(spark)
     query = live.to_table(live.live_windows(stream, slide=None), paths["alerts"], paths["state"], finish=True)
     query.awaitTermination()
-    assert live.late_rows(query) == 1
+    assert late.of(query) == 1
+    late.close()
+    days = [r[1] for r in told_days(live.all_windows(spark, paths["alerts"], paths["state"]))]
+    assert days == [(DAY + dt.timedelta(days=d)).date() for d in (20, 21, 22)]
+
+
+def test_state_is_on_disk_and_settings_come_back(spark, make, paths):
+    tx = make([("u", at(i), 1.0, "m", "DEBITO", f"id{i % 5}") for i in range(20)])
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    query = live.to_table(live.without_repeats(stream_of(spark, tx, paths["raw"])).select("_id"), paths["alerts"], paths["state"], finish=True)
+    query.awaitTermination()
+    assert spark.read.parquet(paths["alerts"]).count() == 5
+    metrics = query.lastProgress.stateOperators[0].customMetrics
+    assert any(name.startswith("rocksdb") for name in metrics)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
 
 
 def test_threshold_labels(spark):

@@ -460,7 +460,8 @@ def _stream_model_alerts(spark: SparkSession, folder: str, events: DataFrame) ->
     model = iforest.fit(active)
     cleaned, out, state = (scratch_path(spark, label) for label in ("live", "live-alerts", "live-state"))
     live.score_into(events, cleaned, out, state, model, MIN_CNT, finish=True).awaitTermination()
-    return rounded(spark.read.parquet(out).select(*alerts.ALERT_COLUMNS))
+    found = live.current_alerts(spark.read.parquet(out), model.contamination)
+    return rounded(found.select(*alerts.ALERT_COLUMNS))
 
 
 def build() -> dict[str, Query]:

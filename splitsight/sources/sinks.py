@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from splitsight.operators.clean import with_partition_columns
 
 DAY_PARTITIONS = ["year", "month", "day"]
+BATCH = "batch"
 
 
 def _replace_days(df: DataFrame, path: str, date_column: str) -> None:
@@ -26,6 +27,17 @@ def _replace_days(df: DataFrame, path: str, date_column: str) -> None:
     )
 
 
+def write_batch(df: DataFrame, path: str, date_column: str, number: int) -> None:
+    """Writes numbered batches side by side in every day; a repeated batch replaces its own rows only."""
+    rows = with_partition_columns(df, F.col(date_column)).withColumn(BATCH, F.lit(number))
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*DAY_PARTITIONS, BATCH)
+        .parquet(path)
+    )
+
+
 def write_clean_days(tx: DataFrame, path: str) -> None:
     _replace_days(tx, path, "transaction_date")
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import date
+from collections.abc import Iterable, Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,23 +44,61 @@ def row_counts(**tables: DataFrame) -> DataFrame:
     return sizes.unionByName(total)
 
 
-def read_partitioned(spark: SparkSession, path: str, start: str | date, end: str | date) -> DataFrame:
+def day_folders(spark: SparkSession, path: str, days: Iterable[date]) -> list[str]:
+    """The folders of the given days that a year/month/day table has.
+
+    Only the table's folder and those of the years and months in question are listed.
+    """
+    wanted = sorted({tuple(d.timetuple()[:3]) for d in days})
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [(root, ())]
+    for depth, name in enumerate(("year", "month", "day"), start=1):
+        heads = {w[:depth] for w in wanted}
+        below = []
+        for folder, numbers in found:
+            for entry in files.listStatus(folder):
+                key, _, value = entry.getPath().getName().partition("=")
+                if key == name and value.isdigit() and (*numbers, int(value)) in heads:
+                    below.append((entry.getPath(), (*numbers, int(value))))
+        found = below
+    return [folder.toString() for folder, _ in sorted(found, key=lambda f: f[1])]
+
+
+def read_days(spark: SparkSession, path: str, days: Iterable[date], schema: T.StructType | None = None) -> DataFrame:
+    """Some days of a year/month/day table, from their folders alone.
+
+    With the ``schema`` of the files no footer is read. Without one, and if none of the days is there, the whole
+    table is listed for its columns.
+    """
+    folders = day_folders(spark, path, days)
+    if folders:
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return reader.option("basePath", path).parquet(*folders)
+    if schema is None:
+        return spark.read.parquet(path).where(F.lit(False))
+    parts = [T.StructField(c, T.IntegerType()) for c in ("year", "month", "day")]
+    return spark.createDataFrame([], T.StructType([*schema.fields, *parts]))
+
+
+def read_partitioned(
+    spark: SparkSession, path: str, start: str | date, end: str | date, schema: T.StructType | None = None
+) -> DataFrame:
     """Days ``start`` to ``end`` (both included) of a year/month/day table.
 
-    The predicate uses partition columns only, so other days are not read; their folders are listed,
-    unless the table is registered in a catalog. A missing day is simply absent. ``date`` is rebuilt from the
-    partition columns if the table lacks it.
+    A missing day is simply absent. ``date`` is rebuilt from the partition columns if the table lacks it.
     """
-    first, last = str(start), str(end)
+    first, last = date.fromisoformat(str(start)), date.fromisoformat(str(end))
     if last < first:
         raise ValueError("the end of the range lies before its start")
-    table = spark.read.parquet(path)
+    table = read_days(spark, path, [first + timedelta(days=n) for n in range((last - first).days + 1)], schema)
     day = F.make_date("year", "month", "day")
-    kept = table.where((day >= F.lit(first).cast("date")) & (day <= F.lit(last).cast("date")))
+    kept = table.where((day >= F.lit(first)) & (day <= F.lit(last)))
     if "date" not in table.columns:
         kept = kept.withColumn("date", day)
     return kept
 
 
-def read_day(spark: SparkSession, path: str, day: str | date) -> DataFrame:
-    return read_partitioned(spark, path, day, day)
+def read_day(spark: SparkSession, path: str, day: str | date, schema: T.StructType | None = None) -> DataFrame:
+    return read_partitioned(spark, path, day, day, schema)

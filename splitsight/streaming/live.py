@@ -6,10 +6,8 @@ import contextlib
 from collections import Counter
 from collections.abc import Iterator
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from splitsight.operators import alerts
@@ -18,6 +16,7 @@ from splitsight.operators.clean import active_only, debits, drop_duplicate_ids
 from splitsight.operators.iforest import ForestModel
 from splitsight.session import stored
 from splitsight.sources import sinks
+from splitsight.sources.transactions import read_days
 
 TS = "transaction_date"
 ALERT_COUNTS = {"Media": 10, "Alta": 50}
@@ -194,56 +193,44 @@ def backlog_windows(
 def score_into(
     stream: DataFrame,
     clean_path: str,
-    alerts_path: str,
+    scores_path: str,
     checkpoint: str,
     model: ForestModel,
     min_cnt: int = 10,
     finish: bool = False,
 ) -> StreamingQuery:
-    """Keeps clean days and their alert table current, one micro-batch at a time.
+    """Keeps clean days and a log of scores current, one micro-batch at a time; ``current_alerts`` reads them.
 
-    A batch is appended to the clean table. Only the user-days that it touched are read back,
-    deduplicated, featurised and scored; the scores of the other user-days of those days are taken from
-    the alert table, and the thresholds of the days follow from both. A repeated batch changes nothing,
-    since its rows are dropped as duplicates and the alert partitions are overwritten.
+    Both tables are partitioned by day and micro-batch, and a batch writes its own partitions only. Of the days it
+    touches, the rows of the user-days that it touches are read back, deduplicated, featurised and scored once more;
+    the newest score of a user-day counts. A batch that failed at any point has changed no partition
+    of another one, and is repeated over its own.
     """
     key = ["user_id", "date"]
 
-    def on_days(table: DataFrame, days: list) -> DataFrame:
-        return table.where(F.make_date("year", "month", "day").isin(days))
-
-    def apply(batch: DataFrame, _batch_id: int) -> None:
+    def apply(batch: DataFrame, batch_id: int) -> None:
         spark: SparkSession = batch.sparkSession
-        rows = sinks.with_partition_columns(batch, F.col(TS)).where(F.col("year").isNotNull()).persist()
-        try:
-            rows.write.mode("append").partitionBy(*sinks.DAY_PARTITIONS).parquet(clean_path)
-            touched = stored(rows.select("user_id", F.to_date(TS).alias("date")).distinct(), "touched")
-        finally:
-            rows.unpersist()
-        # Calendar days in one batch: a short list, so that the reads prune partitions.
+        rows = stored(batch.where(F.col(TS).isNotNull()), "live-batch")
+        touched = stored(rows.select("user_id", F.to_date(TS).alias("date")).distinct(), "touched")
+        # Calendar days in one batch: a short list, so that only their folders are read.
         days = [r["date"] for r in touched.select("date").distinct().collect()]
         if not days:
             return
-        kept = on_days(spark.read.parquet(clean_path), days).select(*batch.columns).withColumn("date", F.to_date(TS))
+        sinks.write_batch(rows, clean_path, TS, batch_id)
+        kept = read_days(spark, clean_path, days).select(*rows.columns).withColumn("date", F.to_date(TS))
         kept = kept.join(touched, key, "left_semi").drop("date")
         features = active_only(user_day_features(drop_duplicate_ids(kept, within_day=True)), min_cnt)
-        fresh = alerts.scored_rows(features, model)
-        schema = T.StructType([*fresh.schema, *[T.StructField(c, T.IntegerType()) for c in sinks.DAY_PARTITIONS]])
-        if first_write(spark, alerts_path):
-            scored = fresh
-        else:
-            earlier = on_days(spark.read.schema(schema).parquet(alerts_path), days)
-            scored = fresh.unionByName(earlier.join(touched, key, "left_anti").select(*fresh.columns))
-        sinks.write_feature_days(alerts.flagged(stored(scored, "live-scores"), model.contamination), alerts_path)
+        sinks.write_batch(alerts.scored_rows(features, model), scores_path, "date", batch_id)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if finish else writer).start()
 
 
-def first_write(spark: SparkSession, path: str) -> bool:
-    """Whether nothing has been written to ``path`` yet."""
-    try:
-        spark.read.format("binaryFile").load(path)
-        return False
-    except AnalysisException:
-        return True
+def current_alerts(scores: DataFrame, contamination: float) -> DataFrame:
+    """The alert rows that follow from a log of scores, whole or some of its days.
+
+    Of a user-day the newest score counts; a day's threshold comes from the scores that count.
+    """
+    columns = [c for c in scores.columns if c not in ("user_id", "date", sinks.BATCH, *sinks.DAY_PARTITIONS)]
+    newest = scores.groupBy("user_id", "date").agg(F.max_by(F.struct(*columns), sinks.BATCH).alias("newest"))
+    return alerts.flagged(stored(newest.select("user_id", "date", "newest.*"), "live-scores"), contamination)

@@ -3,6 +3,7 @@ import random
 import time
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from splitsight.operators import alerts, clean, iforest
@@ -154,12 +155,57 @@ def test_stream_drops_repeated_ids(spark, make, paths):
     assert sorted(r._id for r in spark.read.parquet(paths["alerts"]).collect()) == ["a", "b"]
 
 
-def test_stream_scoring_equals_the_batch(spark, busy, paths):
+def test_only_folders_of_the_range_are_listed(spark, make, paths, tmp_path):
+    tx = make([("u", dt.datetime(2021, m, d), float(d)) for m in (1, 2, 3) for d in range(1, 29)])
+    sinks.write_clean_days(tx, paths["clean"])
+    found = transactions.read_partitioned(spark, paths["clean"], "2021-02-27", "2021-03-02")
+    assert sorted(r.transaction_amount for r in found.collect()) == [1.0, 2.0, 27.0, 28.0]
+    assert "InMemoryFileIndex(4 paths)" in found._jdf.queryExecution().executedPlan().toString()
+    # Folders that no listing may open: unreadable as a table, outside the range.
+    (tmp_path / "clean/year=2020/month=01/day=01").mkdir(parents=True)
+    (tmp_path / "clean/year=2020/month=01/day=01/part-0.parquet").write_text("broken")
+    given = transactions.read_partitioned(spark, paths["clean"], "2021-02-28", "2021-03-01", tx.schema)
+    assert sorted(r.transaction_amount for r in given.collect()) == [1.0, 28.0] and "year" in given.columns
+    assert transactions.read_day(spark, paths["clean"], "2021-02-28", tx.schema).count() == 1
+    assert transactions.read_day(spark, paths["clean"], "2022-01-01", tx.schema).count() == 0
+
+
+@pytest.fixture()
+def scored_stream(spark, busy, paths):
+    """A function that starts the scoring of three micro-batches, and the alerts that have to follow."""
     active = clean.active_only(user_day_features(busy), 5)
     model = iforest.fit(active, n_trees=20)
     busy.repartition(3, "_id").write.parquet(paths["raw"])
     stream = spark.readStream.schema(busy.schema).option("maxFilesPerTrigger", 1).parquet(paths["raw"])
-    live.score_into(stream, paths["clean"], paths["alerts"], paths["state"], model, 5, finish=True).awaitTermination()
-    got = spark.read.parquet(paths["alerts"]).select(*alerts.ALERT_COLUMNS)
-    expected = alerts.alert_table(active, model)
-    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+    def run():
+        live.score_into(stream, paths["clean"], paths["alerts"], paths["state"], model, 5, finish=True).awaitTermination()
+        found = live.current_alerts(spark.read.parquet(paths["alerts"]), model.contamination)
+        return sorted(map(str, found.select(*alerts.ALERT_COLUMNS).collect()))
+
+    return run, sorted(map(str, alerts.alert_table(active, model).collect()))
+
+
+def test_stream_scoring_equals_the_batch(scored_stream):
+    run, expected = scored_stream
+    assert run() == expected
+
+
+@pytest.mark.parametrize("failing", ["clean", "alerts"])
+def test_a_write_that_fails_halfway_loses_nothing(spark, scored_stream, paths, monkeypatch, failing):
+    run, expected = scored_stream
+    write = sinks.write_batch
+
+    def broken(df, path, date_column, number):
+        if number == 1 and path == paths[failing]:
+            write(df.limit(7), path, date_column, number)
+            raise OSError("lost in the middle of a write")
+        write(df, path, date_column, number)
+
+    monkeypatch.setattr(sinks, "write_batch", broken)
+    with pytest.raises(StreamingQueryException):
+        run()
+    # What the first batch wrote is still there, whole.
+    assert spark.read.parquet(paths["alerts"]).where("batch = 0").count() > 0
+    monkeypatch.setattr(sinks, "write_batch", write)
+    assert run() == expected

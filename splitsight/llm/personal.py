@@ -1,15 +1,18 @@
 """Personal data by bootstrapped contextual extraction, without Python.
 
-Base entities (mail addresses, IP addresses, card and phone numbers) are found by patterns and seed a graph
-of lexical patterns - the two words before an entity - and instances, the identifier-like tokens that
-stand after them. Scores flow between both sides: a pattern is as good as its instances, an
-instance as likely as the patterns that hold it make it. Tokens under patterns of high confidence are
-added as entities of the pattern's kind. An instance of high likelihood supports further patterns
-in the next generation, which are scored with the others, until no new instance is found.
+Base entities (mail addresses, IP addresses, card and phone numbers) and tokens that look like keys (letters and
+digits that take turns) seed a graph of patterns and instances, the identifier-like tokens. A place gives several
+patterns: the one or two words before the token, with labels and punctuation kept and digits as #; the word
+before together with the word after, or with the token's shape; and the shape alone. Scores flow between both
+sides: a pattern is as good as its instances, an instance as likely as the best form of pattern that holds it makes
+it. An instance of high likelihood supports further patterns in the next generation, which are scored with
+the others, until no new instance is found. Tokens under lexical patterns of high confidence are added as entities of
+the pattern's kind; what looks like a key is a ``secret`` only there, and a shape alone adds nothing.
 
 Cases: a null text is empty and has no entity; rows are read one by one, so repeated rows and null ids get
 their own spans; an empty table gives no rows; other columns are not read. Patterns need several distinct
-seeds, base entities or found instances, so a corpus without such contexts adds nothing.
+seeds or found instances, so a corpus without such contexts adds nothing. A context that runs over 64
+characters without a blank is none; tokens of fewer than 6 characters are not added.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from pyspark.sql import functions as F
 from splitsight.session import stored
 
 KINDS = ("email", "ip", "card", "phone")
+# Found by the method only, after the base kinds in order.
+MORE_KINDS = ("secret",)
 
 # Each begins only where a leftmost search would begin: after the last match, or where what goes before
 # can't belong to the match. Possessive repetition keeps them linear on texts of any length.
@@ -30,7 +35,11 @@ CARD = r"(?=[0-9])(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # A token with a digit or an at-sign.
 IDENTIFIER = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
-CONTEXT = r"(\S+\s+)?\S+\s*$"
+# Letters and digits that take turns four times, 16 characters at least.
+KEY = r"^(?=[A-Za-z0-9+/_=-]{16,}+$)[A-Za-z+/_=-]*+(?:[0-9]++[A-Za-z+/_=-]++){4}"
+# Not part of an identifier at its ends.
+AROUND = """.,;:!?"'`()[]{}<>|*%$#&~"""
+LONGEST_CONTEXT, SHORTEST_FOUND = 64, 6
 
 MIN_SEEDS = 3
 CONFIDENCE = 0.8
@@ -90,34 +99,77 @@ def n_of(kind: str, spans: str = "base") -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def _identifiers(text: Column, base: Column) -> Column:
-    """Identifier-like tokens: (start, end, value, context, kind, free).
+def _words(text: Column) -> Column:
+    """Lower case, digits as #, single blanks."""
+    return F.translate(F.lower(F.regexp_replace(text, r"\s+", " ")), "0123456789", "#" * 10)
 
-    ``context`` is the last two words before the token, digits as #, in lower case; ``kind`` that of the base
-    entity that begins in the token; ``free`` says that no base entity touches it.
+
+def _shape(value: Column) -> Column:
+    """Runs of digits, capitals and small letters as one sign each; of a key only the length."""
+    signs = value
+    for run, sign in (("[0-9]+", "#"), ("[A-Z]+", "A"), ("[a-z]+", "a")):
+        signs = F.regexp_replace(signs, run, sign)
+    return F.when(value.rlike(KEY), F.concat(F.lit("key"), F.length(value).cast("string"))).otherwise(signs)
+
+
+def _identifiers(text: Column, base: Column, places: Column) -> Column:
+    """Identifier-like tokens, of their ``places``: (start, end, value, kind, free, contexts).
+
+    ``start``, ``end`` and ``value`` leave out punctuation around the token. ``contexts`` are its patterns, form and text;
+    ``kind`` that of the base entity that begins in the token, or ``secret`` for what looks like a key; ``free`` says
+    that no base entity touches it.
     """
-    places = _places(text, IDENTIFIER, text.rlike("[0-9@]"))
 
-    def described(m: Column) -> Column:
-        near = F.substring(m["before"], F.greatest(F.length(m["before"]) - 80, F.lit(0)) + 1, F.lit(81))
-        context = F.lower(F.trim(F.regexp_replace(F.regexp_extract(near, CONTEXT, 0), r"\s+", " ")))
-        begins = F.filter(base, lambda b: (b["start"] >= m["start"]) & (b["start"] < m["end"]))
-        touched = F.exists(base, lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"]))
-        first = F.get(begins, F.lit(0))
+    def read(near: Column) -> Column:
+        m = near["place"]
+        begun = F.length(m["value"]) - F.length(F.ltrim(m["value"], F.lit(AROUND)))
+        core = F.btrim(m["value"], F.lit(AROUND))
+        first = F.get(F.filter(base, lambda b: (b["start"] >= m["start"]) & (b["start"] < m["end"])), F.lit(0))
         # The instance is the whole base entity, or the token.
-        value = F.when(first.isNotNull(), F.substring(text, first["start"] + 1, first["end"] - first["start"])).otherwise(m["value"])
-        return F.struct(
-            m["start"].alias("start"), m["end"].alias("end"), value.alias("value"), context.alias("context"), first["kind"].alias("kind"), (~touched).alias("free")
-        )
+        value = F.when(first.isNotNull(), F.substring(text, first["start"] + 1, first["end"] - first["start"])).otherwise(core)
+        # The token before belongs to the words before.
+        left = F.rtrim(_words(F.concat(F.coalesce(near["earlier"]["value"], F.lit("")), m["before"])))
+        parts = {
+            "start": m["start"] + begun,
+            "end": m["start"] + begun + F.length(core),
+            "value": value,
+            "kind": first["kind"],
+            "free": ~F.exists(base, lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"])),
+            "two": F.substring_index(left, " ", -2),
+            "right": F.substring_index(F.ltrim(_words(near["after"])), " ", 1),
+        }
+        return F.struct(*[part.alias(name) for name, part in parts.items()])
+
+    def shaped(m: Column) -> Column:
+        more = {"kind": F.coalesce(m["kind"], F.when(m["free"] & m["value"].rlike(KEY), F.lit("secret"))), "one": F.substring_index(m["two"], " ", -1), "shape": _shape(m["value"])}
+        return F.struct(*[m[c].alias(c) for c in ("start", "end", "value", "free", "two", "right")], *[part.alias(name) for name, part in more.items()])
 
-    return F.transform(places, described)
+    def described(m: Column) -> Column:
+        one = m["one"]
+        forms = {"two": m["two"], "one": one, "both": F.concat_ws(" _ ", one, m["right"]), "shaped": F.concat_ws(" ", one, m["shape"]), "shape": m["shape"]}
+        lexical = (one != "") & (F.length(m["two"]) <= LONGEST_CONTEXT)
+        usable = [F.when((lexical | (name == "shape")) & (F.length(context) <= 3 * LONGEST_CONTEXT), F.concat(F.lit(f"{name}:"), context)) for name, context in forms.items()]
+        return F.struct(*[m[c].alias(c) for c in ("start", "end", "value", "kind", "free")], F.array_compact(F.array(*usable)).alias("contexts"))
+
+    # Neighbours are zipped to the places: what a lambda names besides its argument is computed for each element.
+    rest = F.greatest(F.size(places) - 1, F.lit(0))
+    nothing = F.expr("cast(null as struct<start:int,end:int,value:string,before:string>)")
+    end = F.get(places, rest)["end"]
+    last = F.substring(text, end + 1, F.length(text))
+    after = F.concat(F.transform(F.slice(places, 2, rest), lambda p: p["before"]), F.array(last))
+    earlier = F.concat(F.array(nothing), F.slice(places, 1, rest))
+    there = F.slice(F.arrays_zip(places.alias("place"), earlier.alias("earlier"), after.alias("after")), 1, F.size(places))
+    # One step after the other, since a lambda computes a part again wherever it is named.
+    return F.transform(F.transform(F.transform(there, read), shaped), described)
 
 
 def read_entities(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Stored (id, row, base, tokens)."""
     rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    rows = rows.select("id", "t", base_spans(F.col("t")).alias("base"))
-    rows = rows.select("id", "base", _identifiers(F.col("t"), F.col("base")).alias("tokens"), F.monotonically_increasing_id().alias("row"))
+    places = _places(F.col("t"), IDENTIFIER, F.col("t").rlike("[0-9@]"))
+    rows = rows.select("id", "t", base_spans(F.col("t")).alias("base"), places.alias("places"))
+    tokens = _identifiers(F.col("t"), F.col("base"), F.col("places"))
+    rows = rows.select("id", "base", tokens.alias("tokens"), F.monotonically_increasing_id().alias("row"))
     return stored(rows, "entities")
 
 
@@ -136,8 +188,11 @@ def _trusts(scored: DataFrame) -> DataFrame:
     return stored(scored.groupBy("context", "pattern_kind").agg((F.sum("score") / (F.count("*") + 0.5)).alias("trust")), "pattern-trust")
 
 
-def _likely(joined: DataFrame, keys: list[str]) -> DataFrame:
-    return joined.groupBy(*keys).agg((1 - F.exp(F.sum(F.log1p(-F.least("trust", F.lit(0.999)))))).alias("likely"))
+def _likely(joined: DataFrame) -> DataFrame:
+    """Likelihood of each (value, pattern_kind): places count as independent, the forms of a pattern don't."""
+    keys, form = ["value", "pattern_kind"], F.substring_index("context", ":", 1)
+    by_form = joined.groupBy(*keys, form.alias("form")).agg((1 - F.exp(F.sum(F.log1p(-F.least("trust", F.lit(0.999)))))).alias("likely"))
+    return by_form.groupBy(*keys).agg(F.max("likely").alias("likely"))
 
 
 def _scored(edges: DataFrame, patterns: DataFrame, found: DataFrame | None, rounds: int, confidence: float) -> DataFrame:
@@ -151,28 +206,29 @@ def _scored(edges: DataFrame, patterns: DataFrame, found: DataFrame | None, roun
     scored = stored(scored.withColumn("score", F.when(F.col("kind") == F.col("pattern_kind"), 1.0).otherwise(F.col("least"))), "pattern-edges")
     for _ in range(rounds):
         joined = scored.drop("score").join(_trusts(scored).hint("merge"), ["context", "pattern_kind"])
-        values = stored(_likely(joined, ["value", "pattern_kind"]), "instance-likely")
+        values = stored(_likely(joined), "instance-likely")
         own = F.when(F.col("kind") == F.col("pattern_kind"), 1.0).when(F.col("kind").isNotNull(), 0.0).otherwise(F.greatest("likely", "least"))
         scored = stored(joined.join(values.hint("merge"), ["value", "pattern_kind"]).withColumn("score", own).drop("likely", "trust"), "pattern-scores")
     return scored
 
 
 def trusted_patterns(rows: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, min_seeds: int = MIN_SEEDS) -> DataFrame:
-    """(context, kind): patterns of high confidence after ``rounds`` of scoring in the last generation.
+    """(context, kind, trust): lexical patterns of high confidence after ``rounds`` of scoring in the last generation.
 
     The graph has a row per distinct (pattern, value), made with map-side combining, so a pattern or a
     value of any frequency moves one row per task. A generation scores all patterns that have enough
     support; their free instances of high likelihood support patterns of the next one. Patterns and instances
     keep their kinds and only become more, so the generations end.
     """
-    tokens = rows.select(F.explode("tokens").alias("t")).select("t.*").where("context <> '' AND (free OR kind IS NOT NULL)")
+    tokens = rows.select(F.explode("tokens").alias("t")).select("t.*").where("free OR kind IS NOT NULL")
+    tokens = tokens.select("value", "kind", F.explode("contexts").alias("context"))
     edges = stored(tokens.groupBy("context", "value").agg(F.max("kind").alias("kind")), "pattern-edges")
     patterns, found = stored(_supported(edges, None, min_seeds), "patterns"), None
     while True:
         scored = _scored(edges, patterns, found, rounds, confidence)
         trusts = _trusts(scored)
         free = scored.where("kind IS NULL").select("context", "value", "pattern_kind")
-        likely = _likely(free.join(trusts.hint("merge"), ["context", "pattern_kind"]), ["value", "pattern_kind"]).where(F.col("likely") >= confidence)
+        likely = _likely(free.join(trusts.hint("merge"), ["context", "pattern_kind"])).where(F.col("likely") >= confidence)
         new = likely.groupBy("value").agg(F.max(F.struct("likely", "pattern_kind"))["pattern_kind"].alias("found_kind"))
         new = stored(new if found is None else new.join(found.hint("merge"), "value", "left_anti"), "found-instances")
         if new.isEmpty():
@@ -180,17 +236,21 @@ def trusted_patterns(rows: DataFrame, rounds: int = ROUNDS, confidence: float =
         found = new if found is None else stored(found.unionByName(new), "found-instances")
         more = _supported(edges, found, min_seeds).join(patterns.hint("merge"), "context", "left_anti")
         patterns = stored(patterns.unionByName(more), "patterns")
-    return trusts.where(F.col("trust") >= confidence).select("context", F.col("pattern_kind").alias("kind"))
+    trusted = trusts.where((F.col("trust") >= confidence) & ~F.startswith("context", F.lit("shape:")))
+    return trusted.select("context", F.col("pattern_kind").alias("kind"), "trust")
 
 
 def personal_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Per row: id, ``base`` and ``spans`` (base and discovered), arrays of (kind, start, end) in order."""
     rows = read_entities(docs, doc_id, text)
     trusted = stored(trusted_patterns(rows, **options), "trusted-patterns")
-    tokens = rows.select("row", F.explode(F.filter("tokens", lambda t: t["free"] & (t["context"] != ""))).alias("t"))
-    tokens = tokens.select("row", F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("t.context").alias("context"))
-    found = tokens.join(trusted.hint("merge"), "context").groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
-    rank = lambda s: F.array_position(F.array(*map(F.lit, KINDS)), s["kind"])
+    able = F.filter("tokens", lambda t: t["free"] & (t["end"] - t["start"] >= SHORTEST_FOUND))
+    tokens = rows.select("row", F.explode(able).alias("t"))
+    tokens = tokens.select("row", F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.explode("t.contexts").alias("context"))
+    # The most trusted pattern of a token gives its kind.
+    found = tokens.join(trusted.hint("merge"), "context").groupBy("row", "start", "end").agg(F.max(F.struct("trust", "kind"))["kind"].alias("kind"))
+    found = found.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
+    rank = lambda s: F.array_position(F.array(*map(F.lit, KINDS + MORE_KINDS)), s["kind"])
     every = F.concat("base", F.coalesce("more", F.expr("cast(array() as array<struct<kind:string,start:int,end:int>>)")))
     ordered = F.transform(F.array_sort(F.transform(every, lambda s: F.struct(rank(s).alias("k"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return rows.select("id", "row", "base").join(found, "row", "left").select(F.col("id").alias(doc_id), "base", ordered.alias("spans"))

@@ -1,3 +1,4 @@
+import random
 import re
 
 from splitsight.llm import personal
@@ -84,6 +85,60 @@ def test_found_instances_raise_further_patterns(documents):
     assert all(got[i].spans == [] for i in range(31, 39))
 
 
+def planted(seed=0):
+    """Prose whose secrets, ticket and desk numbers stand in a few contexts, beside numbers that are none of it."""
+    rng = random.Random(seed)
+    words = [prose(k, 1) for k in range(1, 160)]
+    texts, wanted = [], []
+
+    def hexed(n):
+        return "".join(rng.choice("0123456789abcdef") for _ in range(n))
+
+    def around(before, value, after):
+        texts.append(f"{' '.join(rng.choices(words, k=12))} {before}{value}{after} {' '.join(rng.choices(words, k=12))}")
+        return texts[-1].index(value, len(texts[-1].split(before)[0])) if value else None
+
+    def add(before, value, after="", kind=None):
+        start = around(before, value, after)
+        if kind:
+            wanted.append((len(texts) - 1, kind, start, start + len(value)))
+
+    for _ in range(60):
+        add('token = "', hexed(40), '"', "secret")
+        add("api-key: ", hexed(32), ",", "secret")
+        # Too regular to look like a key; found by the context alone.
+        add('token = "', f"hunter{rng.randrange(10**6):06d}", '"', "secret")
+        add("Tel: ", f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(10**4):04d}")
+        add("Tel: ", f"{rng.randrange(200, 999)}.555.{rng.randrange(10**4):04d}x", ";", "phone")
+        add("from host ", ".".join(str(rng.randrange(256)) for _ in range(4)))
+        add("from host ", f"node{rng.randrange(10**5):05d}.internal", "", "ip")
+        for before in ("in the year ", "page ", "about ", "costs $", "version "):
+            add(before, str(rng.randrange(10**6, 10**7)))
+        # Keys in no common context are left alone.
+        add(rng.choice(words) + f"{rng.choice(words)} ", hexed(40))
+    return texts, wanted
+
+
+def test_recall_and_precision_in_prose(documents):
+    texts, wanted = planted()
+    got = personal.personal_spans(documents(texts)).collect()
+    found = {(r.doc_id, *tuple(x)) for r in got for x in set(map(tuple, r.spans)) - set(map(tuple, r.base))}
+    right = found & set(wanted)
+    assert len(right) >= 0.9 * len(wanted), sorted(set(wanted) - found)[:5]
+    assert len(right) >= 0.95 * len(found), [(f, texts[f[0]][f[2] - 30 : f[3] + 5]) for f in sorted(found - set(wanted))[:5]]
+
+
+def test_tokens_side_by_side_and_long_words(documents):
+    """A token right after another has a context; a word of any length is no context and does no harm."""
+    keys = [f"{i:02d}ab" * 8 for i in range(10, 26)]
+    texts = [f'{prose(i, 6)} a@b.co token = "{k}" {prose(i + 50, 4)}' for i, k in enumerate(keys[:8])]
+    texts += [f"{prose(i, 6)} ids 12 {k}" for i, k in enumerate(keys[8:])] + ["x" * 50_000 + " " + keys[0] + " " + "y" * 50_000]
+    got = {r.doc_id: [tuple(s) for s in r.spans if s.kind == "secret"] for r in personal.personal_spans(documents(texts)).collect()}
+    for i, t in enumerate(texts[:-1]):
+        assert [t[a:b] for _, a, b in got[i]] == [keys[i]], i
+    assert got[len(texts) - 1] == []
+
+
 def test_masking(documents):
     got = {r.doc_id: r.text for r in personal.masked(documents(["mail a@b.co, 1.2.3.4!", None])).collect()}
     assert got == {0: "mail ******, *******!", 1: None}

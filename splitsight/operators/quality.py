@@ -44,6 +44,22 @@ def text_cardinality(df: DataFrame, show_all_up_to: int = SHOW_ALL_UP_TO, show_f
     return counts.join(samples, "column").select("column", "distinct_values", shown.alias("values"))
 
 
+def day_sketches(df: DataFrame, columns: list[str], day: str, accuracy: int = 12) -> DataFrame:
+    """A distinct-count sketch of each column for each day: (day, one binary column per column).
+
+    Sketches of any days can be merged (``merged_cardinality``), so a stored table of them answers for every range without
+    the rows. With 2 ** ``accuracy`` registers the standard error is about 0.83 / sqrt(2 ** accuracy), 1.3 % for 12.
+    """
+    return df.groupBy(F.to_date(day).alias("day")).agg(*[F.hll_sketch_agg(F.col(c), accuracy).alias(c) for c in columns])
+
+
+def merged_cardinality(sketches: DataFrame) -> DataFrame:
+    """(column, distinct_values): estimates over all days of a table of sketches; NULLs don't count."""
+    columns = [c for c in sketches.columns if c != "day"]
+    merged = sketches.agg(*[F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(c)), F.lit(0)).alias(c) for c in columns])
+    return merged.unpivot([], columns, "column", "distinct_values")
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """NULL count per column, from one pass."""
     counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in df.columns])

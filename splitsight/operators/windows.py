@@ -142,11 +142,16 @@ def top_merchant(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def rolling_activity(tx: DataFrame, window_hours: float = 24, limit: HeatLimit = DEFAULT_HEAT) -> DataFrame:
+# Rows of a user up to which each window is added up from its rows.
+ROLLING_HEAT = HeatLimit(1000)
+
+
+def rolling_activity(tx: DataFrame, window_hours: float = 24, limit: HeatLimit = ROLLING_HEAT) -> DataFrame:
     """One row per debit at ``t``: the user's debits, amount and merchants in ``[t - window, t]``.
 
     Sums add the amounts inside the window only, so an earlier large amount leaves no trace. The window has to
-    be a whole number of minutes.
+    be a whole number of minutes. A sliding frame is computed afresh for each row, so only users with few rows get
+    one; the work for a row of any other doesn't grow with the rows of its window.
     """
     span = round(window_hours * MICROS_PER_HOUR)
     if span <= 0 or span % MICROS_PER_MINUTE:

@@ -17,6 +17,7 @@ from splitsight.operators import activity, alerts, amounts, baseline, clean, ifo
 from splitsight.operators import suspicion, windows
 from splitsight.operators.behaviour import user_day_features
 from splitsight.operators.hotkeys import DEFAULT_HEAT, HeatLimit
+from splitsight.operators.idindex import IdIndex
 from splitsight.plans import backfill, detect, explore
 from splitsight.schema import MODEL_FEATURES
 from splitsight.session import scratch_path, stored
@@ -187,6 +188,45 @@ def text_cardinality(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("values", F.array_join("values", "|"))
 
 
+TS = windows.TS
+SKETCHED = {"_id": "string", "user_id": "string", "merchant_id": "string"}
+
+
+def sketched_cardinality(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct values in a range of days from the sketches of its days, beside the exact numbers."""
+    tx = txe(spark, folder).select(TS, *[F.col(c).cast(kind).alias(c) for c, kind in SKETCHED.items()])
+    sketches = stored(quality.day_sketches(tx, list(SKETCHED), TS), "day-sketches")
+    first, last = (F.lit(d).cast("date") for d in RANGE)
+    estimated = quality.merged_cardinality(sketches.where((F.col("day") >= first) & (F.col("day") <= last)))
+    exact = clean.between_days(tx, *RANGE).agg(*[F.count_distinct(c).alias(c) for c in SKETCHED])
+    exact = exact.unpivot([], list(SKETCHED), "column", "exact")
+    within = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.05 * F.col("exact")
+    return exact.join(estimated, "column").select("column", "exact", within.alias("within_5_pct"))
+
+
+def dedup_in_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The table cleaned in two batches, early dates first, with an index of the ids kept."""
+    tx = txr(spark, folder)
+    early = F.coalesce(F.col(TS) < F.lit("1995-06-01").cast("timestamp_ntz"), F.lit(False))
+    with IdIndex(spark, scratch_path(spark, "ids")) as index:
+        first = index.add(tx.where(early), "early")
+        return rounded(first.unionByName(index.add(tx.where(~early), "late")))
+
+
+def flagged_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Only the flagged rows of the alert file."""
+    out = scratch_path(spark, "flagged")
+    found = forest_alerts(spark, folder)
+    sinks.write_alerts_csv(found, out, flagged_only=True)
+    return rounded(spark.read.schema(found.schema).option("header", True).csv(out).select(*alerts.ALERT_COLUMNS))
+
+
+def spread_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """User-day counts stretched so that every band of activity occurs."""
+    n = F.col("cnt_24h")
+    return counts_e(spark, folder).withColumn("cnt_24h", F.when(n <= 5, n * n).when(n == 6, 64).otherwise(n * n * n))
+
+
 def amount_describe(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(amounts.describe(clean_o(spark, folder), "transaction_amount"))
 
@@ -257,11 +297,11 @@ def features_quiet_day(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(kept.select("user_id", "date", *MODEL_FEATURES))
 
 
-def rolling(spark: SparkSession, folder: str, limit: HeatLimit = DEFAULT_HEAT) -> DataFrame:
+def rolling(spark: SparkSession, folder: str, limit: HeatLimit = windows.ROLLING_HEAT) -> DataFrame:
     return rounded(windows.rolling_activity(txe(spark, folder), limit=limit))
 
 
-def rolling_24h_large(spark: SparkSession, folder: str, limit: HeatLimit = DEFAULT_HEAT) -> DataFrame:
+def rolling_24h_large(spark: SparkSession, folder: str, limit: HeatLimit = windows.ROLLING_HEAT) -> DataFrame:
     """Some amounts of 1e16; windows without one have exact sums."""
     tx = txe(spark, folder)
     large = F.when(F.col("_id").cast("long") % 50 == 0, 1e16).otherwise(F.col("transaction_amount"))
@@ -507,6 +547,14 @@ def build() -> dict[str, Query]:
         "amount_describe": amount_describe,
         "amount_quantiles": on(clean_o, amounts.amount_quantiles),
         "amount_bands": on(txe, amounts.amount_bands),
+        "amount_bands_all": on(
+            lambda s, d: txe(s, d).withColumn("transaction_amount", F.col("transaction_amount") * 10), amounts.amount_bands
+        ),
+        "activity_bands_all": on(spread_counts, activity.activity_bands),
+        "activity_thresholds_all": on(spread_counts, activity.activity_thresholds),
+        "sketched_cardinality": sketched_cardinality,
+        "dedup_in_batches": dedup_in_batches,
+        "flagged_alerts": flagged_alerts,
         "amount_histogram": on(clean_o, lambda tx: amounts.histogram(tx, "transaction_amount", 50)),
         "user_day_counts": counts_e,
         "user_day_summary": on(counts_e, activity.user_day_summary),

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from splitsight.operators import clean, quality
+from splitsight.operators import clean, idindex, quality
 from splitsight.schema import RAW_TRANSACTION
 from splitsight.sources import transactions
 from tests.conftest import DAY, at
@@ -95,3 +95,37 @@ def test_union_needs_equal_column_lists(make):
     assert transactions.union_strict(tx, tx).count() == 2
     with pytest.raises(ValueError):
         transactions.union_strict(tx, tx.select(*reversed(tx.columns)))
+
+
+def test_ids_are_kept_once_over_batches(spark, make, tmp_path):
+    def rows(*ids):
+        return make([("u", at(i), float(i), "m", "DEBITO", x) for i, x in enumerate(ids)])
+
+    first, second = rows("a", "b", "a", None, ""), rows("b", "c", None, "d", "c", "")
+    path = str(tmp_path / "ids")
+    with idindex.IdIndex(spark, path, buckets=3) as index:
+        assert sorted(str(r._id) for r in index.add(first, "1").collect()) == ["", "None", "a", "b"]
+    # Opened again by another job; a batch that is repeated gets its rows again.
+    with idindex.IdIndex(spark, path, buckets=3) as index:
+        for _ in range(2):
+            assert sorted((r._id, r.transaction_amount) for r in index.add(second, "2").collect()) == [("c", 1.0), ("d", 3.0)]
+        assert index.add(second, "3").count() == 0
+        assert spark.table(index.name).count() == 6
+        unseen = index.unseen(second, "4")
+        plan = unseen._jdf.queryExecution().executedPlan().toString()
+        side = plan[plan.index("SortMergeJoin") :].split("Bucketed: true")
+        # Between the join and the bucketed scan there is no exchange on the index's side.
+        assert len(side) == 2 and plan.count("Exchange hashpartitioning(_id") >= 1
+        assert "Exchange" not in plan[plan.rindex("Exchange") + 8 :] and plan.rindex("Exchange") < plan.index("Bucketed: true")
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("ids_")]
+
+
+def test_sketches_of_days_merge_to_any_range(spark, make):
+    rows = [(f"u{i % 700}", at(1440 * (i % 5) + i % 60), 1.0, f"m{i % 13}", "DEBITO", f"id{i}") for i in range(4000)]
+    sketches = quality.day_sketches(make(rows).unionByName(make(rows[:50])), ["_id", "user_id", "merchant_id"], "transaction_date")
+    assert sketches.count() == 5
+    for days, share in ((5, 4000), (2, 1600)):
+        kept = sketches.where(F.col("day") < F.lit(DAY.date() + dt.timedelta(days=days)))
+        found = {r.column: r.distinct_values for r in quality.merged_cardinality(kept).collect()}
+        assert abs(found["_id"] - share) <= 0.05 * share and found["merchant_id"] == 13
+    assert {r.distinct_values for r in quality.merged_cardinality(sketches.limit(0)).collect()} == {0}

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from splitsight.operators import activity, amounts, profile
 from splitsight.operators.hotkeys import HeatLimit
+from splitsight.operators import quantiles
 from splitsight.operators.quantiles import exact_quantiles
 from splitsight.plans.explore import persistent_profile
 from tests.conftest import at
@@ -24,6 +25,23 @@ def test_quantiles_equal_numpy(spark):
     assert [row[n] for n in PROBS] == pytest.approx([np.percentile(everything, 100 * p) for p in PROBS.values()])
 
 
+@pytest.mark.parametrize("most", [1, 3, 40])
+def test_buckets_are_narrowed_down_to_a_bound(spark, monkeypatch, most):
+    """Rounds go on until no ordered bucket has more values than the bound; results stay exact."""
+    rng = np.random.default_rng(most)
+    values = np.concatenate([rng.normal(size=3000), np.full(500, 0.25), rng.exponential(1e6, 300)]).round(4)
+    df = spark.createDataFrame([(int(i % 2), float(v)) for i, v in enumerate(values)], "g int, v double")
+    ordered = []
+    interpolated = quantiles._interpolated
+    monkeypatch.setattr(quantiles, "BUCKETS", 4)
+    monkeypatch.setattr(quantiles, "_interpolated", lambda rows, by, probs: ordered.append(rows) or interpolated(rows, by, probs))
+    for by, parts in (([], {None: values}), (["g"], {g: values[g::2] for g in (0, 1)})):
+        for row in exact_quantiles(df, "v", PROBS, by=by, most=most).collect():
+            part = parts[row["g"] if by else None]
+            assert [row[n] for n in PROBS] == pytest.approx([np.quantile(part, q) for q in PROBS.values()], rel=1e-12)
+        assert max(r["count"] for r in ordered[-1].groupBy(*by, "_bucket").count().collect()) <= most
+
+
 def test_weighted_quantiles_and_empty_input(spark):
     df = spark.createDataFrame([(1.0, 3), (5.0, 1)], "v double, w long")
     assert exact_quantiles(df, "v", {"m": 0.5, "h": 1.0}, weight="w").first().asDict() == {"m": 1.0, "h": 5.0}

@@ -293,6 +293,17 @@ def profile(select: str, first: int | None = None) -> str:
     return f"WITH {profile_ctes(first)} {select}"
 
 
+# Users with one habit each that a rule looks for.
+SECOND = f"(hour({TS}) * 3600 + minute({TS}) * 60 + second({TS}))"
+SIXTH = " * ".join([f"({AMOUNT} / 10000)"] * 6)
+PATTERNED = TXO.replace("txo AS (", "txo0 AS (") + f""", txo AS (
+  SELECT * REPLACE (
+    CASE user_id % 7 WHEN 0 THEN {AMOUNT} / 100000 + 100 WHEN 3 THEN floor({AMOUNT} / 10) * 10 WHEN 5 THEN {SIXTH} ELSE {AMOUNT} END AS {AMOUNT},
+    CASE user_id % 7 WHEN 1 THEN date_trunc('day', {TS}) + to_seconds(36000 + {SECOND} // 24)
+      WHEN 2 THEN date_trunc('day', {TS}) + to_seconds({SECOND} // 1440) ELSE {TS} END AS {TS},
+    CASE WHEN user_id % 7 = 4 THEN 1 ELSE merchant_id END AS merchant_id) FROM txo0)"""
+
+
 # ---------------------------------------------------------------- isolation forest
 
 
@@ -511,6 +522,7 @@ def build() -> dict[str, str]:
                 GROUP BY user_id HAVING count({AMOUNT}) >= 5))''', "normal_cv")} FROM prof"""
         ),
         "structuring_profile": profile(f"SELECT {PROFILE_OUT} FROM prof"),
+        "structuring_rules": profile(f"SELECT {PROFILE_OUT} FROM prof").replace(TXO, PATTERNED),
         "structuring_profile_first100": profile(f"SELECT {PROFILE_OUT} FROM prof", first=100),
         "structuring_top5": profile(
             f"SELECT {PROFILE_OUT} FROM (SELECT * FROM prof ORDER BY score_fraccionamiento DESC, user_id LIMIT 5)"

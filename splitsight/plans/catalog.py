@@ -213,6 +213,31 @@ def dedup_in_batches(spark: SparkSession, folder: str) -> DataFrame:
         return rounded(first.unionByName(index.add(tx.where(~early), "late")))
 
 
+def patterned(tx: DataFrame) -> DataFrame:
+    """Six of seven users get one habit each that a rule of the score looks for."""
+    amount, habit = F.col("transaction_amount"), F.col("user_id") % 7
+    second = "(hour(transaction_date) * 3600 + minute(transaction_date) * 60 + second(transaction_date))"
+    day = "cast(to_date(transaction_date) as timestamp_ntz)"
+    in_one_hour = F.expr(f"{day} + make_dt_interval(0, 10, 0, {second} div 24)")
+    in_one_minute = F.expr(f"{day} + make_dt_interval(0, 0, 0, {second} div 1440)")
+    part = amount / 10000
+    return tx.withColumns(
+        {
+            "transaction_amount": F.when(habit == 0, amount / 100000 + 100)
+            .when(habit == 3, F.floor(amount / 10) * 10)
+            .when(habit == 5, part * part * part * part * part * part)
+            .otherwise(amount),
+            TS: F.when(habit == 1, in_one_hour).when(habit == 2, in_one_minute).otherwise(F.col(TS)),
+            "merchant_id": F.when(habit == 4, 1).otherwise(F.col("merchant_id")),
+        }
+    )
+
+
+def structuring_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Profiles of users of whom some hit each rule."""
+    return rounded(explore.persistent_profile(stored(patterned(txo(spark, folder)), "patterned"), MIN_CNT))
+
+
 def flagged_alerts(spark: SparkSession, folder: str) -> DataFrame:
     """Only the flagged rows of the alert file."""
     out = scratch_path(spark, "flagged")
@@ -571,6 +596,7 @@ def build() -> dict[str, Query]:
         ),
         "normal_vs_active_cv": normal_vs_active_cv,
         "structuring_profile": on(profiles, lambda p: p),
+        "structuring_rules": structuring_rules,
         "structuring_profile_hot": on(lambda s, d: profiles(s, d, limit=ALL_HOT), lambda p: p),
         "structuring_profile_first100": on(lambda s, d: profiles(s, d, first=100), lambda p: p),
         "structuring_top5": on(profiles, profile.top_suspects),

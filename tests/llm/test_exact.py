@@ -27,6 +27,25 @@ def test_index_lasts_and_is_appended(spark, documents, tmp_path):
     assert again.rows().count() == 3
 
 
+def test_two_batches_against_the_index(spark, documents, monkeypatch):
+    """Copies of texts of the first batch fall to the anti-join, in the second the others are added; no table name is left."""
+    texts = [f"t{i % 37}" for i in range(100)] + [None, "", None]
+    taken = []
+    real = exact._taken
+    monkeypatch.setattr(exact, "_taken", lambda marked, index: taken.append((marked.count(), real(marked, index))) or taken[-1][1])
+    got = {r.doc_id: r for r in exact.exact_groups(documents(texts)).collect()}
+    groups = {}
+    for i, t in enumerate(texts):
+        groups.setdefault(t or "", []).append(i)
+    for i, t in enumerate(texts):
+        group = groups[t or ""]
+        assert (got[i].keep_id, got[i].group_size, got[i].kept) == (max(group), len(group), i == max(group))
+    assert min(n for n, _ in taken) > 40 and [k.where("keep_row is not null").count() for _, k in taken] == [38, 0]
+    named = spark.createDataFrame([("b", "x"), ("a", "x"), (None, "x"), ("c", "y"), (None, "z")], "doc_id string, text string")
+    kept = sorted((r.keep_id or "", r.group_size) for r in exact.exact_groups(named).collect() if r.kept)
+    assert kept == [("", 1), ("b", 3), ("c", 1)]
+
+
 def test_index_side_of_the_join_has_no_shuffle(spark, documents):
     index = exact.DigestIndex(spark, buckets=4)
     exact.without_copies(documents(["a", "b"]), index)

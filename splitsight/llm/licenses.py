@@ -20,8 +20,9 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from splitsight.llm.words import WordHashes, mixed, shingles, tasks_over, utf8, words
+from splitsight.llm.words import WordHashes, mixed, shingles, tasks_over, utf8, word_array, words
 
 SHINGLE = 5
 BANDS = 32
@@ -167,9 +168,12 @@ def license_spans(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", tex
 
     Templates are a small fixed table: it is broadcast after a check of its words.
     """
-    rows = [(r[0], r[1]) for r in known.select(name, template).limit(MAX_TEMPLATE_WORDS // SHINGLE + 1).toLocalIterator()]
-    if sum(len(words(t.encode() if t else None)) for _, t in rows) > MAX_TEMPLATE_WORDS:
-        raise ValueError(f"templates have more than {MAX_TEMPLATE_WORDS} words")
+    # Shorter ones have no shingle.
+    sized = known.select(F.col(name).alias("name"), F.col(template).alias("text"), F.size(word_array(template)).alias("n")).where(F.col("n") >= SHINGLE)
+    total = sized.agg(F.sum("n")).first()[0] or 0
+    if total > MAX_TEMPLATE_WORDS:
+        raise ValueError(f"templates have {total} words, more than {MAX_TEMPLATE_WORDS}")
+    rows = [(r["name"], r["text"]) for r in sized.collect()]
     shared = docs.sparkSession.sparkContext.broadcast(Templates(rows))
     pairs = [("name", pa.string()), ("first", pa.int32()), ("end", pa.int32()), ("contained", pa.float64())]
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from splitsight.llm import licenses
 from splitsight.llm.words import WordHashes, shingles, words
@@ -50,6 +51,18 @@ def test_window_signatures_are_window_minima():
         assert np.ceil(len(grams) / (size / 2)) == len(values)
 
 
+def test_templates_are_counted_before_any_is_left_out(spark, documents, monkeypatch):
+    """Templates without a shingle don't hide one behind them; too many words are an error."""
+    real = prose(11, 40)
+    many = spark.range(300_000).selectExpr("concat('n', id) AS name", "'two words' AS text")
+    known = many.unionByName(spark.createDataFrame([("real", real)], "name string, text string"))
+    got = licenses.license_spans(documents([real, "none of it"]), known).collect()
+    assert {r.doc_id: [x.name for x in r.licenses] for r in got} == {0: ["real"], 1: []}
+    monkeypatch.setattr(licenses, "MAX_TEMPLATE_WORDS", 39)
+    with pytest.raises(ValueError, match="40 words"):
+        licenses.license_spans(documents([real]), known)
+
+
 def test_odd_and_empty_tables(spark, odd, empty):
     known = licenses.templates(spark)
     assert licenses.license_spans(odd, known).count() == odd.count()

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 
@@ -62,3 +63,30 @@ def test_short_runs_with_enough_words_are_found(documents):
     none = ([], [])
     assert got == {0: none, 1: ([0], [0]), 2: ([1, 2], [0]), 3: none, 4: none, 5: ([1], [4]), 6: none, 7: ([0], [6]), 8: none}
     assert all(r.deleted == [] for r in lines.repeated_lines(documents(texts)).collect())
+
+
+def test_suffix_array_equals_brute_force(documents):
+    rng = random.Random(11)
+    texts = ["\n".join(rng.choice("abc") for _ in range(rng.randint(0, 40))) for _ in range(20)]
+    texts += [None, "", texts[2], texts[2], "u\n" + texts[2], "\n".join("a" * 70), "\n".join("a" * 33)]
+    own = {i: t.split("\n") for i, t in enumerate(texts) if t is not None}
+    held = Counter(x for lines_ in own.values() for x in lines_)
+    suffixes = {tuple(lines_[k:]) for lines_ in own.values() for k in range(len(lines_)) if held[lines_[k]] > 1}
+    places, array = lines.suffix_array(lines._numbered(documents(texts), "doc_id", "text"))
+    got = array.orderBy("number").collect()
+    found = [tuple(own[r.least.id][r.least["at"] :]) for r in got]
+    assert set(found) == suffixes and len(found) == len(suffixes)
+    # Sorted by some order of lines, in which a prefix comes first.
+    order = {x: i for i, x in enumerate(dict.fromkeys(f[0] for f in found))}
+    assert [[order[x] if x in order else -1 for x in f] for f in found] == sorted([order[x] if x in order else -1 for x in f] for f in found)
+    shared = [0] + [next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b))) for a, b in zip(found, found[1:], strict=False)]
+    assert [r.lcp for r in got] == shared
+    copies = Counter(tuple(lines_[k:]) for lines_ in own.values() for k in range(len(lines_)))
+    assert [r.copies for r in got] == [copies[f] for f in found]
+
+
+def test_intervals_cross_blocks(documents, monkeypatch):
+    monkeypatch.setattr(lines, "BLOCK", 3)
+    texts = ["\n".join(random.Random(k).choice("ab") for _ in range(30)) for k in range(6)]
+    got = {r.doc_id: r.deleted for r in lines.repeated_lines(documents(texts), min_lines=2).collect()}
+    assert [got[i] for i in range(6)] == brute(texts, 2)

@@ -1,14 +1,20 @@
 """Language-model scores from a log-frequency Bloom filter of quantised n-gram counts.
 
 A count c is stored as the levels 1 .. 1 + floor(log2 c) of its n-gram, so that a count is read by probing
-level after level until one is missing. The model is a bigram with a Dirichlet prior:
+level after level until one is missing. The model is a bigram with a Dirichlet prior, and every count in it is read
+from the filter, whatever the size of the corpus:
 
     p(w | v) = (c(v, w) + PRIOR * (c(w) + 1) / (N + V + 1)) / (c(v) + PRIOR)
 
-Words of high count (at most ``HOT`` of them) have exact counts in a list; the filter holds all other
-words and all pairs. Its segments are as large as their content asks. They are broadcast in shards of at most
-``SHARD_BYTES``, one pass over the texts each: the logarithm is a sum of terms that need one shard only,
-because a pair lies with its second word, or, if that word is in the list, anywhere.
+1. Words are counted exactly. The commonest, at most ``HOT``, are listed.
+2. The texts are read once more, in parts of bounded size. A part hands on, for each bucket of the filter, its distinct pairs
+   in that bucket, their training counts and the documents they stand in. A pair lies in the bucket of its second word,
+   or, if that word is listed, anywhere, so that no bucket holds all pairs of a common word.
+3. One shuffle brings the parts of a bucket together. The bucket's segment of the filter is built there and stored
+   beside the parts. The number of buckets follows from the number of tokens.
+4. The segments are broadcast in shards of at most ``SHARD_BYTES``. The pass of a shard reads the parts of its own
+   buckets only and sums up logarithms by document, so all passes together read each pair once. What listed words get from
+   the filter is probed once and broadcast, as they are needed in every shard.
 
 The base score uses exact counts: those of the list at once, those of other words by a join.
 
@@ -25,19 +31,24 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from splitsight.llm.words import LOWER, UPPER, mixed, tasks_over, utf8
-from splitsight.session import stored
+from splitsight.llm.words import LOWER, UPPER, mixed, tasks_by_bytes, utf8
+from splitsight.session import scratch_path, stored
 
 HOT = 1_000_000
 PRIOR = 100.0
 BITS_PER_ENTRY, PROBES = 10, 5
 SHARD_BYTES = 96 << 20
-# Tokens or distinct words after which a task hands on what it has counted.
-CHUNK = 2_000_000
+# Tokens, or documents, after which a task hands on what it has counted; documents are numbered in 16 bits.
+CHUNK, MOST_DOCUMENTS = 2_000_000, 50_000
+# Tokens of the corpus for each bucket of the filter.
+BUCKET_TOKENS = 4_000_000
 
 LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
 # Neither can be a word: words are not empty and hold no white space.
@@ -67,16 +78,16 @@ def word_hash(word: bytes) -> int:
 
 
 class Vocabulary(dict):
-    """Slots by word; for each slot the word's hash and its listed count (0 if it isn't listed).
+    """Slots by word; for each slot the word's hash and its place in the list, from 1 (0 if it isn't listed).
 
     ``most`` words stay from batch to batch, others for one batch.
     """
 
-    def __init__(self, listed: tuple[np.ndarray, np.ndarray], most: int = 400_000):
-        self.listed_hashes, self.listed_counts = listed
+    def __init__(self, listed: np.ndarray, most: int = 400_000):
+        self.listed = listed
         self.most = most
         self.hashes = np.zeros(0, np.uint64)
-        self.counts = np.zeros(0, np.int64)
+        self.codes = np.zeros(0, np.uint32)
         self.new: list[int] = []
 
     def __missing__(self, word: bytes) -> int:
@@ -87,18 +98,18 @@ class Vocabulary(dict):
     def of(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if len(self) > self.most:
             self.clear()
-            self.hashes, self.counts = self.hashes[:0], self.counts[:0]
+            self.hashes, self.codes = self.hashes[:0], self.codes[:0]
         slots = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
         if self.new:
             hashes = np.array(self.new, np.uint64)
-            counts = np.zeros(len(hashes), np.int64)
-            if len(self.listed_hashes):
-                at = np.minimum(np.searchsorted(self.listed_hashes, hashes), len(self.listed_hashes) - 1)
-                counts = np.where(self.listed_hashes[at] == hashes, self.listed_counts[at], 0)
+            codes = np.zeros(len(hashes), np.uint32)
+            if len(self.listed):
+                at = np.minimum(np.searchsorted(self.listed, hashes), len(self.listed) - 1)
+                codes = np.where(self.listed[at] == hashes, at + 1, 0).astype(np.uint32)
             self.hashes = np.concatenate((self.hashes, hashes))
-            self.counts = np.concatenate((self.counts, counts))
+            self.codes = np.concatenate((self.codes, codes))
             self.new = []
-        return self.hashes[slots], self.counts[slots]
+        return self.hashes[slots], self.codes[slots]
 
 
 def single_ids(hashes: np.ndarray) -> np.ndarray:
@@ -143,7 +154,7 @@ def word_counts(train: DataFrame, text: str) -> DataFrame:
             numbers = np.fromiter(seen.values(), np.int64, len(seen))
             return pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(numbers)], ["word", "c"])
 
-        for batch in tasks_over(batches):
+        for batch in tasks_by_bytes(batches):
             seen.update(batch_tokens(batch, text)[0])
             if len(seen) > CHUNK // 4:
                 yield rows()
@@ -191,67 +202,187 @@ def buckets_of(ids: np.ndarray, n: int) -> np.ndarray:
     return ((ids >> PLACE) * np.uint64(n) >> np.uint64(24)).astype(np.int64)
 
 
-def filter_segments(train: DataFrame, text: str, shared_list, n_buckets: int) -> DataFrame:
-    """(bucket, bits, segment): the filter, cut by the place of the n-grams.
+def bucket_edges(n: int) -> np.ndarray:
+    """The least id of each bucket, and the end of the last."""
+    firsts = [-(-(b << 24) // n) << 40 for b in range(n)]
+    return np.array([*firsts, (1 << 64) - 1], np.uint64)
 
-    Tasks count chunks of bounded size and hand on sorted blocks, one per bucket, so that the shuffle
-    moves packed arrays. A word or pair of any frequency is one entry of such a block.
-    """
-    edges = [(b << 24) // n_buckets + (((b << 24) % n_buckets) > 0) for b in range(n_buckets + 1)]
-    edges = np.array([min(e << 40, (1 << 64) - 1) for e in edges], np.uint64)
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(shared_list.value)
-        waiting, size = [], 0
-
-        def blocks():
-            ids, numbers = np.unique(np.concatenate(waiting), return_counts=True)
-            cut = np.searchsorted(ids, edges)
-            cut[-1] = len(ids)
-            some = np.flatnonzero(np.diff(cut))
-            keys = [ids[cut[b] : cut[b + 1]].tobytes() for b in some]
-            values = [numbers[cut[b] : cut[b + 1]].astype("<u4").tobytes() for b in some]
-            return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(keys, pa.binary()), pa.array(values, pa.binary())], ["bucket", "ids", "numbers"])
-
-        for batch in tasks_over(batches):
-            found, starts = batch_tokens(batch, text)
-            if not found:
+def cut_at(ids: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that ascending ids lie in and where those of each bucket begin and end."""
+    cut = np.searchsorted(ids, edges)
+    cut[-1] = len(ids)
+    some = np.flatnonzero(np.diff(cut))
+    return some, np.column_stack((cut[some], cut[some + 1]))
+
+
+# Pairs of a part in one bucket: ``ids`` of the distinct ones, training counts in ``numbers``, ``codes`` of their second words, hashes
+# of those that aren't listed in ``rare``, ``runs`` of places, and the documents of all places in ``places``.
+PACKED = ("ids", "numbers", "codes", "rare", "runs", "places")
+# What is known of the documents of a part.
+PER_DOCUMENT = {"held_out": "boolean", "n_tokens": "long", "n_listed": "long", "listed_logs": "double", "others": "array<long>"}
+
+
+def parts_schema(kind: str) -> str:
+    packed = ", ".join(f"{c} binary" for c in PACKED)
+    rows = ", ".join(f"{c} array<{t}>" for c, t in {"doc_id": kind, **PER_DOCUMENT}.items())
+    return f"bucket int, part long, bits long, segment binary, {packed}, {rows}"
+
+
+def _table(names: list[str], columns: dict[str, pa.Array], n: int, types: pa.Schema) -> pa.RecordBatch:
+    """A batch of all columns, null where none is given."""
+    return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, types.field(c).type) for c in names], schema=types)
+
+
+def _types(kind: pa.DataType) -> pa.Schema:
+    lists = {"doc_id": kind, "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_listed": pa.int64(), "listed_logs": pa.float64(), "others": pa.list_(pa.int64())}
+    head = {"bucket": pa.int32(), "part": pa.int64(), "bits": pa.int64(), "segment": pa.binary()}
+    return pa.schema([*head.items(), *((c, pa.binary()) for c in PACKED), *((c, pa.list_(t)) for c, t in lists.items())])
+
+
+def _binary(pieces: list[np.ndarray]) -> pa.Array:
+    return pa.array([p.tobytes() for p in pieces], pa.binary())
+
+
+def packed_pairs(pairs: np.ndarray, hashes: np.ndarray, codes: np.ndarray, owners: np.ndarray, train: np.ndarray, edges: np.ndarray) -> dict[str, pa.Array]:
+    """The pairs of a part as one row per bucket."""
+    order = np.argsort(pairs, kind="stable")
+    ids = pairs[order]
+    first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+    ends = np.append(first, len(ids))
+    ids, word, code = ids[first], hashes[order][first], codes[order][first]
+    numbers = np.add.reduceat(train[owners][order].astype(np.int64), first).astype("<i8")
+    runs = np.diff(ends).astype("<u4")
+    places = owners[order].astype("<u2")
+    buckets, cuts = cut_at(ids, edges)
+    columns = {c: [] for c in PACKED}
+    for low, high in cuts:
+        columns["ids"].append(ids[low:high])
+        columns["numbers"].append(numbers[low:high])
+        columns["codes"].append(code[low:high])
+        columns["rare"].append(word[low:high][code[low:high] == 0])
+        columns["runs"].append(runs[low:high])
+        columns["places"].append(places[ends[low] : ends[high]])
+    return {"bucket": pa.array(buckets, pa.int32())} | {c: _binary(x) for c, x in columns.items()}
+
+
+def pair_parts(docs: DataFrame, doc_id: str, text: str, shared_list, n_buckets: int) -> DataFrame:
+    """Rows of pairs by part and bucket, and one row per part, in a bucket below 0, of what is known of its documents."""
+    kind = docs.schema[doc_id].dataType.simpleString()
+    n_tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed, counts = shared_list.value
+        vocabulary, edges = Vocabulary(listed), bucket_edges(n_buckets)
+        logs = np.log10(np.concatenate(([0], counts)) + 1.0)
+        task, number = TaskContext.get().partitionId(), 0
+        types = waiting = None
+
+        def part() -> Iterator[pa.RecordBatch]:
+            own = (task << 32) + number
+            train = ~np.concatenate([w[4] for w in waiting])
+            shift = np.cumsum([0, *(len(w[4]) for w in waiting)])
+            pairs, hashes, codes = (np.concatenate([w[k] for w in waiting]) for k in range(3))
+            owners = np.concatenate([w[3] + at for w, at in zip(waiting, shift, strict=False)])
+            columns = packed_pairs(pairs, hashes, codes, owners, train, edges)
+            n = len(columns["bucket"])
+            yield _table(types.names, columns | {"part": pa.array([own] * n, pa.int64())}, n, types)
+            columns = {c: pa.concat_arrays([w[5][c] for w in waiting]) for c in ("doc_id", *PER_DOCUMENT)}
+            columns = {c: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for c, x in columns.items()}
+            columns |= {"bucket": pa.array([-1 - (task * 7919 + number) % n_tasks], pa.int32()), "part": pa.array([own], pa.int64())}
+            yield _table(types.names, columns, 1, types)
+
+        size = n_docs = 0
+        for batch in tasks_by_bytes(batches, 1):
+            if not batch.num_rows:
                 continue
-            hashes, counts = vocabulary.of(found)
-            listed = counts > 0
-            waiting += [pair_ids(histories(hashes, starts), hashes, listed), single_ids(hashes[~listed])]
-            size += len(found)
+            if types is None:
+                types, waiting = _types(batch.column(0).type), []
+            if n_docs + batch.num_rows > MOST_DOCUMENTS and waiting:
+                yield from part()
+                waiting, size, n_docs, number = [], 0, 0, number + 1
+            found, starts = batch_tokens(batch, text)
+            hashes, codes = vocabulary.of(found)
+            lengths = np.diff(np.append(starts, len(found)))
+            listed_here = codes > 0
+            others = np.concatenate(([0], np.cumsum(~listed_here)))
+            known = {
+                "doc_id": batch.column(doc_id),
+                "held_out": batch.column("held_out"),
+                "n_tokens": pa.array(lengths, pa.int64()),
+                "n_listed": pa.array(np.add.reduceat(listed_here.astype(np.int64), starts)),
+                "listed_logs": pa.array(np.add.reduceat(logs[codes], starts)),
+                "others": pa.ListArray.from_arrays(pa.array(np.append(others[starts], others[-1]), pa.int32()), pa.array(hashes[~listed_here].view(np.int64))),
+            }
+            held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            waiting.append((pair_ids(histories(hashes, starts), hashes, listed_here), hashes, codes, np.repeat(np.arange(len(starts)), lengths), held, known))
+            size, n_docs = size + len(found), n_docs + batch.num_rows
             if size >= CHUNK:
-                yield blocks()
-                waiting, size = [], 0
+                yield from part()
+                waiting, size, n_docs, number = [], 0, 0, number + 1
         if waiting:
-            yield blocks()
-
-    def build(rows: pa.Table) -> pa.Table:
-        ids = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["ids"].to_pylist()])
-        numbers = np.concatenate([np.frombuffer(x, "<u4") for x in rows["numbers"].to_pylist()]).astype(np.int64)
-        order = np.argsort(ids)
-        ids, numbers = ids[order], numbers[order]
-        first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
-        ids, levels = ids[first], quantised(np.add.reduceat(numbers, first))
-        bits = -(-int(levels.sum()) * BITS_PER_ENTRY // 64) * 64
-        segment = np.zeros(bits // 8, np.uint8)
-        for level in range(1, int(levels.max()) + 1):
-            own = ids[levels >= level]
-            for probe in range(PROBES):
-                at = bit_places(own, level, np.full(len(own), bits), probe)
-                np.bitwise_or.at(segment, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-        return pa.table({"bucket": rows["bucket"][:1], "bits": pa.array([bits], pa.int64()), "segment": pa.array([segment.tobytes()], pa.binary())})
-
-    blocks = train.select(text).mapInArrow(count, "bucket int, ids binary, numbers binary")
-    return blocks.groupBy("bucket").applyInArrow(build, "bucket int, bits long, segment binary")
+            yield from part()
+
+    return docs.select(doc_id, text, "held_out").mapInArrow(parts, parts_schema(kind))
+
+
+def word_parts(counts: DataFrame, n_buckets: int, schema: str, types: pa.Schema) -> DataFrame:
+    """The counts of words, packed by bucket as those of pairs are."""
+
+    def parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = bucket_edges(n_buckets)
+        for batch in batches:
+            ids = single_ids(batch.column("word").to_numpy().view(np.uint64))
+            order = np.argsort(ids)
+            ids, numbers = ids[order], batch.column("c").to_numpy()[order].astype("<i8")
+            buckets, cuts = cut_at(ids, edges)
+            columns = {"bucket": pa.array(buckets, pa.int32())}
+            columns |= {"ids": _binary([ids[a:b] for a, b in cuts]), "numbers": _binary([numbers[a:b] for a, b in cuts])}
+            yield _table(types.names, columns, len(buckets), types)
+
+    return counts.mapInArrow(parts, schema)
+
+
+def segment_of(ids: np.ndarray, numbers: np.ndarray, bits_per_entry: int, probes: int) -> tuple[int, bytes]:
+    """The number of bits and the bits of a bucket's filter."""
+    order = np.argsort(ids)
+    ids, numbers = ids[order], numbers[order]
+    first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+    ids, levels = ids[first], quantised(np.add.reduceat(numbers, first))
+    bits = -(-int(levels.sum()) * bits_per_entry // 64) * 64
+    segment = np.zeros(bits // 8, np.uint8)
+    for level in range(1, int(levels.max()) + 1):
+        own = ids[levels >= level]
+        for probe in range(probes):
+            at = bit_places(own, level, np.full(len(own), bits), probe)
+            np.bitwise_or.at(segment, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+    return bits, segment.tobytes()
+
+
+def with_segments(rows: DataFrame, schema: str, bits_per_entry: int, probes: int) -> DataFrame:
+    """The rows of pairs and documents, and one row per bucket with its segment of the filter."""
+
+    def build(found: pa.Table) -> pa.Table:
+        if found["bucket"][0].as_py() < 0:
+            return found
+        arrays = {c: [np.frombuffer(x, t) for x in found[c].to_pylist()] for c, t in (("ids", np.uint64), ("numbers", "<i8"))}
+        ids, numbers = np.concatenate(arrays["ids"]), np.concatenate(arrays["numbers"])
+        learned = numbers > 0
+        passed = found.filter(pc.is_valid(found["part"]))
+        if not learned.any():
+            return passed
+        bits, segment = segment_of(ids[learned], numbers[learned], bits_per_entry, probes)
+        columns = {"bucket": pa.array([found["bucket"][0].as_py()], pa.int32()), "bits": pa.array([bits], pa.int64()), "segment": pa.array([segment], pa.binary())}
+        return pa.concat_tables([passed, pa.Table.from_batches([_table(found.schema.names, columns, 1, found.schema)])])
+
+    return rows.groupBy("bucket").applyInArrow(build, schema)
 
 
 class Shard:
     """The segments of some buckets."""
 
-    def __init__(self, rows: list, n_buckets: int):
-        self.n_buckets = n_buckets
+    def __init__(self, rows: list, n_buckets: int, probes: int = PROBES):
+        self.n_buckets, self.probes = n_buckets, probes
         self.bits = np.zeros(n_buckets, np.int64)
         self.start = np.zeros(n_buckets, np.int64)
         at = 0
@@ -260,8 +391,8 @@ class Shard:
             at += len(r.segment)
         self.bytes = np.frombuffer(b"".join(r.segment for r in rows), np.uint8)
 
-    def counts(self, ids: np.ndarray) -> np.ndarray:
-        """The represented counts of n-grams; 0 for those that are elsewhere."""
+    def levels(self, ids: np.ndarray) -> np.ndarray:
+        """The levels of n-grams that the filter holds; 0 for those that are elsewhere."""
         levels = np.zeros(len(ids), np.int64)
         bucket = buckets_of(ids, self.n_buckets)
         bits, start = self.bits[bucket], self.start[bucket]
@@ -269,96 +400,135 @@ class Shard:
         level = 1
         while len(left):
             own, own_bits, own_start = ids[left], bits[left], start[left]
-            for probe in range(PROBES):
+            for probe in range(self.probes):
                 at = bit_places(own, level, own_bits, probe).astype(np.int64)
                 there = (self.bytes[own_start + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 > 0
                 left, own, own_bits, own_start = left[there], own[there], own_bits[there], own_start[there]
             levels[left] = level
             level += 1
-        return represented(levels)
+        return levels
+
+    def counts(self, ids: np.ndarray) -> np.ndarray:
+        return represented(self.levels(ids))
 
 
 # --- scoring ------------------------------------------------------------------------------------
 
 
-def _scored(docs: DataFrame, doc_id: str, text: str, shared_list, shared_shard, owned: tuple[int, int], totals: tuple[int, int, int], first: bool) -> DataFrame:
-    """One pass: per row the part of the score that needs the buckets from ``owned[0]`` to before ``owned[1]``.
-
-    The first pass adds what needs no shard, and the hashes of the words that are not listed.
-    """
-    n_tokens, n_words, n_docs = totals
-    kind = docs.schema[doc_id].dataType.simpleString()
+def shard_sums(parts: DataFrame, shared_shard, shared_listed, totals: tuple[int, int, int]) -> DataFrame:
+    """(part, bucket, owners, sums): what the pairs of each part in each bucket add to its documents' scores."""
+    n_tokens, n_words, _ = totals
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, shard = Vocabulary(shared_list.value), shared_shard.value
+        shard, (listed, listed_counts) = shared_shard.value, shared_listed.value
         end = np.uint64(word_hash(END))
-        for batch in tasks_over(batches):
-            found, starts = batch_tokens(batch, text)
-            if not found:
-                continue
-            hashes, counts = vocabulary.of(found)
-            listed = counts > 0
-            pairs = pair_ids(histories(hashes, starts), hashes, listed)
-            inside = lambda ids: (lambda b: (b >= owned[0]) & (b < owned[1]))(buckets_of(ids, shard.n_buckets))
-            known = counts.astype(np.float64)
-            singles = single_ids(hashes[~listed])
-            known[~listed] = shard.counts(singles)
-            own_pair = inside(pairs)
-            own_word = np.full(len(hashes), first)
-            own_word[~listed] = inside(singles)
-            part = np.zeros(len(hashes))
-            lower = PRIOR * (known[own_pair] + 1) / (n_tokens + n_words + 1)
-            part[own_pair] = np.log10(shard.counts(pairs[own_pair]) + lower)
-            history = own_word & (hashes != end)
-            part[history] -= np.log10(known[history] + PRIOR)
-            ends = np.append(starts[1:], len(hashes))
-            score = np.add.reduceat(part, starts) - (math.log10(n_docs + PRIOR) if first else 0)
-            listed_logs = np.add.reduceat(np.where(listed, np.log10(counts + 1.0), 0.0), starts)
-            others = np.concatenate(([0], np.cumsum(~listed)))
-            offsets = np.append(others[starts], others[-1])
-            rare = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(hashes[~listed].view(np.int64)))
-            columns = [
-                batch.column(doc_id),
-                batch.column("held_out"),
-                pa.array([xxhash.xxh3_128_digest(t or b"") for t in utf8(batch.column(text))], pa.binary()),
-                pa.array(ends - starts),
-                pa.array(np.add.reduceat(listed.astype(np.int64), starts)),
-                pa.array(listed_logs),
-                rare if first else pa.array([[]] * batch.num_rows, pa.list_(pa.int64())),
-                pa.array(score),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "digest", "n_tokens", "n_listed", "listed_logs", "rare", "score"])
-
-    schema = f"doc_id {kind}, held_out boolean, digest binary, n_tokens long, n_listed long, listed_logs double, rare array<long>, score double"
-    return docs.select(doc_id, text, "held_out").mapInArrow(score, schema)
-
-
-def corpus_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hot: int = HOT, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+        for batch in batches:
+            owners, sums = [], []
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                ids, codes, runs, places = (np.frombuffer(row[c], t) for c, t in (("ids", np.uint64), ("codes", "<u4"), ("runs", "<u4"), ("places", "<u2")))
+                rare = np.frombuffer(row["rare"], np.uint64)
+                there = codes > 0
+                at = codes[there].astype(np.int64) - 1
+                known, is_end = np.empty(len(ids)), np.zeros(len(ids), bool)
+                known[there], is_end[there] = listed_counts[at], listed[at] == end
+                known[~there], is_end[~there] = shard.counts(single_ids(rare)), rare == end
+                logs = np.log10(shard.counts(ids) + PRIOR * (known + 1) / (n_tokens + n_words + 1))
+                logs -= np.where(is_end, 0.0, np.log10(known + PRIOR))
+                total = np.bincount(places, np.repeat(logs, runs))
+                own = np.unique(places)
+                owners.append(own.astype("<u2"))
+                sums.append(total[own].astype("<f8"))
+            yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("bucket"), _binary(owners), _binary(sums)], ["part", "bucket", "owners", "sums"])
+
+    return parts.select("part", "bucket", "ids", "codes", "rare", "runs", "places").mapInArrow(score, SUMS)
+
+
+SUMS = "part long, bucket int, owners binary, sums binary"
+
+
+def listed_levels(segments: DataFrame, shared_list, n_buckets: int, probes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The list with the counts that the filter gives for its words."""
+    listed, _ = shared_list.value
+
+    def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, _ = shared_list.value
+        ids = single_ids(words)
+        bucket = buckets_of(ids, n_buckets)
+        for batch in batches:
+            for b, bits, segment in zip(*(batch.column(c).to_pylist() for c in ("bucket", "bits", "segment")), strict=True):
+                own = np.flatnonzero(bucket == b)
+                row = type("Segment", (), {"bucket": b, "bits": bits, "segment": segment})
+                levels = Shard([row], n_buckets, probes).levels(ids[own])
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(levels, pa.int32())], ["place", "level"])
+
+    found = segments.select("bucket", "bits", "segment").mapInArrow(probe, "place int, level int").toArrow()
+    levels = np.zeros(len(listed), np.int64)
+    levels[found["place"].to_numpy()] = found["level"].to_numpy()
+    return listed, represented(levels)
+
+
+def _documents(parts: DataFrame, sums: DataFrame, kind: str, n_docs: int) -> DataFrame:
+    """Rows of the documents with their scores, the buckets of each part added in their order."""
+
+    def add(known: pa.Table, found: pa.Table) -> pa.Table:
+        columns = {c: pa.concat_arrays([x.values for x in known[c]]) for c in ("doc_id", *PER_DOCUMENT)}
+        score = np.full(len(columns["doc_id"]), -math.log10(n_docs + PRIOR))
+        for _, owners, part in sorted(zip(*(found[c].to_pylist() for c in ("bucket", "owners", "sums")), strict=True)):
+            score[np.frombuffer(owners, "<u2")] += np.frombuffer(part, "<f8")
+        return pa.table(columns | {"score": pa.array(score)})
+
+    schema = ", ".join(f"{c} {t}" for c, t in {"doc_id": kind, **PER_DOCUMENT, "score": "double"}.items())
+    known = parts.where("bucket < 0").select("part", "doc_id", *PER_DOCUMENT)
+    return known.groupBy("part").cogroup(sums.groupBy("part")).applyInArrow(add, schema)
+
+
+def corpus_scores(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    hot: int = HOT,
+    shard_bytes: int = SHARD_BYTES,
+    bits_per_entry: int = BITS_PER_ENTRY,
+    probes: int = PROBES,
+    bucket_tokens: int = BUCKET_TOKENS,
+) -> DataFrame:
+    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    ``hot`` and ``shard_bytes`` divide the work and change no formula; another ``hot`` or ``bucket_tokens`` moves n-grams to other segments, so
+    that other ones are found by mistake (about one in a hundred of those never seen, fewer with more ``bits_per_entry``).
+    """
     spark = docs.sparkSession
+    kind = docs.schema[doc_id].dataType.simpleString()
     docs = docs.select(doc_id, text, held_out(doc_id).alias("held_out"))
-    train = docs.where(~F.col("held_out"))
-    counts = stored(word_counts(train, text), "word-counts")
+    counts = stored(word_counts(docs.where(~F.col("held_out")), text), "word-counts")
     totals = counts.agg(F.sum("c"), F.count("*"), F.max(F.when(F.col("word") == _signed(word_hash(END)), F.col("c")))).first()
     n_tokens, n_words, n_docs = (x or 0 for x in totals)
     listed = spark.sparkContext.broadcast(listed_words(counts, hot))
-    n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    segments = stored(filter_segments(train, text, listed, n_buckets), "filter-segments")
-    parts: list[DataFrame] = []
+    n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_tokens // bucket_tokens))
+    schema = parts_schema(kind)
+    types = _types(to_arrow_type(docs.schema[doc_id].dataType))
+    rows = pair_parts(docs, doc_id, text, listed, n_buckets).unionByName(word_parts(counts, n_buckets, schema, types))
+    path = scratch_path(spark, "pairs-by-bucket")
+    with_segments(rows, schema, bits_per_entry, probes).write.partitionBy("bucket").parquet(path)
+    parts = spark.read.schema(schema).parquet(path)
+    segments = parts.where("bucket >= 0 AND part IS NULL")
+    known = spark.sparkContext.broadcast(listed_levels(segments, listed, n_buckets, probes))
+    sums = scratch_path(spark, "pair-sums")
     for low, high in _shards(segments.select("bucket", "bits").collect(), n_buckets, shard_bytes):
-        rows = segments.where((F.col("bucket") >= low) & (F.col("bucket") < high)).collect()
-        shard = spark.sparkContext.broadcast(Shard(rows, n_buckets))
-        part = _scored(docs, doc_id, text, listed, shard, (low, high), (n_tokens, n_words, n_docs), not parts)
-        parts.append(stored(part.withColumn("row", F.monotonically_increasing_id()), "scored"))
+        inside = (F.col("bucket") >= low) & (F.col("bucket") < high)
+        shard = spark.sparkContext.broadcast(Shard(segments.where(inside).select("bucket", "bits", "segment").collect(), n_buckets, probes))
+        shard_sums(parts.where(inside & F.col("part").isNotNull()), shard, known, (n_tokens, n_words, n_docs)).write.parquet(f"{sums}/shard={low}")
         shard.destroy()
-    rows = parts[0] if len(parts) == 1 else _summed(parts)
-    known = (
-        rows.select("row", F.explode("rare").alias("word"))
+    scored = _documents(parts, spark.read.schema(SUMS).parquet(sums), kind, n_docs)
+    rows = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    known_words = (
+        rows.select("row", F.explode("others").alias("word"))
         .join(counts.hint("merge"), "word")
         .groupBy("row")
         .agg(F.sum(F.log10(F.col("c") + 1.0)).alias("rare_logs"), F.count("*").alias("n_rare"))
     )
-    return rows.drop("rare").join(known.hint("merge"), "row", "left").select(
+    return rows.drop("others").join(known_words.hint("merge"), "row", "left").select(
         F.col("doc_id").alias(doc_id),
         "held_out",
         "n_tokens",
@@ -383,17 +553,3 @@ def _shards(sizes: list, n_buckets: int, shard_bytes: int) -> Iterator[tuple[int
             low, total = b, 0
         total += by_bucket.get(b, 0)
     yield low, n_buckets
-
-
-def _summed(parts: list[DataFrame]) -> DataFrame:
-    """The first pass with the scores of all passes; rows that agree in id and text have equal scores."""
-    later = parts[1].select("doc_id", "digest", "score")
-    for p in parts[2:]:
-        later = later.unionByName(p.select("doc_id", "digest", "score"))
-    copies = parts[1].groupBy("doc_id", "digest").agg(F.count("*").alias("copies"))
-    sums = later.groupBy("doc_id", "digest").agg(F.sum("score").alias("more"))
-    sums = sums.alias("s").join(copies.alias("c"), F.col("s.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("s.digest") == F.col("c.digest")))
-    sums = sums.select(F.col("s.doc_id").alias("id"), F.col("s.digest").alias("d"), (F.col("more") / F.col("copies")).alias("more"))
-    first = parts[0]
-    joined = first.join(sums, first["doc_id"].eqNullSafe(sums["id"]) & (first["digest"] == sums["d"]))
-    return stored(joined.withColumn("score", F.col("score") + F.col("more")).drop("id", "d", "more"), "scored")

@@ -14,7 +14,8 @@ def held(i):
     return zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
 
 
-def brute(rows):
+def brute(rows, read=lambda c: c):
+    """Base scores of the counts and model scores of what ``read`` makes of them."""
     tok = [(t or "").encode().translate(LOWERED).split() + [END] for _, t in rows]
     train = [w for (i, _), w in zip(rows, tok, strict=True) if not held(i)]
     c = Counter(x for w in train for x in w)
@@ -23,11 +24,20 @@ def brute(rows):
     out = []
     for w in tok:
         base = sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w)
-        score = sum(math.log10((pairs[a, b] + PRIOR * (c[b] + 1) / (n + v + 1)) / ((docs if a == START else c[a]) + PRIOR)) for a, b in zip([START, *w], w))
+        score = sum(
+            math.log10((read(pairs[a, b]) + PRIOR * (read(c[b]) + 1) / (n + v + 1)) / ((docs if a == START else read(c[a])) + PRIOR))
+            for a, b in zip([START, *w], w)
+        )
         out.append((len(w), sum(c[x] > 0 for x in w), n, base, score))
     return out
 
 
+def middle(c):
+    """The middle of the counts between two powers of two."""
+    low = 1 << c.bit_length() >> 1
+    return (low + 2 * low - 1) / 2 if c else 0
+
+
 def texts():
     return [prose(i, 20 + i, 60) for i in range(150)] + [None, "", "A b\x0bC\x1cd a\xa0b", prose(1, 5000, 60)]
 
@@ -47,11 +57,41 @@ def test_equals_brute_force(documents, hot, shard):
     assert max(apart) < 0.4 and np.mean(apart) < 0.15
 
 
+@pytest.mark.parametrize("hot,shard,bucket", [(1_000_000, 96 << 20, 1_000_000), (10, 20_000, 1_000_000), (0, 2_000, 300)])
+def test_equals_brute_force_on_quantised_counts(documents, hot, shard, bucket):
+    # With so many bits nothing is found by mistake: the scores are those of the quantised counts, for any list, shards and buckets.
+    rows = list(enumerate(texts()))
+    docs = documents([t for _, t in rows])
+    found = bloom_lm.corpus_scores(docs, hot=hot, shard_bytes=shard, bits_per_entry=100, probes=20, bucket_tokens=bucket)
+    got = {r.doc_id: r.score for r in found.collect()}
+    for (i, _), expected in zip(rows, brute(rows, middle), strict=True):
+        assert math.isclose(got[i], expected[-1], rel_tol=1e-9, abs_tol=1e-9)
+
+
 def test_passes_add_up(documents):
     docs = documents(texts())
     one = {r.doc_id: r.score for r in bloom_lm.corpus_scores(docs, hot=10).collect()}
     many = {r.doc_id: r.score for r in bloom_lm.corpus_scores(docs, hot=10, shard_bytes=100).collect()}
-    assert all(math.isclose(one[i], many[i], rel_tol=1e-9) for i in one)
+    assert one == many
+
+
+def test_parts_of_any_size_add_up(documents, monkeypatch):
+    docs = documents(texts()).coalesce(1)
+    one = {r.doc_id: r.score for r in bloom_lm.corpus_scores(docs).collect()}
+    # Parts of a few documents or of one long one; tasks take the settings with the functions they run.
+    monkeypatch.setattr(bloom_lm, "CHUNK", 300)
+    few = {r.doc_id: r.score for r in bloom_lm.corpus_scores(docs).collect()}
+    assert all(math.isclose(one[i], few[i], rel_tol=1e-9) for i in one)
+
+
+def test_a_pass_reads_its_own_buckets(spark, documents):
+    from splitsight import session
+
+    before = len(session._made)
+    bloom_lm.corpus_scores(documents(texts()), shard_bytes=1000).count()
+    path = next(p for p in session._made[before:] if "pairs-by-bucket" in p)
+    plan = spark.read.parquet(path).where("bucket >= 2 AND bucket < 4")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan
 
 
 def test_levels_stand_for_their_counts():

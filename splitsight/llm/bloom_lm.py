@@ -8,8 +8,8 @@ from the filter, whatever the size of the corpus:
 
 1. Words are counted exactly. The commonest, at most ``HOT``, are listed.
 2. The texts are read once more, in parts of bounded size. A part hands on, for each bucket of the filter, its distinct pairs
-   in that bucket, their training counts and the documents they stand in. A pair lies in the bucket of its second word,
-   or, if that word is listed, anywhere, so that no bucket holds all pairs of a common word.
+   in that bucket, their training counts and the documents they stand in. A pair lies in the bucket of its second word; the
+   pairs of a common word are spread over as many places as its count asks, so that no bucket holds all of them.
 3. One shuffle brings the parts of a bucket together. The bucket's segment of the filter is built there and stored
    beside the parts. The number of buckets follows from the number of tokens.
 4. The segments are broadcast in shards of at most ``SHARD_BYTES``. The pass of a shard reads the parts of its own
@@ -25,6 +25,7 @@ without training rows every base probability is 1; an empty table gives no rows;
 
 from __future__ import annotations
 
+import functools
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -33,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,16 +48,20 @@ PRIOR = 100.0
 BITS_PER_ENTRY, PROBES = 10, 5
 SHARD_BYTES = 96 << 20
 # Tokens, or documents, after which a task hands on what it has counted; documents are numbered in 16 bits.
-CHUNK, MOST_DOCUMENTS = 2_000_000, 50_000
+CHUNK, MOST_DOCUMENTS = 1_000_000, 50_000
+# Bytes of text that are split into words at a time, and rows of packed pairs that are handed on at a time.
+TEXT_BYTES, BLOCKS = 2 << 20, 16
 # Tokens of the corpus for each bucket of the filter.
-BUCKET_TOKENS = 4_000_000
+BUCKET_TOKENS = 2_000_000
 
 LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
 # Neither can be a word: words are not empty and hold no white space.
 END, START = b"", b" "
 
 PLACE = np.uint64(40)
-LOW_BITS = np.uint64((1 << 40) - 1)
+LOW_BITS, NARROW_BITS = np.uint64((1 << 40) - 1), np.uint64((1 << 32) - 1)
+# Words of a higher count tell the words before them apart by 40 bits, others by 32.
+NARROW = 1 << 22
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -117,10 +123,17 @@ def single_ids(hashes: np.ndarray) -> np.ndarray:
     return (hashes & ~LOW_BITS) | (mixed(hashes + STEP) & LOW_BITS)
 
 
-def pair_ids(before: np.ndarray, hashes: np.ndarray, listed: np.ndarray) -> np.ndarray:
-    """Ids of pairs: placed with the second word, or by themselves if that word is listed."""
-    ids = mixed(before * STEP + hashes)
-    return np.where(listed, ids, (hashes & ~LOW_BITS) | (ids & LOW_BITS))
+def pair_lows(before: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """What tells the pairs of a second word apart."""
+    lows = mixed(before * STEP + hashes) & LOW_BITS
+    return np.where(counts > NARROW, lows, lows & NARROW_BITS)
+
+
+def pair_ids(hashes: np.ndarray, counts: np.ndarray, lows: np.ndarray, grain: int) -> np.ndarray:
+    """Ids of pairs: placed with the second word, or, for each ``grain`` of its count, at a place more."""
+    salts = lows % (counts // grain + 1).astype(np.uint64)
+    places = np.where(salts > 0, mixed(hashes + salts * STEP), hashes)
+    return (places & ~LOW_BITS) | lows
 
 
 def histories(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -154,9 +167,9 @@ def word_counts(train: DataFrame, text: str) -> DataFrame:
             numbers = np.fromiter(seen.values(), np.int64, len(seen))
             return pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(numbers)], ["word", "c"])
 
-        for batch in tasks_by_bytes(batches):
+        for batch in tasks_by_bytes(batches, 0, TEXT_BYTES):
             seen.update(batch_tokens(batch, text)[0])
-            if len(seen) > CHUNK // 4:
+            if len(seen) > CHUNK // 2:
                 yield rows()
                 seen.clear()
         yield rows()
@@ -216,8 +229,8 @@ def cut_at(ids: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return some, np.column_stack((cut[some], cut[some + 1]))
 
 
-# Pairs of a part in one bucket: ``ids`` of the distinct ones, training counts in ``numbers``, ``codes`` of their second words, hashes
-# of those that aren't listed in ``rare``, ``runs`` of places, and the documents of all places in ``places``.
+# Pairs of a part in one bucket: ``codes`` of the distinct second words and hashes of those that aren't listed in ``rare``; of the distinct
+# pairs the word's number and what tells it apart in ``ids``, training counts in ``numbers`` and ``runs`` of places; documents of all in ``places``.
 PACKED = ("ids", "numbers", "codes", "rare", "runs", "places")
 # What is known of the documents of a part.
 PER_DOCUMENT = {"held_out": "boolean", "n_tokens": "long", "n_listed": "long", "listed_logs": "double", "others": "array<long>"}
@@ -240,67 +253,108 @@ def _types(kind: pa.DataType) -> pa.Schema:
     return pa.schema([*head.items(), *((c, pa.binary()) for c in PACKED), *((c, pa.list_(t)) for c, t in lists.items())])
 
 
-def _binary(pieces: list[np.ndarray]) -> pa.Array:
-    return pa.array([p.tobytes() for p in pieces], pa.binary())
+@functools.cache
+def _compressor() -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=1)
 
 
-def packed_pairs(pairs: np.ndarray, hashes: np.ndarray, codes: np.ndarray, owners: np.ndarray, train: np.ndarray, edges: np.ndarray) -> dict[str, pa.Array]:
-    """The pairs of a part as one row per bucket."""
-    order = np.argsort(pairs, kind="stable")
-    ids = pairs[order]
-    first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
-    ends = np.append(first, len(ids))
-    ids, word, code = ids[first], hashes[order][first], codes[order][first]
-    numbers = np.add.reduceat(train[owners][order].astype(np.int64), first).astype("<i8")
-    runs = np.diff(ends).astype("<u4")
-    places = owners[order].astype("<u2")
-    buckets, cuts = cut_at(ids, edges)
+def packed(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, all first bytes first, compressed; of hashes the differences, which are small if they ascend."""
+    if values.dtype == np.uint64:
+        values = np.diff(values, prepend=np.uint64(0))
+    return _compressor().compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()) if len(values) else b""
+
+
+def unpacked(data: bytes, kind: str) -> np.ndarray:
+    kind = np.dtype(kind)
+    if not data:
+        return np.zeros(0, kind)
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
+    values = np.ascontiguousarray(raw.reshape(kind.itemsize, -1).T).view(kind).ravel()
+    return np.cumsum(values, dtype=np.uint64) if kind == np.uint64 else values
+
+
+def _binary(pieces: list[np.ndarray]) -> pa.Array:
+    return pa.array([packed(p) for p in pieces], pa.binary())
+
+
+def packed_pairs(hashes: np.ndarray, codes: np.ndarray, lows: np.ndarray, buckets: np.ndarray, owners: np.ndarray, train: np.ndarray) -> dict[str, pa.Array]:
+    """The pairs of a part as one row per bucket; ``train`` says which are learnt from."""
+    words, number = np.unique(hashes, return_inverse=True)
+    keys = number.astype(np.uint64) << PLACE | lows
+    order = np.argsort(keys)
+    # By bucket, and in it by word; numbers of 16 bits are sorted in linear time.
+    small = buckets.astype(np.uint16) if buckets.max() < 1 << 16 else buckets
+    order = order[np.argsort(small[order], kind="stable")]
+    keys, buckets = keys[order], buckets[order]
+    first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (buckets[1:] != buckets[:-1]))))
+    ends = np.append(first, len(keys))
+    number, lows, buckets = number[order[first]], keys[first] & LOW_BITS, buckets[first]
+    code = codes[order[first]]
+    numbers = np.add.reduceat(train[order], first, dtype=np.int64).astype("<i8")
+    runs, places = np.diff(ends).astype("<u4"), owners[order].astype("<u2")
+    found, at = np.unique(buckets, return_index=True)
     columns = {c: [] for c in PACKED}
-    for low, high in cuts:
-        columns["ids"].append(ids[low:high])
+    for low, high in zip(at, np.append(at[1:], len(buckets)), strict=True):
+        new = np.concatenate(([True], number[low + 1 : high] != number[low : high - 1]))
+        own, listed = np.flatnonzero(new) + low, code[low:high][new]
+        columns["codes"].append(listed)
+        columns["rare"].append(words[number[own[listed == 0]]])
+        columns["ids"].append((np.cumsum(new) - 1).astype(np.uint64) << PLACE | lows[low:high])
         columns["numbers"].append(numbers[low:high])
-        columns["codes"].append(code[low:high])
-        columns["rare"].append(word[low:high][code[low:high] == 0])
         columns["runs"].append(runs[low:high])
         columns["places"].append(places[ends[low] : ends[high]])
-    return {"bucket": pa.array(buckets, pa.int32())} | {c: _binary(x) for c, x in columns.items()}
+    return {"bucket": pa.array(found, pa.int32())} | {c: _binary(x) for c, x in columns.items()}
 
 
-def pair_parts(docs: DataFrame, doc_id: str, text: str, shared_list, n_buckets: int) -> DataFrame:
+def unpacked_pairs(row: dict, listed: np.ndarray, counts: np.ndarray, grain: int) -> tuple[np.ndarray, ...]:
+    """The ids of a row's pairs, the number of each one's second word, and codes and hashes of these words."""
+    keys, codes = unpacked(row["ids"], "<u8"), unpacked(row["codes"], "<u4").astype(np.int64)
+    hashes, word_counts = np.empty(len(codes), np.uint64), np.zeros(len(codes), np.int64)
+    there = codes > 0
+    hashes[there], word_counts[there] = listed[codes[there] - 1], counts[codes[there] - 1]
+    hashes[~there] = unpacked(row["rare"], "<u8")
+    number = (keys >> PLACE).astype(np.int64)
+    return pair_ids(hashes[number], word_counts[number], keys & LOW_BITS, grain), number, codes, hashes
+
+
+def pair_parts(docs: DataFrame, doc_id: str, text: str, shared_list, n_buckets: int, grain: int) -> DataFrame:
     """Rows of pairs by part and bucket, and one row per part, in a bucket below 0, of what is known of its documents."""
     kind = docs.schema[doc_id].dataType.simpleString()
     n_tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed, counts = shared_list.value
-        vocabulary, edges = Vocabulary(listed), bucket_edges(n_buckets)
-        logs = np.log10(np.concatenate(([0], counts)) + 1.0)
+        vocabulary, by_code = Vocabulary(listed), np.concatenate(([0], counts))
+        logs = np.log10(by_code + 1.0)
         task, number = TaskContext.get().partitionId(), 0
         types = waiting = None
 
         def part() -> Iterator[pa.RecordBatch]:
             own = (task << 32) + number
-            train = ~np.concatenate([w[4] for w in waiting])
-            shift = np.cumsum([0, *(len(w[4]) for w in waiting)])
-            pairs, hashes, codes = (np.concatenate([w[k] for w in waiting]) for k in range(3))
-            owners = np.concatenate([w[3] + at for w, at in zip(waiting, shift, strict=False)])
-            columns = packed_pairs(pairs, hashes, codes, owners, train, edges)
-            n = len(columns["bucket"])
-            yield _table(types.names, columns | {"part": pa.array([own] * n, pa.int64())}, n, types)
-            columns = {c: pa.concat_arrays([w[5][c] for w in waiting]) for c in ("doc_id", *PER_DOCUMENT)}
+            known = [w.pop() for w in waiting]
+            columns = [np.concatenate(x) for x in zip(*waiting, strict=True)]
+            waiting.clear()
+            rows = packed_pairs(*columns)
+            del columns
+            n = len(rows["bucket"])
+            rows = _table(types.names, rows | {"part": pa.array([own] * n, pa.int64())}, n, types)
+            for at in range(0, n, BLOCKS):
+                yield rows.slice(at, BLOCKS)
+            columns = {c: pa.concat_arrays([x[c] for x in known]) for c in ("doc_id", *PER_DOCUMENT)}
             columns = {c: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for c, x in columns.items()}
             columns |= {"bucket": pa.array([-1 - (task * 7919 + number) % n_tasks], pa.int32()), "part": pa.array([own], pa.int64())}
             yield _table(types.names, columns, 1, types)
 
         size = n_docs = 0
-        for batch in tasks_by_bytes(batches, 1):
+        for batch in tasks_by_bytes(batches, 1, TEXT_BYTES):
             if not batch.num_rows:
                 continue
             if types is None:
                 types, waiting = _types(batch.column(0).type), []
             if n_docs + batch.num_rows > MOST_DOCUMENTS and waiting:
                 yield from part()
-                waiting, size, n_docs, number = [], 0, 0, number + 1
+                size, n_docs, number = 0, 0, number + 1
             found, starts = batch_tokens(batch, text)
             hashes, codes = vocabulary.of(found)
             lengths = np.diff(np.append(starts, len(found)))
@@ -315,11 +369,14 @@ def pair_parts(docs: DataFrame, doc_id: str, text: str, shared_list, n_buckets:
                 "others": pa.ListArray.from_arrays(pa.array(np.append(others[starts], others[-1]), pa.int32()), pa.array(hashes[~listed_here].view(np.int64))),
             }
             held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            waiting.append((pair_ids(histories(hashes, starts), hashes, listed_here), hashes, codes, np.repeat(np.arange(len(starts)), lengths), held, known))
+            owners = np.repeat(np.arange(n_docs, n_docs + len(starts), dtype=np.uint16), lengths)
+            lows = pair_lows(histories(hashes, starts), hashes, by_code[codes])
+            buckets = buckets_of(pair_ids(hashes, by_code[codes], lows, grain), n_buckets).astype(np.int32)
+            waiting.append([hashes, codes, lows, buckets, owners, ~np.repeat(held, lengths), known])
             size, n_docs = size + len(found), n_docs + batch.num_rows
             if size >= CHUNK:
                 yield from part()
-                waiting, size, n_docs, number = [], 0, 0, number + 1
+                size, n_docs, number = 0, 0, number + 1
         if waiting:
             yield from part()
 
@@ -359,16 +416,23 @@ def segment_of(ids: np.ndarray, numbers: np.ndarray, bits_per_entry: int, probes
     return bits, segment.tobytes()
 
 
-def with_segments(rows: DataFrame, schema: str, bits_per_entry: int, probes: int) -> DataFrame:
+def with_segments(rows: DataFrame, shared_list, grain: int, schema: str, bits_per_entry: int, probes: int) -> DataFrame:
     """The rows of pairs and documents, and one row per bucket with its segment of the filter."""
 
     def build(found: pa.Table) -> pa.Table:
         if found["bucket"][0].as_py() < 0:
             return found
-        arrays = {c: [np.frombuffer(x, t) for x in found[c].to_pylist()] for c, t in (("ids", np.uint64), ("numbers", "<i8"))}
-        ids, numbers = np.concatenate(arrays["ids"]), np.concatenate(arrays["numbers"])
+        listed, counts = shared_list.value
+        ids = []
+        for k in range(found.num_rows):
+            row = found.slice(k, 1).select(["part", "ids", "codes", "rare"]).to_pylist()[0]
+            ids.append(unpacked(row["ids"], "<u8") if row["part"] is None else unpacked_pairs(row, listed, counts, grain)[0])
+        ids = np.concatenate(ids)
+        numbers = np.concatenate([unpacked(x, "<i8") for x in found["numbers"].to_pylist()])
         learned = numbers > 0
         passed = found.filter(pc.is_valid(found["part"]))
+        numbers_at = passed.schema.get_field_index("numbers")
+        passed = passed.set_column(numbers_at, passed.schema.field(numbers_at), pa.nulls(len(passed), pa.binary()))
         if not learned.any():
             return passed
         bits, segment = segment_of(ids[learned], numbers[learned], bits_per_entry, probes)
@@ -415,26 +479,25 @@ class Shard:
 # --- scoring ------------------------------------------------------------------------------------
 
 
-def shard_sums(parts: DataFrame, shared_shard, shared_listed, totals: tuple[int, int, int]) -> DataFrame:
+def shard_sums(parts: DataFrame, shared_shard, shared_list, shared_known, grain: int, totals: tuple[int, int, int]) -> DataFrame:
     """(part, bucket, owners, sums): what the pairs of each part in each bucket add to its documents' scores."""
     n_tokens, n_words, _ = totals
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, (listed, listed_counts) = shared_shard.value, shared_listed.value
+        shard, (listed, counts), known_counts = shared_shard.value, shared_list.value, shared_known.value
         end = np.uint64(word_hash(END))
         for batch in batches:
             owners, sums = [], []
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                ids, codes, runs, places = (np.frombuffer(row[c], t) for c, t in (("ids", np.uint64), ("codes", "<u4"), ("runs", "<u4"), ("places", "<u2")))
-                rare = np.frombuffer(row["rare"], np.uint64)
-                there = codes > 0
-                at = codes[there].astype(np.int64) - 1
-                known, is_end = np.empty(len(ids)), np.zeros(len(ids), bool)
-                known[there], is_end[there] = listed_counts[at], listed[at] == end
-                known[~there], is_end[~there] = shard.counts(single_ids(rare)), rare == end
-                logs = np.log10(shard.counts(ids) + PRIOR * (known + 1) / (n_tokens + n_words + 1))
-                logs -= np.where(is_end, 0.0, np.log10(known + PRIOR))
+                ids, number, codes, words = unpacked_pairs(row, listed, counts, grain)
+                known = np.empty(len(codes))
+                known[codes > 0] = known_counts[codes[codes > 0] - 1]
+                known[codes == 0] = shard.counts(single_ids(words[codes == 0]))
+                history = np.where(words == end, 0.0, np.log10(known + PRIOR))
+                lower = PRIOR * (known + 1) / (n_tokens + n_words + 1)
+                logs = np.log10(shard.counts(ids) + lower[number]) - history[number]
+                runs, places = unpacked(row["runs"], "<u4"), unpacked(row["places"], "<u2")
                 total = np.bincount(places, np.repeat(logs, runs))
                 own = np.unique(places)
                 owners.append(own.astype("<u2"))
@@ -447,9 +510,8 @@ def shard_sums(parts: DataFrame, shared_shard, shared_listed, totals: tuple[int,
 SUMS = "part long, bucket int, owners binary, sums binary"
 
 
-def listed_levels(segments: DataFrame, shared_list, n_buckets: int, probes: int) -> tuple[np.ndarray, np.ndarray]:
-    """The list with the counts that the filter gives for its words."""
-    listed, _ = shared_list.value
+def listed_counts(segments: DataFrame, shared_list, n_buckets: int, probes: int) -> np.ndarray:
+    """The counts that the filter gives for the listed words."""
 
     def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, _ = shared_list.value
@@ -463,9 +525,9 @@ def listed_levels(segments: DataFrame, shared_list, n_buckets: int, probes: int)
                 yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(levels, pa.int32())], ["place", "level"])
 
     found = segments.select("bucket", "bits", "segment").mapInArrow(probe, "place int, level int").toArrow()
-    levels = np.zeros(len(listed), np.int64)
+    levels = np.zeros(len(shared_list.value[0]), np.int64)
     levels[found["place"].to_numpy()] = found["level"].to_numpy()
-    return listed, represented(levels)
+    return represented(levels)
 
 
 def _documents(parts: DataFrame, sums: DataFrame, kind: str, n_docs: int) -> DataFrame:
@@ -475,7 +537,7 @@ def _documents(parts: DataFrame, sums: DataFrame, kind: str, n_docs: int) -> Dat
         columns = {c: pa.concat_arrays([x.values for x in known[c]]) for c in ("doc_id", *PER_DOCUMENT)}
         score = np.full(len(columns["doc_id"]), -math.log10(n_docs + PRIOR))
         for _, owners, part in sorted(zip(*(found[c].to_pylist() for c in ("bucket", "owners", "sums")), strict=True)):
-            score[np.frombuffer(owners, "<u2")] += np.frombuffer(part, "<f8")
+            score[unpacked(owners, "<u2")] += unpacked(part, "<f8")
         return pa.table(columns | {"score": pa.array(score)})
 
     schema = ", ".join(f"{c} {t}" for c, t in {"doc_id": kind, **PER_DOCUMENT, "score": "double"}.items())
@@ -506,19 +568,21 @@ def corpus_scores(
     n_tokens, n_words, n_docs = (x or 0 for x in totals)
     listed = spark.sparkContext.broadcast(listed_words(counts, hot))
     n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_tokens // bucket_tokens))
+    # Pairs of one word and place are an eighth of a bucket at most, but for words that are too rare to be listed.
+    grain = max(bucket_tokens // 8, 1)
     schema = parts_schema(kind)
     types = _types(to_arrow_type(docs.schema[doc_id].dataType))
-    rows = pair_parts(docs, doc_id, text, listed, n_buckets).unionByName(word_parts(counts, n_buckets, schema, types))
+    rows = pair_parts(docs, doc_id, text, listed, n_buckets, grain).unionByName(word_parts(counts, n_buckets, schema, types))
     path = scratch_path(spark, "pairs-by-bucket")
-    with_segments(rows, schema, bits_per_entry, probes).write.partitionBy("bucket").parquet(path)
+    with_segments(rows, listed, grain, schema, bits_per_entry, probes).write.partitionBy("bucket").parquet(path)
     parts = spark.read.schema(schema).parquet(path)
     segments = parts.where("bucket >= 0 AND part IS NULL")
-    known = spark.sparkContext.broadcast(listed_levels(segments, listed, n_buckets, probes))
+    known = spark.sparkContext.broadcast(listed_counts(segments, listed, n_buckets, probes))
     sums = scratch_path(spark, "pair-sums")
     for low, high in _shards(segments.select("bucket", "bits").collect(), n_buckets, shard_bytes):
         inside = (F.col("bucket") >= low) & (F.col("bucket") < high)
         shard = spark.sparkContext.broadcast(Shard(segments.where(inside).select("bucket", "bits", "segment").collect(), n_buckets, probes))
-        shard_sums(parts.where(inside & F.col("part").isNotNull()), shard, known, (n_tokens, n_words, n_docs)).write.parquet(f"{sums}/shard={low}")
+        shard_sums(parts.where(inside & F.col("part").isNotNull()), shard, listed, known, grain, (n_tokens, n_words, n_docs)).write.parquet(f"{sums}/shard={low}")
         shard.destroy()
     scored = _documents(parts, spark.read.schema(SUMS).parquet(sums), kind, n_docs)
     rows = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scored")

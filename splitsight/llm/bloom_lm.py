@@ -46,7 +46,7 @@ from splitsight.session import scratch_path, stored
 HOT = 1_000_000
 PRIOR = 100.0
 BITS_PER_ENTRY, PROBES = 10, 5
-SHARD_BYTES = 96 << 20
+SHARD_BYTES = 48 << 20
 # Tokens, or documents, after which a task hands on what it has counted; documents are numbered in 16 bits.
 CHUNK, MOST_DOCUMENTS = 1_000_000, 50_000
 # Bytes of text that are split into words at a time, and rows of packed pairs that are handed on at a time.

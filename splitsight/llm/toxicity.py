@@ -5,6 +5,9 @@ probabilities of the categories before it; in training these are out-of-fold pre
 model learns from probabilities that saw its own labels. Training and scoring run in Spark ML, without
 Python on the executors.
 
+A model looks at every word whose share of documents differs between the classes of its sample by at least ``least``
+standard errors, however many these are.
+
 The training sample is bounded by ``max_rows`` (chosen by a hash of the id, so it is the same at every
 run); scoring reads every row.
 
@@ -30,8 +33,8 @@ from splitsight.llm.words import word_array
 from splitsight.session import stored
 
 CATEGORIES = ("quality", "toxic")
-# Words that a model looks at, those that tell its classes apart best in its sample.
-MOST_WORDS = 2000
+# Standard errors by which the share of a word's documents differs between the classes, at least.
+LEAST = 3.0
 MAX_ROWS = 20_000
 FOLDS = 3
 # Absolute values: words that tell nothing more get no weight.
@@ -71,22 +74,22 @@ class Link:
         return scored.withColumn(out, vector_to_array("probability")[1]).drop("_all", "_features", "rawPrediction", "probability", "prediction")
 
 
-def _telling_words(rows: DataFrame, label: str, n: int, positive: float, most: int) -> list[str]:
-    """The words whose share of documents differs most between the classes, in standard errors."""
+def _telling_words(rows: DataFrame, label: str, n: int, positive: float, least: float) -> list[str]:
+    """The words whose share of documents differs between the classes by ``least`` standard errors or more."""
     counted = rows.select(label, F.explode(F.array_distinct("_all")).alias("w")).groupBy("w").agg(F.count("*").alias("n"), F.sum(label).alias("k"))
     p = F.col("n") / n
-    apart = F.abs(F.col("k") / positive - (F.col("n") - F.col("k")) / (n - positive)) / F.sqrt(p * (1 - p))
-    ordered = counted.where((F.col("n") > 1) & (F.col("n") < n)).orderBy(apart.desc(), "w").limit(most)
-    return [r.w for r in ordered.select("w").collect()]
+    apart = F.abs(F.col("k") / positive - (F.col("n") - F.col("k")) / (n - positive))
+    error = F.sqrt(p * (1 - p) * (1 / positive + 1 / (n - positive)))
+    return sorted(r.w for r in counted.where((F.col("n") > 1) & (F.col("n") < n) & (apart >= least * error)).select("w").collect())
 
 
-def _fit(rows: DataFrame, category: str, earlier: Sequence[str], iterations: int) -> Link:
+def _fit(rows: DataFrame, category: str, earlier: Sequence[str], iterations: int, least: float) -> Link:
     label = f"_y_{category}"
     n, positive = rows.agg(F.count("*"), F.sum(label)).first()
     if not n or positive in (0, n):
         return Link(category, None, None, (positive or 0.0) / max(n, 1))
     rows = rows.withColumn("_all", _all_words(earlier))
-    chosen = _telling_words(rows, label, n, positive, MOST_WORDS)
+    chosen = _telling_words(rows, label, n, positive, least)
     if not chosen:
         return Link(category, None, None, positive / n)
     words = CountVectorizerModel.from_vocabulary(chosen, inputCol="_all", outputCol="_features").setBinary(True)
@@ -103,6 +106,7 @@ def train_chain(
     max_rows: int = MAX_ROWS,
     folds: int = FOLDS,
     iterations: int = 30,
+    least: float = LEAST,
 ) -> list[Link]:
     """One model for each category, in the order of the chain."""
     usable = labels.where(F.col(doc_id).isNotNull())
@@ -121,9 +125,12 @@ def train_chain(
     known = rows
     for k, category in enumerate(categories):
         earlier = list(categories[:k])
-        chain.append(_fit(known, category, earlier, iterations))
+        chain.append(_fit(known, category, earlier, iterations, least))
         if k + 1 < len(categories):
-            outside = [_fit(known.where(F.col("_fold") != f), category, earlier, iterations).predict(known.where(F.col("_fold") == f), earlier) for f in range(folds)]
+            outside = []
+            for f in range(folds):
+                link = _fit(known.where(F.col("_fold") != f), category, earlier, iterations, least)
+                outside.append(link.predict(known.where(F.col("_fold") == f), earlier))
             merged = outside[0]
             for part in outside[1:]:
                 merged = merged.unionByName(part)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from splitsight.operators import windows
 from splitsight.operators.behaviour import user_day_features
+from splitsight.operators import grouped
 from splitsight.operators.hotkeys import HeatLimit, hot_keys
 from splitsight.schema import MODEL_FEATURES
 from tests.conftest import DAY, at
@@ -171,3 +172,11 @@ def test_rolling_activity_equals_brute_force(make, limit):
 def test_top_merchant_prefers_the_smaller_on_ties(make):
     tx = make([("u", at(0), 1.0, "b"), ("u", at(1), 1.0, "a"), ("u", at(2), 1.0, None), ("u", at(3), 1.0, None)])
     assert only(windows.top_merchant(tx, ["user_id"])).top_merchant == "a"
+
+
+def test_gaps_of_hot_groups_are_stored(make):
+    """No union is left in them, which an adaptive plan of several joins can't zip with its other branches."""
+    tx = make([("u", at(m), 1.0) for m in (0, 0, 0.5, 3)] + [("v", at(0), 1.0), ("v", None, 1.0)])
+    gaps = grouped.hot_gaps(tx, ["user_id"])
+    assert "Union" not in gaps._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, gaps.collect())) == [("u", 0.0, 1), ("u", 0.5, 1), ("u", 2.5, 1)]

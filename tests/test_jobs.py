@@ -117,6 +117,33 @@ def test_a_backlog_is_counted_whole_in_any_order(spark, busy, paths):
     assert told_days(live.backlog_windows(stream, paths["state"], slide=None)) == whole_days(busy)
 
 
+def told_windows(found):
+    rows = found.select("user_id", "window.start", "window.end", "cnt_24h", F.round("sum_24h", 6), "merchants").collect()
+    return sorted(map(tuple, rows))
+
+
+@pytest.mark.parametrize("slide", ["1 hour", "5 hours"])
+def test_sliding_windows_share_rows_of_the_state(spark, busy, paths, tmp_path, slide):
+    """Blocks of windows give the windows of a plain aggregation, from few state rows per transaction."""
+    holes = F.when(F.col("transaction_amount") > 20, F.col("transaction_amount"))
+    merchants = F.when(F.col("transaction_amount") < 90, F.col("merchant_id"))
+    tx = busy.withColumns({"transaction_amount": holes, "merchant_id": merchants})
+    span = F.window(F.col("transaction_date").cast("timestamp"), "24 hours", slide)
+    expected = clean.debits(tx).groupBy(span, "user_id").agg(
+        F.count("transaction_amount").alias("cnt_24h"),
+        F.coalesce(F.sum("transaction_amount"), F.lit(0.0)).alias("sum_24h"),
+        F.count_distinct("merchant_id").alias("merchants"),
+    )
+    stream = stream_of(spark, tx, paths["raw"])
+    assert told_windows(live.backlog_windows(stream, paths["state"], slide=slide)) == told_windows(expected)
+    held = spark.read.format("statestore").load(paths["state"]).count()
+    assert held <= (4 if slide == "1 hour" else 2) * tx.count()
+    out, state = str(tmp_path / "live"), str(tmp_path / "live-state")
+    live.to_table(live.live_windows(stream, slide=slide), out, state, finish=True).awaitTermination()
+    assert 0 < spark.read.parquet(out).count() < expected.count()
+    assert told_windows(live.all_windows(spark, out, state, slide=slide)) == told_windows(expected)
+
+
 def test_late_rows_are_counted(spark, make, paths):
     """A late row goes once the watermark of the batch before its own has passed its window."""
     for n, day in enumerate((20, 21, 0, 22)):

@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 
 from splitsight.functions import ratio_or_zero
 from splitsight.operators import grouped
-from splitsight.operators.hotkeys import DEFAULT_HEAT, HeatLimit, split_by_heat
+from splitsight.operators.hotkeys import DEFAULT_HEAT, HeatLimit, dealt_by_heat
 from splitsight.operators.quantiles import exact_quantiles
 
 AMOUNT = "transaction_amount"
@@ -61,7 +61,7 @@ def structuring_profile(
     """
     sizes = tx.select(*KEY).dropna()
     rows = tx.join(users.select("user_id"), "user_id", "left_semi").select(*KEY, TS, AMOUNT, *COUNTED)
-    cold, hot = split_by_heat(rows, KEY, limit, sizes)
+    cold, hot = dealt_by_heat(rows, KEY, limit, sizes)
     profile = _cold_profile(cold)
     if hot is not None:
         profile = profile.unionByName(_hot_profile(hot))
@@ -119,7 +119,7 @@ def _amount_bin(rows: Column, low: Column, high: Column) -> Column:
 
 def _cold_profile(cold: DataFrame) -> DataFrame:
     whole = W.partitionBy(*KEY)
-    rows = grouped.with_gaps(grouped.with_value_tallies(cold.repartition(*KEY), KEY, COUNTED), KEY)
+    rows = grouped.with_gaps(grouped.with_value_tallies(cold, KEY, COUNTED), KEY)
     rows = rows.withColumns(
         {
             "_bin": _amount_bin(

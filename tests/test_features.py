@@ -4,12 +4,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from splitsight.operators import windows
+from splitsight.operators import grouped, hotkeys, windows
 from splitsight.operators.behaviour import user_day_features
-from splitsight.operators import grouped
 from splitsight.operators.hotkeys import HeatLimit, hot_keys
+from splitsight.operators.profile import structuring_profile
 from splitsight.schema import MODEL_FEATURES
-from tests.conftest import DAY, at
+from splitsight.sources.adapters import order_transactions
+from tests.conftest import DAY, SMALL, at
 
 ALL_HOT = HeatLimit(0)
 
@@ -180,3 +181,26 @@ def test_gaps_of_hot_groups_are_stored(make):
     gaps = grouped.hot_gaps(tx, ["user_id"])
     assert "Union" not in gaps._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, gaps.collect())) == [("u", 0.0, 1), ("u", 0.5, 1), ("u", 2.5, 1)]
+
+
+def test_tasks_follow_the_rows(make, monkeypatch):
+    """More rows are more tasks, not larger ones; results stay."""
+    tx = make([(f"u{u}", at(7 * n), float(n), f"m{n % 3}") for u in range(50) for n in range(8)])
+    users, limit = tx.select("user_id").distinct(), HeatLimit(500)
+
+    def told():
+        found = user_day_features(tx, limit), structuring_profile(tx, users, limit)
+        return [f.rdd.getNumPartitions() for f in found], [sorted(map(str, f.collect())) for f in found]
+
+    few, whole = told()
+    monkeypatch.setattr(hotkeys, "TASK_ROWS", 40)
+    many, same = told()
+    assert few == [1, 1] and many == [10, 10] and same == whole
+
+
+def test_order_lines_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(hotkeys, "TASK_ROWS", 500)
+    whole = order_transactions(spark, SMALL)
+    sizes = [r["count"] for r in whole.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 1000
+    assert sum(sizes) == spark.read.parquet(f"{SMALL}/lineitem.parquet").join(spark.read.parquet(f"{SMALL}/orders.parquet"), F.expr("l_orderkey = o_orderkey")).count()

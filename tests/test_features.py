@@ -195,7 +195,7 @@ def test_tasks_follow_the_rows(make, monkeypatch):
     few, whole = told()
     monkeypatch.setattr(hotkeys, "TASK_ROWS", 40)
     many, same = told()
-    assert few == [1, 1] and many == [10, 10] and same == whole
+    assert few == [2, 2] and many == [10, 10] and same == whole
 
 
 def test_order_lines_are_dealt(spark, monkeypatch):

@@ -60,8 +60,7 @@ def structuring_profile(
     ``tx`` is read more than once: pass a stored table.
     """
     sizes = tx.select(*KEY).dropna()
-    rows = tx.join(users.select("user_id"), "user_id", "left_semi").select(*KEY, TS, AMOUNT, *COUNTED)
-    cold, hot = dealt_by_heat(rows, KEY, limit, sizes)
+    cold, hot = dealt_by_heat(tx.select(*KEY, TS, AMOUNT, *COUNTED), KEY, limit, sizes, among=users)
     profile = _cold_profile(cold)
     if hot is not None:
         profile = profile.unionByName(_hot_profile(hot))

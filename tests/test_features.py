@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -198,6 +199,22 @@ def test_tasks_follow_the_rows(make, monkeypatch):
     assert few == [2, 2] and many == [10, 10] and same == whole
 
 
+def test_join_with_users_is_dealt(spark, make, monkeypatch):
+    """Its tasks follow the rows, not the session's shuffle partitions, in a join that isn't broadcast."""
+    tx = make([(f"u{u}", at(7 * n), float(n), f"m{n % 3}") for u in range(50) for n in range(8)])
+    users = tx.where("user_id < 'u3'").select("user_id").distinct()
+    monkeypatch.setattr(hotkeys, "TASK_ROWS", 40)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = structuring_profile(tx, users, HeatLimit(500))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert re.findall(r"hashpartitioning\(user_id#\d+, (\d+)\)", plan).count("5") == 2
+        assert {r.user_id for r in found.collect()} == {r.user_id for r in users.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_order_lines_are_dealt(spark, monkeypatch):
     monkeypatch.setattr(hotkeys, "TASK_ROWS", 500)
     whole = order_transactions(spark, SMALL)

@@ -1,12 +1,15 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from splitsight.operators import clean, idindex, quality
+from splitsight.operators import clean, hotkeys, idindex, quality
+from splitsight.operators.hotkeys import HeatLimit
+from splitsight.plans import catalog
 from splitsight.schema import RAW_TRANSACTION
 from splitsight.sources import transactions
-from tests.conftest import DAY, at
+from tests.conftest import DAY, SMALL, at
 
 
 def raw(spark, values):
@@ -53,6 +56,35 @@ def test_dedup_limits_each_id_before_the_exchange(make):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_large_dedup_is_dealt_by_rows(spark, make, monkeypatch):
+    """More rows than the session's shuffle partitions should sort are more tasks; rows stay, NULL and hot ids too."""
+    idents = [None] * 30 + ["hot"] * 60 + [f"i{n % 130}" for n in range(270)]
+    tx = make([("u", at(1440 * (n % 2) + n), float(n), "m", "DEBITO", ident) for n, ident in enumerate(idents)])
+    tx = tx.withColumn("_id", F.when(F.col("transaction_amount") >= 30, F.col("_id")))
+    plain = [sorted(map(str, clean.drop_duplicate_ids(tx, day).collect())) for day in (False, True)]
+    monkeypatch.setattr(hotkeys, "TASK_ROWS", 5)
+    for limit in (HeatLimit(), HeatLimit(500), HeatLimit(50), HeatLimit(20)):
+        for day in (False, True):
+            found = clean.drop_duplicate_ids(tx, day, sizes_from=tx.select("_id"), limit=limit)
+            assert found.columns == tx.columns
+            assert sorted(map(str, found.collect())) == plain[day]
+    plan = clean.drop_duplicate_ids(tx, sizes_from=tx.select("_id"), limit=HeatLimit(500))._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"hashpartitioning\(_key#\d+L?, (\d+)\)", plan) == ["18"]
+    # Cold ids are ranked where they were dealt; a hot id is cut in every map partition before its exchange.
+    plan = clean.drop_duplicate_ids(tx, sizes_from=tx.select("_id"), limit=HeatLimit(50))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 3
+
+
+def test_order_transactions_are_dealt_for_deduplication(spark, monkeypatch):
+    """The queries' clean table follows the rows of the order lines, not the session's shuffle partitions."""
+    plain = sorted(map(str, catalog.txo(spark, SMALL).collect()))
+    assert catalog.txo(spark, SMALL).rdd.getNumPartitions() <= 4
+    monkeypatch.setattr(hotkeys, "TASK_ROWS", 100)
+    found = catalog.txo(spark, SMALL)
+    assert found.rdd.getNumPartitions() > 8
+    assert sorted(map(str, found.collect())) == plain
+
+
 def test_activity_filter_is_strict_and_optional(spark):
     df = spark.createDataFrame([(10,), (11,)], "cnt_24h int")
     assert [r[0] for r in clean.active_only(df).collect()] == [11]

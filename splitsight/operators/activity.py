@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from splitsight.functions import bands
+from splitsight.operators.hotkeys import DEFAULT_HEAT, SORTED_ONCE, HeatLimit, dealt_by_heat, too_large
 from splitsight.operators.quantiles import exact_quantiles
 from splitsight.session import stored
 
@@ -14,14 +15,28 @@ ACTIVITY_BANDS = [(1, "1"), (5, "2-5"), (10, "6-10"), (20, "11-20"), (50, "21-50
 ACTIVITY_ABOVE = ">100"
 
 
-def user_day_counts(tx: DataFrame) -> DataFrame:
-    """Transactions per user and calendar day as ``cnt_24h``."""
-    return (
-        tx.select("user_id", F.to_date("transaction_date").alias("date"))
-        .dropna()
-        .groupBy("user_id", "date")
-        .agg(F.count(F.lit(1)).alias("cnt_24h"))
-    )
+def user_day_counts(
+    tx: DataFrame,
+    sizes_from: DataFrame | None = None,
+    limit: HeatLimit = DEFAULT_HEAT,
+) -> DataFrame:
+    """Transactions per user and calendar day as ``cnt_24h``.
+
+    A task counts what one of the session's shuffle partitions holds. With ``sizes_from``, a table with the users of at least
+    the rows of ``tx`` that is cheap to count, such as ``tx`` itself if it is stored, a table too large for that is dealt to
+    tasks by its users; rows of hot users are still combined before the exchange.
+    """
+    days = tx.select("user_id", F.to_date("transaction_date").alias("date")).dropna()
+    if sizes_from is None or not too_large(sizes_from):
+        return _day_counts(days)
+    users = sizes_from.select("user_id").dropna()
+    cold, hot = dealt_by_heat(days, ["user_id"], limit, users, times=SORTED_ONCE)
+    counts = _day_counts(cold)
+    return counts if hot is None else counts.unionByName(_day_counts(hot))
+
+
+def _day_counts(days: DataFrame) -> DataFrame:
+    return days.groupBy("user_id", "date").agg(F.count(F.lit(1)).alias("cnt_24h"))
 
 
 def user_day_summary(counts: DataFrame) -> DataFrame:

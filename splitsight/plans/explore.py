@@ -16,6 +16,10 @@ def persistent_profile(
     first: int | None = None,
     limit: HeatLimit = DEFAULT_HEAT,
 ) -> DataFrame:
-    """Profile of all persistent users, or of the ``first`` most persistent ones."""
-    users = activity.persistent_users(activity.user_day_counts(tx), min_cnt, min_days, first)
+    """Profile of all persistent users, or of the ``first`` most persistent ones.
+
+    ``tx`` is read more than once: pass a stored table.
+    """
+    counts = activity.user_day_counts(tx, sizes_from=tx)
+    users = activity.persistent_users(counts, min_cnt, min_days, first)
     return structuring_profile(tx, users, limit)

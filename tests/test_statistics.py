@@ -1,8 +1,10 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from splitsight.operators import activity, amounts, profile
+from splitsight.operators import activity, amounts, hotkeys, profile
 from splitsight.operators.hotkeys import HeatLimit
 from splitsight.operators import quantiles
 from splitsight.operators.quantiles import exact_quantiles
@@ -112,6 +114,43 @@ def test_persistent_and_normal_users(make):
     assert activity.top_user_days(counts, 10).count() == 3
 
 
+def test_large_counts_are_dealt_by_rows(make, monkeypatch):
+    """More rows than the session's shuffle partitions should count are more tasks; counts stay, of hot users and without NULLs."""
+    rows = [(f"u{n % 40}", at(500 * (n // 40) + n), 1.0) for n in range(400)] + [("hot", at(n), 1.0) for n in range(90)]
+    tx = make([*rows, ("u1", None, 1.0), *[(None, at(n), 1.0) for n in range(20)]])
+    plain = sorted(map(str, activity.user_day_counts(tx).collect()))
+    few = sorted(map(str, activity.user_day_counts(tx, sizes_from=tx).collect()))
+    users = sorted(map(str, activity.persistent_users(activity.user_day_counts(tx), 1).collect()))
+    profiled = sorted(map(str, persistent_profile(tx, 1).collect()))
+    monkeypatch.setattr(hotkeys, "TASK_ROWS", 10)
+
+    def told(limit):
+        counts = activity.user_day_counts(tx, sizes_from=tx, limit=limit)
+        persistent = activity.persistent_users(counts, 1)
+        plans = [f._jdf.queryExecution().executedPlan().toString() for f in (counts, persistent)]
+        assert counts.columns == ["user_id", "date", "cnt_24h"]
+        assert plain == few == sorted(map(str, counts.collect()))
+        assert users == sorted(map(str, persistent.collect()))
+        return plans
+
+    # Users who aren't hot are counted, and their days too, where they were dealt.
+    for plan in told(HeatLimit(500)):
+        assert re.findall(r"hashpartitioning\((.+), (\d+)\)", plan) == [(re.search(r"user_id#\d+", plan)[0], "13")]
+    # Rows of a hot user are combined before their exchange.
+    counts, _ = told(HeatLimit(50))
+    assert re.findall(r"hashpartitioning\(user_id#\d+, date#\d+, (\d+)\)", counts) == ["4"] and counts.count("partial_count") == 2
+    assert users and profiled == sorted(map(str, persistent_profile(tx, 1).collect()))
+
+
+def test_large_profile_counts_by_rows(make, monkeypatch):
+    """The stored table of a profile is large enough to be dealt, though the session has few shuffle partitions."""
+    monkeypatch.setattr(hotkeys, "TASK_ROWS", 10)
+    tx = make([(f"u{n % 40}", at(500 * (n // 40) + n), 1.0) for n in range(400)])
+    plan = persistent_profile(tx, 1)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(user_id#\d+, date#\d+, \d+\)", plan)
+    assert not re.search(r"hashpartitioning\(user_id#\d+, 4\)", plan)
+
+
 def test_day_spine(spark):
     df = spark.range(1)
     assert activity.day_spine("2021-02-27", "2021-03-01", df).count() == 3

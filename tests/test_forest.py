@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -83,6 +85,35 @@ def test_a_pool_still_fills_the_trees(features):
     assert len(pooled) < 60
 
 
+def smallest_hashes(keys, psi, n_trees):
+    """The sample of each tree by sorting all keys."""
+    rank = lambda tree: lambda key: (hashlib.md5(f"{key}|{tree}|42".encode()).hexdigest()[:15], key)
+    return {(tree, key) for tree in range(n_trees) for key in sorted(keys, key=rank(tree))[:psi]}
+
+
+@pytest.mark.parametrize("n_trees, psi", [(3, 20), (2, 5), (10, 20)])
+def test_every_tree_draws_from_all_rows(features, n_trees, psi):
+    rows = iforest.matrix(features)
+    keys = [f"{r.user_id}|{r.date}" for r in rows.collect()]
+    drawn = [(r.tree, f"{r.user_id}|{r.date}") for r in iforest.draw_samples(rows, 600, psi, n_trees, 42).collect()]
+    assert len(drawn) == n_trees * psi
+    assert set(drawn) == smallest_hashes(keys, psi, n_trees)
+
+
+def test_grown_trees_hold_the_smallest_hashes_of_all_rows(features):
+    grown = iforest.grow(features, n_trees=4, sample_size=30)
+    rows = iforest.matrix(features).toPandas()
+    rows.index = rows["user_id"] + "|" + rows["date"].astype(str)
+    wanted = smallest_hashes(list(rows.index), 30, 4)
+    for tree, nodes in grown.nodes.groupby("tree"):
+        sample = rows.loc[[key for t, key in wanted if t == tree]]
+        root = nodes[nodes["node"] == 0].iloc[0]
+        name = MODEL_FEATURES[root.feature]
+        left = int((sample[name] <= root.threshold).sum())
+        sizes = nodes.set_index("node")["size"]
+        assert (root["size"], sizes[1], sizes[2]) == (30, left, 30 - left)
+
+
 def test_growing_needs_no_scores(features, model):
     grown = iforest.grow(features, n_trees=40, contamination=0.02)
     assert grown.nodes.equals(model.nodes) or sorted(grown.nodes["threshold"]) == sorted(model.nodes["threshold"])
